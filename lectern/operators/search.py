@@ -120,6 +120,11 @@ def _rank(found: pd.DataFrame, names: Sequence[str], k: int) -> pd.DataFrame:
     return ordered[ordered.groupby("__q", sort=False).cumcount() < k]
 
 
+def _with_vector(rows: pa.Table | pa.RecordBatch) -> pa.Table | pa.RecordBatch:
+    column = rows.column("__v")
+    return rows.filter(column.is_valid()) if column.null_count else rows
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """List column without nulls to a matrix; vectors of different length are an error."""
     if isinstance(column, pa.ChunkedArray):
@@ -151,10 +156,10 @@ def nearest_neighbors(
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric: {metric}")
-    base_rows = base.where(F.col(base_vector).isNotNull()).select(*base_ids, F.col(base_vector).alias("__v"))
-    query_rows = queries.where(F.col(query_vector).isNotNull()).select(
-        F.col(query_id), F.col(query_vector).alias("__v")
-    )
+    # Null vectors are left out inside the tasks: a filter here would be pushed below the projection
+    # that computes the vector and compute it twice.
+    base_rows = base.select(*base_ids, F.col(base_vector).alias("__v"))
+    query_rows = queries.select(F.col(query_id), F.col(query_vector).alias("__v"))
     held = query_rows.limit(broadcast_queries + 1).toArrow()
     if held.num_rows <= broadcast_queries:
         found = _scan(base_rows, query_rows.schema[query_id], held, base_ids, k, metric, digits)
@@ -176,6 +181,7 @@ def _result_schema(id_field: T.StructField, base: DataFrame, base_ids: Sequence[
 
 def _scan(base, id_field, held, base_ids, k, metric, digits) -> DataFrame:
     schema = _result_schema(id_field, base, base_ids)
+    held = _with_vector(held)
     if held.num_rows == 0:
         return base.sparkSession.createDataFrame([], schema)
     ids = held.column(0).to_pandas().to_numpy()
@@ -188,6 +194,7 @@ def _scan(base, id_field, held, base_ids, k, metric, digits) -> DataFrame:
         queries, best = _Queries(matrix, metric), None
         types = None
         for batch in batches:
+            batch = _with_vector(batch)
             if batch.num_rows == 0:
                 continue
             if types is None:
@@ -225,6 +232,7 @@ def _grid(base, queries, query_id, base_ids, k, metric, digits) -> DataFrame:
     out = to_arrow_schema(schema)
 
     def best_of_cell(some_queries: pa.Table, some_base: pa.Table) -> pa.Table:
+        some_queries, some_base = _with_vector(some_queries), _with_vector(some_base)
         if some_queries.num_rows == 0 or some_base.num_rows == 0:
             return out.empty_table()
         block = _Queries(_matrix(some_queries.column("__v")), metric)

@@ -22,8 +22,8 @@ FROM (SELECT *, unnest(range(1, {HASH_DIM + 1})) AS i FROM dv) WHERE v[i] > 0"""
 def embed_hash(spark: SparkSession, sf: str) -> DataFrame:
     documents = spread_small_scan(table(spark, sf, "documents").select("doc_id", "text"))
     vectors = embed(documents, HashingEmbedder(HASH_DIM), "text")
-    cells = vectors.select("doc_id", F.posexplode("embedding").alias("dim", "weight")).where("weight > 0")
-    return cells.withColumn("weight", F.round("weight", 6))
+    rounded = F.transform("embedding", lambda w: F.round(w, 6))
+    return vectors.select("doc_id", F.posexplode(rounded).alias("dim", "weight")).where("weight > 0")
 
 
 def _neighbors(spark: SparkSession, sf: str, metric: str) -> DataFrame:

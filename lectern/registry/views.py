@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.derive import silver_columns
+from lectern.operators.sizing import spread_small_scan
 from lectern.schemas import ARTICLE_COLUMNS
 
 DAY = "2026-01-05"
@@ -19,7 +20,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """``documents`` as bronze articles, with ``doc_id``; some lack a title, a date or a good URL."""
-    d = table(spark, sf, "documents")
+    d = spread_small_scan(table(spark, sf, "documents"))
     return d.selectExpr(
         "doc_id",
         "case when doc_id % 37 = 0 then concat('invalid-', doc_id)"
