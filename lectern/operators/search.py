@@ -20,7 +20,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -210,10 +210,14 @@ def _scan(base, id_field, held, base_ids, k, metric, digits) -> DataFrame:
     return base.mapInArrow(best_of_partition, schema)
 
 
+def _numbers(count: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
+
 def _grid(base, queries, query_id, base_ids, k, metric, digits) -> DataFrame:
-    dim_row = queries.select(F.size("__v").alias("n")).first()
-    per_block = max(1, BLOCK_BYTES // (8 * max(1, dim_row["n"])))
-    query_blocks = max(1, -(-queries.count() // per_block))
+    asked = queries.agg(F.count("*").alias("rows"), F.max(F.size("__v")).alias("dim")).first()
+    per_block = max(1, BLOCK_BYTES // (8 * max(1, asked["dim"] or 1)))
+    query_blocks = max(1, -(-asked["rows"] // per_block))
     base_blocks = max(1, -(-base.count() // per_block))
     schema = _result_schema(queries.schema[query_id], base, base_ids)
     names = list(base_ids)
@@ -221,12 +225,12 @@ def _grid(base, queries, query_id, base_ids, k, metric, digits) -> DataFrame:
     left = queries.select(
         "*",
         F.pmod(F.xxhash64(query_id), F.lit(query_blocks)).alias("__qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(base_blocks - 1))).cast("long").alias("__bb"),
+        _numbers(base_blocks).alias("__bb"),
     )
     right = base.select(
         "*",
         F.pmod(F.xxhash64(*base_ids), F.lit(base_blocks)).alias("__bb"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long").alias("__qb"),
+        _numbers(query_blocks).alias("__qb"),
     )
 
     out = to_arrow_schema(schema)

@@ -170,7 +170,7 @@ def load_files(
 ) -> int:
     """Loader for one-document-per-file folders: soft failures, then an upsert. Returns rows merged."""
     with Scratch(spark) as scratch:
-        articles, broken = read_article_files(spark, path)
+        articles, broken = read_article_files(spark, path, scratch)
         for row in broken.select("file_path").limit(5).collect():
             log.warning("not a JSON document: %s", row["file_path"])
         return merge_silver(spark, silver, articles.select(*derive.silver_columns()), scratch, update_cols).source_rows

@@ -102,7 +102,7 @@ def manifest_blocks(spark: SparkSession, sf: str) -> DataFrame:
     scratch = Scratch(spark)
     path = scratch.path("manifests")
     sinks.write_manifests(_links(spark, sf).withColumn("run_date", F.lit(DAY)), path, size=20)
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     rows = feeds.explode_manifest(files.withColumn("run_date", F.col("run_date").cast("string")))
     return rows.select("topic", "run_date", "block_id", "pos", "url")
 

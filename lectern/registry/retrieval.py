@@ -52,7 +52,7 @@ def vector_topk_cosine(spark: SparkSession, sf: str) -> DataFrame:
 def _gold(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of all open articles with their vectors, computed on the way."""
     rows = silver(spark, sf).select("article_url", "title", "page_content", "content_hash", "content_gated")
-    chunks = chunking.article_chunks(spread_small_scan(rows)).select("chunk_id", "article_url", "title", "chunk_text")
+    chunks = chunking.article_chunks(rows).select("chunk_id", "article_url", "title", "chunk_text")
     return embed(chunks, HashingEmbedder(HASH_DIM), "chunk_text")
 
 

@@ -22,7 +22,7 @@ def parse_feed(xml: Column) -> Column:
 
 def read_feeds(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``topic, run_date, xml``: one row per feed file. A feed is one small document."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return layout.with_path_columns(files).select(
         F.col("path_topic").alias("topic"), F.col("path_run_date").alias("run_date"), F.col("value").alias("xml")
     )
@@ -79,7 +79,7 @@ def explode_manifest(df: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     named = layout.with_path_columns(files).select(
         F.col("path_topic").alias("topic"),
         F.col("path_run_date").alias("run_date"),
