@@ -26,21 +26,23 @@ def with_blocks(
     ``stride`` rows each, and every stretch starts at the row count of those before it. The counts
     are combined before their shuffle; the rows move once, to where their stretch is numbered.
     """
-    cut = "__stretch"
-    keys = [*group, cut]
-    rows = df.withColumn(cut, F.floor(F.col(order) / F.lit(stride)))
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*group).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
-    numbered = rows.withColumn("__local", local)
-    match = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    joined = numbered.alias("r").join(starts.alias("c"), match, "inner")
-    position = F.col("c.__start") + F.col("r.__local")
-    return joined.select(
-        *[F.col(f"r.{c}").alias(c) for c in df.columns],
-        position.alias("position"),
-        F.floor(position / F.lit(size)).alias("block_id"),
+    # One struct as the key: it is never null, also where a group column is, and the numbering and
+    # the join then agree on the same partitioning.
+    cut = (F.col(order) - F.pmod(F.col(order), F.lit(stride))).alias("cut")
+    rows = df.withColumn("__at", F.struct(*group, cut))
+    counts = rows.groupBy("__at").agg(F.count("*").alias("__n"))
+    before = (
+        Window.partitionBy(*[F.col(f"__at.{g}") for g in group])
+        .orderBy("__at.cut")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = counts.select("__at", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    local = F.row_number().over(Window.partitionBy("__at").orderBy(order)) - 1
+    position = F.col("__start") + F.col("__local")
+    return (
+        rows.withColumn("__local", local)
+        .join(starts, "__at")
+        .select(*df.columns, position.alias("position"), F.floor(position / F.lit(size)).alias("block_id"))
     )
 
 

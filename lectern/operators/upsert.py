@@ -64,24 +64,28 @@ def upsert(
     return joined.select(*_merged(columns, key, set(update_cols)))
 
 
-def upsert_broadcast(
+def split_by_keys(rows: DataFrame, keys: DataFrame, key: str = "article_url") -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is in ``keys``, all other rows), for keys the caller has measured and found small.
+
+    Both parts leave the rows where they are.
+    """
+    small = F.broadcast(keys.select(key))
+    return rows.join(small, key, "left_semi"), rows.join(small, key, "left_anti")
+
+
+def upsert_in_place(
     target: DataFrame,
     source: DataFrame,
     key: str = "article_url",
     update_cols: Sequence[str] = UPDATE_PARTIAL,
     columns: Sequence[str] = ARTICLE_COLUMNS,
 ) -> DataFrame:
-    """:func:`upsert` for a source the caller has measured and found small.
+    """:func:`upsert` for a source with few keys: only matched target rows move, the others stay.
 
-    A full outer join cannot broadcast, so it is split: the target keeps its place and looks up the
-    source, and source rows without a match are added. The matched keys sent back are at most as
-    many as the source rows.
+    A full outer join cannot broadcast, so the target is split first by the source's keys.
     """
-    on = F.col(f"t.{key}") == F.col(f"s.{key}")
-    kept = target.alias("t").join(F.broadcast(source.alias("s")), on, "left")
-    matched = target.select(key).join(F.broadcast(source.select(key)), key, "left_semi")
-    added = source.join(F.broadcast(matched), key, "left_anti")
-    return kept.select(*_merged(columns, key, set(update_cols))).unionByName(added.select(*columns))
+    matched, others = split_by_keys(target, source, key)
+    return others.select(*columns).unionByName(upsert(matched, source, key, update_cols, columns))
 
 
 def upsert_chunks(target: DataFrame, source: DataFrame, key: str = "chunk_id") -> DataFrame:

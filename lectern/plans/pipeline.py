@@ -18,7 +18,7 @@ from lectern.operators.answer import answer_questions
 from lectern.operators.extract import extract_articles, split_errors
 from lectern.operators.upsert import first_landing, skip_landed
 from lectern.plans import sinks
-from lectern.plans.tables import index_day, merge_silver
+from lectern.plans.tables import BROADCAST_KEYS, index_day, merge_silver
 from lectern.schemas import MAX_BAD_RECORDS, UPDATE_PARTIAL
 from lectern.scratch import Scratch, exists
 from lectern.sources import layout
@@ -122,20 +122,14 @@ def land_pages(
     """Extract pages ``url, topic, pos, html`` not landed yet today into bronze; failures go to errors.
 
     Of pages with the same topic and slug the first is taken, as the second would find the path
-    taken. Pages are parsed once, into a stage that both outputs read.
+    taken. ``pos`` identifies a page. The choice is made on key columns, so that HTML is not
+    shuffled for it. Pages are parsed once, into a stage that both outputs read.
     """
-    named = pages.withColumns({"run_date": F.lit(run_date), "slug": derive.url_slug("url")})
-    todo = first_landing(named, "pos")
     landed = f"{root}/{layout.ARTICLES}"
-    if exists(spark, landed):
-        present = (
-            spark.read.schema("topic string, slug string, run_date string")
-            .json(landed)
-            .where(F.col("run_date") == run_date)
-        )
-        todo = skip_landed(todo, present)
     counts = Observation()
     with Scratch(spark) as scratch:
+        chosen = scratch.write(_not_landed(spark, pages, landed, run_date).select("pos"))
+        todo = _only(pages, chosen, "pos")
         done = scratch.write(
             extract_articles(todo, stamp, rules).observe(
                 counts,
@@ -150,6 +144,27 @@ def land_pages(
     return {"pages": counts.get["pages"], "errors": counts.get["errors"]}
 
 
+def _not_landed(spark: SparkSession, pages: DataFrame, landed: str, run_date: str) -> DataFrame:
+    """Keys of the pages to work on."""
+    keys = pages.select("topic", F.lit(run_date).alias("run_date"), derive.url_slug("url").alias("slug"), "pos")
+    first = first_landing(keys, "pos")
+    if not exists(spark, landed):
+        return first
+    present = spark.read.schema("topic string, slug string, run_date string").json(landed)
+    return skip_landed(first, present.where(F.col("run_date") == run_date))
+
+
+def _only(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Rows whose key was chosen. Whichever of the chosen and the others is few is broadcast."""
+    total, wanted = rows.count(), chosen.count()
+    if wanted <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(chosen), key, "left_semi")
+    if 0 <= total - wanted <= BROADCAST_KEYS:
+        others = rows.select(key).join(chosen, key, "left_anti")
+        return rows.join(F.broadcast(others), key, "left_anti")
+    return rows.join(chosen, key, "left_semi")
+
+
 def run_pipeline(
     spark: SparkSession,
     pages: DataFrame,

@@ -27,7 +27,7 @@ def by_url(df):
     return {r["article_url"]: r.asDict() for r in df.collect()}
 
 
-@pytest.mark.parametrize("join", [upsert.upsert, upsert.upsert_broadcast])
+@pytest.mark.parametrize("join", [upsert.upsert, upsert.upsert_in_place])
 @pytest.mark.parametrize("update", [UPDATE_PARTIAL, UPDATE_ALL])
 def test_update_columns(spark, join, update):
     target = frame(spark, article("a", "old"), article("b", "old"))
@@ -44,7 +44,7 @@ def test_partial_update_leaves_six_columns():
     assert len(UPDATE_PARTIAL) == 7 and len(UPDATE_ALL) == 13
 
 
-@pytest.mark.parametrize("join", [upsert.upsert, upsert.upsert_broadcast])
+@pytest.mark.parametrize("join", [upsert.upsert, upsert.upsert_in_place])
 def test_null_values_of_the_source_overwrite(spark, join):
     source = frame(spark, article("a", "new")).selectExpr(
         *["cast(null as string) as title" if c == "title" else c for c in ARTICLE_COLUMNS]
