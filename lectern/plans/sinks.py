@@ -68,8 +68,11 @@ def url_lists(links: DataFrame, group: Sequence[str], order: str = "pos", size:
     return list_documents(with_blocks(links, group, order, size), group, "url", size)
 
 
-def write_url_lists(links: DataFrame, path: str, run_date: str, stamp: Column, order: str = "pos") -> None:
-    documents = url_lists(links, ["topic"], order).select(
+def write_url_lists(
+    links: DataFrame, path: str, run_date: str, stamp: Column, order: str = "pos", size: int = MANIFEST_URLS
+) -> None:
+    """URL-list documents as JSON lines, the blocks of a topic in one folder."""
+    documents = url_lists(links, ["topic"], order, size).select(
         "topic", stamp.cast("string").alias("timestamp"), "urls", F.lit(run_date).alias("run_date"),
         F.col("topic").alias("folder"),
     )

@@ -13,6 +13,7 @@ from lectern.registry import register
 from lectern.registry.views import DAY, STAMP, table
 from lectern.scratch import Scratch
 from lectern.sources import feeds
+from lectern.sources.documents import whole_files
 
 _TOPIC = "^https?://[^/]+/([^/?#]*)"
 _FEED_ITEMS = 25
@@ -69,14 +70,14 @@ def feed_empty_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "url_list",
-    f"""SELECT topic, CAST(row_number() OVER (PARTITION BY topic ORDER BY page_id) - 1 AS integer) AS pos, url
+    f"""SELECT topic, CAST((row_number() OVER (PARTITION BY topic ORDER BY page_id) - 1) % 20 AS integer) AS pos, url
 FROM (SELECT regexp_extract(url, '{_TOPIC}', 1) AS topic, page_id, url FROM pages)""",
 )
 def url_list(spark: SparkSession, sf: str) -> DataFrame:
     scratch = Scratch(spark)
     path = scratch.path("topic-urls")
-    sinks.write_url_lists(_links(spark, sf), path, DAY, F.lit(STAMP))
-    back = feeds.read_url_lists(spark, path)
+    sinks.write_url_lists(_links(spark, sf), path, DAY, F.lit(STAMP), size=20)
+    back = feeds.read_url_lists(spark, path, lines=True)
     return back.select("topic", "pos", "url")
 
 
@@ -102,8 +103,8 @@ def manifest_blocks(spark: SparkSession, sf: str) -> DataFrame:
     scratch = Scratch(spark)
     path = scratch.path("manifests")
     sinks.write_manifests(_links(spark, sf).withColumn("run_date", F.lit(DAY)), path, size=20)
-    files = spark.read.text(path, wholetext=True)
-    rows = feeds.explode_manifest(files.withColumn("run_date", F.col("run_date").cast("string")))
+    files = whole_files(spark, path)
+    rows = feeds.explode_manifest(files.select("value", "topic", F.col("run_date").cast("string"), "block_id"))
     return rows.select("topic", "run_date", "block_id", "pos", "url")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lectern.schemas import URL_LIST
 from lectern.sources import layout
+from lectern.sources.documents import one_document, whole_files
 
 FEED = "channel struct<item: array<struct<link: string>>>, _corrupt_record string"
 
@@ -22,7 +23,7 @@ def parse_feed(xml: Column) -> Column:
 
 def read_feeds(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``topic, run_date, xml``: one row per feed file. A feed is one small document."""
-    files = spark.read.text(path, wholetext=True)
+    files = whole_files(spark, path)
     return layout.with_path_columns(files).select(
         F.col("path_topic").alias("topic"), F.col("path_run_date").alias("run_date"), F.col("value").alias("xml")
     )
@@ -61,10 +62,19 @@ def explode_url_list(documents: DataFrame, default_topic: str = "unknown") -> Da
     return documents.select(topic.alias("topic"), *keep, F.posexplode("urls").alias("pos", "url"))
 
 
-def read_url_lists(spark: SparkSession, path: str | list[str], default_topic: str = "unknown") -> DataFrame:
-    """URL-list files, pretty-printed or not; a path without files gives no rows."""
+def read_url_lists(
+    spark: SparkSession, path: str | list[str], default_topic: str = "unknown", lines: bool = False
+) -> DataFrame:
+    """URL-list files: one document each, pretty-printed or not, or with ``lines`` one document per line.
+
+    A path without files gives no rows; a file that is not one document fails the job.
+    """
     try:
-        documents = spark.read.schema(URL_LIST).option("multiLine", True).json(path)
+        if lines:
+            documents = spark.read.schema(URL_LIST).option("mode", "FAILFAST").json(path)
+        else:
+            found = F.coalesce(one_document(F.col("value"), URL_LIST.simpleString()), _broken())
+            documents = whole_files(spark, path).select(found.alias("d")).select("d.*")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -72,15 +82,19 @@ def read_url_lists(spark: SparkSession, path: str | list[str], default_topic: st
     return explode_url_list(documents, default_topic)
 
 
+def _broken(text: str = "value") -> Column:
+    return F.raise_error(F.concat(F.lit("not one JSON document: "), F.substring(text, 1, 80)))
+
+
 def explode_manifest(df: DataFrame, text: str = "value") -> DataFrame:
-    """Manifest texts (a bare JSON array of URLs) to ``pos, url`` rows in order."""
+    """Manifest texts (a bare JSON array of URLs) to ``pos, url`` rows in order; any other text fails the job."""
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.posexplode(F.from_json(text, "array<string>")).alias("pos", "url"))
+    urls = F.coalesce(one_document(F.col(text), "array<string>"), _broken(text))
+    return df.select(*others, F.posexplode(urls).alias("pos", "url"))
 
 
 def read_manifests(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    files = spark.read.text(path, wholetext=True)
-    named = layout.with_path_columns(files).select(
+    named = layout.with_path_columns(whole_files(spark, path)).select(
         F.col("path_topic").alias("topic"),
         F.col("path_run_date").alias("run_date"),
         F.col("path_stem").alias("manifest"),

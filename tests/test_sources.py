@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lectern.plans import sinks
@@ -51,6 +52,10 @@ def test_url_lists(spark, folder):
     got = feeds.read_url_lists(spark, folder + "/*/urls.json").collect()
     assert sorted((r["topic"], r["pos"], r["url"]) for r in got) == [("t", 0, "u1"), ("t", 1, "u2"), ("unknown", 0, "u3")]
     assert feeds.read_url_lists(spark, folder + "/missing").count() == 0
+    write(folder, "d/urls.json", '{"topic": "t", "urls": ["u1"]}\n{"topic": "t", "urls": ["u2"]}\n')
+    assert feeds.read_url_lists(spark, folder + "/d", lines=True).count() == 2
+    with pytest.raises(PySparkException, match="not one JSON document"):
+        feeds.read_url_lists(spark, folder + "/d").collect()
 
 
 def test_manifests_keep_order(spark, folder):
@@ -106,13 +111,15 @@ def test_article_files(spark, folder):
     write(folder, "in/good-1.json", json.dumps(good, indent=2))
     write(folder, "in/odd.json", json.dumps(ROW | {"content_gated": "notabool", "article_url": "http://b"}))
     write(folder, "in/broken.json", "{bad")
+    write(folder, "in/two.json", json.dumps(ROW) + "\n" + json.dumps(ROW))
+    write(folder, "in/empty.json", " \n")
     write(folder, "in/other.txt", "{bad")
     rows, broken = articles.read_article_files(spark, folder + "/in", Scratch(spark))
     got = {r["file_stem"]: r for r in rows.collect()}
     assert set(got) == {"good-1", "odd"}
     assert got["good-1"]["published_date"] == "2026-01-05" and got["good-1"]["content_gated"] is False
     assert got["odd"]["content_gated"] is None
-    assert [Path(r["file_path"]).name for r in broken.collect()] == ["broken.json"]
+    assert sorted(Path(r["file_path"]).name for r in broken.collect()) == ["broken.json", "empty.json", "two.json"]
 
 
 def test_path_columns_of_both_layouts(spark, folder):
