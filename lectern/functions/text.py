@@ -45,7 +45,7 @@ def fixed_slices(text: Column | str, size: int = FIXED_CHUNK_CHARS) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """White-space tokens."""
-    return F.regexp_extract_all(_col(text), F.lit(NOT_SPACE + "+"), F.lit(0))
+    return F.array_remove(F.split(_col(text), SPACE + "+"), "")
 
 
 def token_windows(
