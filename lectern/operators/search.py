@@ -218,7 +218,9 @@ def _grid(base, queries, query_id, base_ids, k, metric, digits) -> DataFrame:
     asked = queries.agg(F.count("*").alias("rows"), F.max(F.size("__v")).alias("dim")).first()
     per_block = max(1, BLOCK_BYTES // (8 * max(1, asked["dim"] or 1)))
     query_blocks = max(1, -(-asked["rows"] // per_block))
-    base_blocks = max(1, -(-base.count() // per_block))
+    # At least three cells per core, since cells share tasks by hash; more when blocks get full.
+    cells = 3 * base.sparkSession.sparkContext.defaultParallelism
+    base_blocks = max(1, -(-base.count() // per_block), -(-cells // query_blocks))
     schema = _result_schema(queries.schema[query_id], base, base_ids)
     names = list(base_ids)
 

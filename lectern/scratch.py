@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -22,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """A folder of its own for one job's stages, removed on exit.
+    """A folder of its own for one job's stages, removed when closed, at the latest when Python exits.
 
     A stage is an ordinary Parquet table on shared storage, so losing an executor after it was
     written loses nothing.
@@ -31,6 +33,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/lectern-{uuid.uuid4().hex}"
+        atexit.register(self._discard)
 
     def path(self, name: str | None = None) -> str:
         return f"{self.root}/{name or uuid.uuid4().hex}"
@@ -42,8 +45,13 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
+        atexit.unregister(self._discard)
         remove(self.spark, self.root)
 
+    def _discard(self) -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            remove(self.spark, self.root)
+
     def __enter__(self) -> Scratch:
         return self
 

@@ -1,7 +1,10 @@
 import datetime as dt
 import hashlib
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from lectern.operators.extract import extract_articles, page_parts, split_errors
 
@@ -107,3 +110,10 @@ def test_pages_are_parsed_once(spark):
     df = spark.createDataFrame([("u", "t", FULL)], "url string, topic string, html string")
     plan = extract_articles(df, STAMP)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(page_parts))
+    code = "import pickle; print(pickle.load(open('f', 'rb'))('<article><p>x')['article_p_list'])"
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert found.stdout.strip() == "['x']"
