@@ -124,15 +124,20 @@ def manual_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.with_manual_fallback(_links(spark, sf).drop("pos"), manual)
 
 
-# The pages keep their paragraphs regular enough for SQL: one article, entities &amp; and &quot;,
-# paragraphs that start with <p> and may be left open.
+def _decoded(text: str) -> str:
+    """SQL for the two entities the articles use; HTML reads them also without their semicolon."""
+    return f"""regexp_replace(regexp_replace({text}, '&quot;?', '"', 'g'), '&amp;?', '&', 'g')"""
+
+
+# The pages keep their paragraphs regular enough for SQL: one article, paragraphs that start with
+# <p> and may be left open.
 _PAGE_SQL = f"""
 WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1) AS body FROM pages),
 p AS (SELECT page_id, url, body,
-  list_transform(string_split(body, '<p>')[2:], lambda x: trim(replace(replace(regexp_replace(
-    x, '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), concat(' ', chr(9), chr(10), chr(13)))) AS ps FROM a),
+  list_transform(string_split(body, '<p>')[2:], lambda x: trim({_decoded("regexp_replace(x, '<[^>]*>', '', 'g')")},
+    concat(' ', chr(9), chr(10), chr(13)))) AS ps FROM a),
 x AS (SELECT page_id, url, regexp_extract(url, '{_TOPIC}', 1) AS topic,
-  trim(replace(replace(regexp_extract(body, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&amp;', '&')) AS title,
+  trim({_decoded("regexp_extract(body, '<h1>([^<]*)</h1>', 1)")}) AS title,
   trim(array_to_string(ps, chr(10) || chr(10)), concat(' ', chr(10))) AS page_content,
   nullif(ps[1], '') AS first_line FROM p)"""
 
@@ -164,8 +169,8 @@ def extract_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "extract_legacy",
-    f"""WITH t AS (SELECT url, trim(replace(replace(regexp_replace(regexp_extract(
-  html, '(?s)<article[^>]*>(.*)</article>', 1), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&')) AS body FROM pages)
+    f"""WITH t AS (SELECT url, trim({_decoded("""regexp_replace(regexp_extract(
+  html, '(?s)<article[^>]*>(.*)</article>', 1), '<[^>]*>', '', 'g')""")}) AS body FROM pages)
 SELECT url AS article_url, nullif(body, '') AS page_content, md5(body) AS content_hash, length(body) < 200
   AS content_gated FROM t""",
 )
