@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe
+from lectern.llm import bpe, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+SHARDS = 8
+HOST_RULES = (
+    urls.HostRule("block", "net", "/"),
+    urls.HostRule("allow", "example.net", "/en/"),
+    urls.HostRule("block", "example.com", "/de/"),
+    urls.HostRule("allow", "org", "/fr/"),
+)
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -32,6 +39,19 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(table(spark, sf, "pages"), HOST_RULES)
+
+
+SQL["op5_url_filter"] = urls.judge_sql(HOST_RULES)
+
+
+@query
+def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf, "documents"), SHARDS)
+
+
 @query
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), vocabulary_path())
