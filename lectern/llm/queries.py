@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, pii, sharding, urls
+from lectern.llm import bpe, jaccard, pii, rabitq, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,11 +52,27 @@ def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 SQL["op5_url_filter"] = urls.judge_sql(HOST_RULES)
 
 
+@query
+def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return rabitq.near_duplicates(table(spark, sf, "embeddings"))
+
+
+SQL["op7_embedding_dedup"] = rabitq.near_duplicates_sql()
+
+
 @query
 def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf, "documents"), SHARDS)
 
 
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
+SQL["op9_ngram_jaccard"] = jaccard.near_duplicates_sql()
+
+
 @query
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), vocabulary_path())
