@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 BLOCK, ALLOW = "block", "allow"
 
 
+#: Bytes of pattern text up to which the index goes to every task; a larger one meets the tokens in a shuffle.
+INDEX_BYTES = 8 << 20
+
+
 class HostRule(NamedTuple):
     verdict: str
     host: str
@@ -134,6 +138,8 @@ def match_patterns(urls: DataFrame, patterns: tuple[Pattern, ...]) -> DataFrame:
     distinct = urls.where(F.col("url").isNotNull()).select("url").distinct()
     index = index_patterns(distinct, patterns)
     filed = index.where(F.col("token").isNotNull())
+    if sum(len(p.text) for p in patterns) <= INDEX_BYTES:
+        filed = F.broadcast(filed)
     by_token = distinct.withColumn("token", F.explode(_tokens(F.col("url")))).join(filed, "token").drop("token")
     found = by_token.where(F.rlike(F.lower("url"), F.col("regex"))).select("url", "pattern_verdict", "pattern")
     for p in patterns:
