@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, jaccard, pii, rabitq, sharding, urls
+from lectern.llm import bpe, decontaminate, jaccard, pii, rabitq, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf, "documents"))

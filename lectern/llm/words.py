@@ -37,6 +37,8 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: Everything in ASCII but letters and digits.
+PUNCTUATION = np.array([not (chr(b).isalnum() or b >= 0x80) for b in range(256)])
 _EXACT = _scramble(np.arange(1, 257, dtype=np.uint64) * _BASE) | np.uint64(1)
 _LOWER = _EXACT.copy()
 _LOWER[ord("A") : ord("Z") + 1] = _EXACT[ord("a") : ord("z") + 1]
@@ -78,11 +80,11 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         at = to
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def find_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and for each row (and the end) its first word."""
-    inside = ~_SEPARATOR[data]
+    inside = ~separator[data]
     opens = np.ones(len(data) + 1, bool)  # a row begins here, or the byte before is a separator
-    opens[1:] = _SEPARATOR[data]
+    opens[1:] = ~inside
     opens[offsets] = True
     starts = np.flatnonzero(inside & opens[:-1])
     closes = np.ones(len(data) + 1, bool)
