@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, decontaminate, jaccard, pii, rabitq, sharding, urls
+from lectern.llm import bpe, decontaminate, jaccard, langid, pii, rabitq, secrets, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,16 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf, "documents"))
 
 
+@query
+def op3_langid(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(table(spark, sf, "documents"))
+
+
+@query
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf, "documents"))
+
+
 @query
 def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(table(spark, sf, "pages"), HOST_RULES)
