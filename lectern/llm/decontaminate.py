@@ -224,20 +224,44 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[Items]:
         yield Items(ids, texts)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, item_id, score (1 is a perfect copy), start and end (code points) of the passages found."""
-    spark = docs.sparkSession
-    kind = benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, score double, start long, end long"
-    rows = docs.select("doc_id", "text")
-    out = spark.createDataFrame([], schema)
+def _shared(rows: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator[tuple]:
+    """For each block of the benchmark its items and seeds, as broadcasts."""
+    context = rows.sparkSession.sparkContext
     for items in _blocks(benchmark, block_bytes):
-        vocabulary = spark.sparkContext.broadcast(items.vocabulary)
+        vocabulary = context.broadcast(items.vocabulary)
         counted = rows.mapInArrow(_count(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
         counts = np.zeros(len(items.vocabulary) + 1, np.int64)
         for r in counted.collect():  # as many rows as the block has words
             counts[r.word] = r.n
-        seeds = Seeds(items, counts[:-1], int(counts[-1]))
-        shared = spark.sparkContext.broadcast(items), spark.sparkContext.broadcast(seeds)
-        out = out.union(rows.mapInArrow(_find(*shared, threshold, kind), schema))
+        yield context.broadcast(items), context.broadcast(Seeds(items, counts[:-1], int(counts[-1])))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, item_id, score (1 is a perfect copy), start and end (code points) of the passages found."""
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, score double, start long, end long"
+    rows = docs.select("doc_id", "text")
+    out = docs.sparkSession.createDataFrame([], schema)
+    for items, seeds in _shared(rows, benchmark, block_bytes):
+        out = out.union(rows.mapInArrow(_find(items, seeds, threshold, kind), schema))
+    return out
+
+
+def _drop(items, seeds, threshold: float, column: str):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, column):
+                words, _, _, rows = words_of(*lowered(part.column(column)))
+                clean = np.ones(part.num_rows, bool)
+                clean[[f[0] for f in passages(items.value, seeds.value, words, rows, threshold)]] = False
+                yield part.filter(pa.array(clean))
+
+    return work
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without those that hold a passage of the benchmark; no row is shuffled."""
+    out = docs
+    for items, seeds in _shared(docs.select("text"), benchmark, block_bytes):
+        out = out.mapInArrow(_drop(items, seeds, threshold, "text"), docs.schema)
     return out

@@ -26,6 +26,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,20 +92,21 @@ def _profile(words: int):
                     [
                         part.column("doc_id"),
                         part.column("key"),
+                        part.column("mark"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
-                    ["doc_id", "key", "n_shingles", "set_id", "slice", "counts"],
+                    ["doc_id", "key", "mark", "n_shingles", "set_id", "slice", "counts"],
                 )
         counts += _count(waiting)
         slices = counts.astype(np.int32).reshape(COUNTER_SLICES, -1)
         n = COUNTER_SLICES
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32())]
+            [pa.nulls(n, kind), *(pa.nulls(n, pa.int64()) for _ in range(4)), pa.array(range(n), pa.int32())]
             + [pa.array([zlib.compress(s.tobytes(), 1) for s in slices], pa.binary())],
-            ["doc_id", "key", "n_shingles", "set_id", "slice", "counts"],
+            ["doc_id", "key", "mark", "n_shingles", "set_id", "slice", "counts"],
         )
 
     return work
@@ -384,7 +386,7 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(64, -(-total * (100 - percent) // 100 // BUCKET_ENTRIES))
     schema = "bucket int, tokens binary, sets binary, sizes binary, places binary"
-    entries = docs.mapInArrow(_short_lists(frequency, words, percent, buckets), schema).repartition(max(parts, buckets // 4), "bucket")
+    entries = docs.select("text").mapInArrow(_short_lists(frequency, words, percent, buckets), schema).repartition(max(parts, buckets // 4), "bucket")
     homes = scratch.write(entries.mapInArrow(_homes(percent), "home long, member long").distinct())
 
     involved = homes.select(F.explode(F.array("home", "member")).alias("set_id")).distinct()
@@ -393,7 +395,7 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     while bits < min(FILTER_BITS, 16 * keys.count()):
         bits *= 2
     chosen = context.broadcast(_filter_of(keys, bits))
-    passed = docs.mapInArrow(_sets_of(chosen, bits, words), "set_id long, tokens binary")
+    passed = docs.select("text", "key").mapInArrow(_sets_of(chosen, bits, words), "set_id long, tokens binary")
     sets = scratch.write(passed.join(keys, "set_id", "left_semi").dropDuplicates(["set_id"]))
 
     sized = homes.groupBy("home").agg((F.count("*") + 1).alias("n"))
@@ -425,24 +427,61 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     return found if near is None else found.union(near.where("linked").select("home", "member"))
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, members: int = HOME_MEMBERS) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id that links reach, of every document.
-
-    ``docs`` has doc_id and text; it is read three times, and once is staged what is known per document.
-    """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+def labelled(docs: DataFrame, scratch: Scratch, words: int, percent: int, members: int) -> DataFrame:
+    """doc_id, mark, n_shingles and component_id of every document; ``mark`` is a hash of doc_id and text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key"))
-    schema = f"doc_id {kind}, key long, n_shingles long, set_id long, slice int, counts binary"
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key"), F.xxhash64("doc_id", "text").alias("mark"))
+    schema = f"doc_id {kind}, key long, mark long, n_shingles long, set_id long, slice int, counts binary"
     profile = scratch.write(rows.mapInArrow(_profile(words), schema))
-    known = profile.where("slice is null").select("doc_id", "n_shingles", "set_id")
+    known = profile.where("slice is null").select("doc_id", "mark", "n_shingles", "set_id")
     roots = components(links(rows, profile, scratch, words, percent, members), scratch)
     classes = known.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     rooted = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("set_id", "component_id")
-    return known.join(named, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return known.join(named, "set_id", "left").select("doc_id", "mark", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, members: int = HOME_MEMBERS) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest doc_id that links reach, of every document.
+
+    ``docs`` has doc_id and text; it is read three times, and once is staged what is known per document.
+    """
+    return labelled(docs, Scratch(docs.sparkSession), words, percent, members).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, members: int = HOME_MEMBERS) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: one with the smallest doc_id.
+
+    Documents without shingles are in no group and stay. Texts are not shuffled but for those documents that a
+    filter of fixed size tells may have to go; those are then joined exactly.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    found = scratch.write(labelled(docs, scratch, words, percent, members).where("n_shingles > 0"))
+    best = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "mark"))["mark"].alias("mark"))
+    repeated = found.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
+    gone = scratch.write(found.join(best, "mark", "left_anti").select("mark").distinct())
+    suspects = gone.union(repeated).withColumnRenamed("mark", "key")
+    bits = 1 << 15
+    while bits < min(FILTER_BITS, 16 * found.count()):
+        bits *= 2
+    chosen = spark.sparkContext.broadcast(_filter_of(suspects, bits))
+
+    @F.pandas_udf("boolean")
+    def suspect(mark: pd.Series) -> pd.Series:
+        at = mark.to_numpy() & (bits - 1)
+        return pd.Series((chosen.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    marked = docs.withColumn("__mark", F.xxhash64("doc_id", "text"))
+    marked = marked.withColumn("__suspect", suspect("__mark"))
+    sure = marked.where(~F.col("__suspect")).drop("__mark", "__suspect")
+    left = marked.where("__suspect").join(gone.withColumnRenamed("mark", "__mark"), "__mark", "left_anti")
+    left = left.join(found.select(F.col("mark").alias("__grouped")).distinct(), F.col("__mark") == F.col("__grouped"), "left")
+    # Repeated rows of a document that stays are one document; those without shingles are not grouped.
+    own = F.coalesce(F.col("__grouped"), F.monotonically_increasing_id())
+    once = left.withColumn("__own", own).withColumn("__kind", F.col("__grouped").isNull()).dropDuplicates(["__own", "__kind"])
+    return sure.unionByName(once.select(*docs.columns))
 
 
 def near_duplicates_sql(words: int = SHINGLE, percent: int = PERCENT) -> str:

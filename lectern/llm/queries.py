@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, decontaminate, jaccard, langid, pii, rabitq, secrets, sharding, urls
+from lectern.llm import bpe, decontaminate, importance, jaccard, langid, pii, rabitq, secrets, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,11 @@ def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 SQL["op5_url_filter"] = urls.judge_sql(HOST_RULES)
 
 
+@query
+def op6_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.resample(table(spark, sf, "documents"), table(spark, sf, "labels").where("quality = 1"))
+
+
 @query
 def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return rabitq.near_duplicates(table(spark, sf, "embeddings"))
