@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.llm.words import hash_slices, pieces, utf8
 
@@ -337,12 +338,15 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", starts: str | None = None) -> DataFrame:
-    """``docs`` with the ids of ``text`` as an array; ``starts`` names a column for each id's first UTF-8 byte."""
+    """``docs`` with the ids of ``text`` as an array; ``starts`` names a column for each id's first UTF-8 byte.
+
+    Columns that have these names already are replaced.
+    """
+    docs = docs.drop(*[c for c in (ids, starts) if c])
     kept = docs.schema.fieldNames()
-    if {ids, starts} & set(kept):
-        raise ValueError(f"columns exist already: {sorted({ids, starts} & set(kept))}")
-    added = f"`{ids}` array<int>" + (f", `{starts}` array<long>" if starts else "")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = T.StructType(docs.schema.fields + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    if starts:
+        schema = schema.add(starts, T.ArrayType(T.LongType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -360,15 +364,16 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(first - base, pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, ids, *([starts] if starts else [])])
 
-    return docs.mapInArrow(work, f"{schema}, {added}")
+    return docs.mapInArrow(work, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
-    """``df`` with the text of its ids. Null ids give null; bytes that are no UTF-8 become replacement characters."""
-    if text in df.columns:
-        raise ValueError(f"column exists already: {text}")
+    """``df`` with the text of its ids, in place of a column so named.
+
+    Null ids give null; bytes that are no UTF-8 become replacement characters.
+    """
+    df = df.drop(text).withColumn(ids, F.col(ids).cast("array<int>"))
     kept = df.schema.fieldNames()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -376,4 +381,4 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decode
             texts = [None if x is None else vocab.decode(x).decode("utf-8", "replace") for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, text])
 
-    return df.withColumn(ids, F.col(ids).cast("array<int>")).mapInArrow(work, f"{schema}, `{text}` string")
+    return df.mapInArrow(work, T.StructType(df.schema.fields + [T.StructField(text, T.StringType())]))

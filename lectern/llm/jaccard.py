@@ -3,8 +3,8 @@
 Equal sets are one class from the start. A T-occurrence search then runs over the classes. A class of n
 shingles can only be similar to one with which it shares at least T = ceil(t n) of them, so all its lists but
 the T - 1 longest hold every partner. Those short lists are merged by value in buckets of the shingle space;
-the lists they give (two or more classes, sizes that fit, enough shingles left) meet at their least class, the
-list's home. In a home the sets of its members form an inverted index, and DivideSkip runs for every member:
+the lists they give (two or more classes of sizes that fit) meet at their least class, the list's home, but
+for classes that are in too few lists to have a partner. In a home the sets of its members form an inverted index, and DivideSkip runs for every member:
 short lists are merged and counted, candidates with enough occurrences are sought in the long lists by
 binary search, and those that reach the required overlap are links.
 
@@ -44,6 +44,8 @@ COUNTER_SLICES = 32
 BUCKET_ENTRIES = 250_000
 #: Members of a home or block that are searched together.
 HOME_MEMBERS = 1000
+#: A class with that many copies, and more than one in ``MANY_CLASSES`` of all documents, is broadcast.
+MANY_COPIES, MANY_CLASSES = 1000, 10_000
 #: Bits of the filter that tells which documents are in a list, at most.
 FILTER_BITS = 1 << 27
 
@@ -128,18 +130,18 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _short_lists(rarity, words: int, percent: int, buckets: int):
-    """Entries (shingle, class, size, place) of each class's short lists, packed by bucket."""
+    """Entries (shingle, class, size) of each class's short lists, packed by bucket."""
 
     def flush(entries: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        tokens, sets, sizes, places = (np.concatenate(c) for c in zip(*entries, strict=True))
+        tokens, sets, sizes = (np.concatenate(c) for c in zip(*entries, strict=True))
         bucket = (tokens % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         bucket = bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        columns = [c[order] for c in (tokens, sets, sizes, places)]
+        columns = [c[order] for c in (tokens, sets, sizes)]
         ends = [*cuts[1:].tolist(), len(bucket)]
         packed = [pa.array([c[a:b].tobytes() for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()) for c in columns]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), *packed], ["bucket", "tokens", "sets", "sizes", "places"])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), *packed], ["bucket", "tokens", "sets", "sizes"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = rarity.value
@@ -155,7 +157,7 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
                     k = prefix(n, percent)
                     order = np.argsort(frequency[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
                     short = tokens[order[:k]]
-                    entries.append((short, np.full(k, name, np.int64), np.full(k, n, np.int32), np.arange(k, dtype=np.int32)))
+                    entries.append((short, np.full(k, name, np.int64), np.full(k, n, np.int32)))
                     held += k
                 if held > 1_000_000:
                     yield flush(entries)
@@ -167,49 +169,60 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
 
 
 def _homes(percent: int):
-    """(home, member) of every list that can hold a link."""
+    """(home, member, lists, least) of lists that can hold a link.
 
-    def lists(tokens: np.ndarray, sets: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ``lists`` counts the lists of that home in which the member is. ``least`` is the number of short lists that the
+    member must share with some partner in one of them: two classes of sizes a and b share at most as many shingles as
+    they share short lists, and those that stay out of the short lists of the larger.
+    """
+
+    def must_share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        larger = np.maximum(a, b)
+        return needed(a, b, percent) - ((percent * larger + 99) // 100 - 1)
+
+    def lists(tokens: np.ndarray, sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
         # The same class comes from several tasks; lists of one class hold no link.
         order = np.lexsort((sets, tokens))
-        tokens, sets, sizes, places = (c[order] for c in (tokens, sets, sizes, places))
+        tokens, sets, sizes = tokens[order], sets[order], sizes[order]
         fresh = np.r_[True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1])]
-        tokens, sets, sizes, places = (c[fresh] for c in (tokens, sets, sizes, places))
+        tokens, sets, sizes = tokens[fresh], sets[fresh], sizes[fresh]
         order = np.lexsort((sizes, tokens))
-        tokens, sets, sizes, places = (c[order] for c in (tokens, sets, sizes.astype(np.int64), places.astype(np.int64)))
+        tokens, sets, sizes = tokens[order], sets[order], sizes[order].astype(np.int64)
         # A list falls apart where the next larger class is too large for all before it.
         new = np.r_[True, (tokens[1:] != tokens[:-1]) | (100 * sizes[:-1] < percent * sizes[1:])]
         heads = np.flatnonzero(new)
         lengths = np.diff(np.r_[heads, len(tokens)])
         keep = np.repeat(lengths > 1, lengths)
-        left = sizes - places  # shingles of the class from here on: no more can be shared
+        least = np.ones(len(tokens), np.int64)
         pairs = heads[lengths == 2]
-        bad = np.minimum(left[pairs], left[pairs + 1]) < needed(sizes[pairs], sizes[pairs + 1], percent)
-        keep[pairs[bad]] = keep[pairs[bad] + 1] = False
-        for a, g in zip(heads[(lengths > 2) & (lengths <= 256)].tolist(), lengths[(lengths > 2) & (lengths <= 256)].tolist(), strict=True):
-            here = slice(a, a + g)
-            fits = np.minimum.outer(left[here], left[here]) >= needed(sizes[here][:, None], sizes[here][None, :], percent)
-            np.fill_diagonal(fits, False)
-            keep[here] = fits.any(axis=1)
-        owner = np.cumsum(new) - 1
-        owner, sets = owner[keep], sets[keep]
+        least[pairs] = least[pairs + 1] = must_share(sizes[pairs], sizes[pairs + 1])
+        some = (lengths > 2) & (lengths <= 256)
+        for a, g in zip(heads[some].tolist(), lengths[some].tolist(), strict=True):
+            n = sizes[a : a + g]
+            share = must_share(n[:, None], n[None, :])
+            share[100 * np.minimum.outer(n, n) < percent * np.maximum.outer(n, n)] = np.iinfo(np.int64).max
+            np.fill_diagonal(share, np.iinfo(np.int64).max)
+            least[a : a + g] = share.min(axis=1)
+        owner = (np.cumsum(new) - 1)[keep]
+        sets, least = sets[keep], least[keep]
         if not len(sets):
-            return sets, sets
+            return sets, sets, sets, sets
         heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         home = np.repeat(np.minimum.reduceat(sets, heads), np.diff(np.r_[heads, len(sets)]))
-        other = home != sets
-        both = np.unique(np.stack([home[other], sets[other]], axis=1), axis=0)
-        return both[:, 0], both[:, 1]
+        order = np.lexsort((sets, home))
+        home, sets, least = home[order], sets[order], least[order]
+        heads = np.flatnonzero(np.r_[True, (home[1:] != home[:-1]) | (sets[1:] != sets[:-1])])
+        return home[heads], sets[heads], np.diff(np.r_[heads, len(sets)]), np.minimum.reduceat(least, heads)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[bytes]] = [[], [], [], []]
+        parts: list[list[bytes]] = [[], [], []]
         for batch in batches:
-            for held, name in zip(parts, ("tokens", "sets", "sizes", "places"), strict=True):
+            for held, name in zip(parts, ("tokens", "sets", "sizes"), strict=True):
                 held += batch.column(name).to_pylist()
         if parts[0]:
-            kinds = (np.uint64, np.int64, np.int32, np.int32)
-            home, member = lists(*(np.frombuffer(b"".join(p), k) for p, k in zip(parts, kinds, strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(member)], ["home", "member"])
+            kinds = (np.uint64, np.int64, np.int32)
+            columns = lists(*(np.frombuffer(b"".join(p), k) for p, k in zip(parts, kinds, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["home", "member", "lists", "least"])
 
     return work
 
@@ -338,24 +351,24 @@ def _search(percent: int):
 
 
 def _against_home(percent: int):
-    """(home, member, similarity, linked) for the members of large homes; the home's own set comes first."""
+    """Similarity of the members of large homes with one of them, ``own``, whose row comes first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
         for batch in batches:
             out = []
-            for home, salt, member, blob in zip(*(batch.column(c).to_pylist() for c in ("home", "salt", "member", "tokens")), strict=True):
+            for home, salt, first, member, blob in zip(*(batch.column(c).to_pylist() for c in ("home", "salt", "own", "member", "tokens")), strict=True):
                 tokens = np.frombuffer(blob, np.uint64)
                 if (home, salt) != last:
                     last, own = (home, salt), tokens
                     continue
                 shared = overlap(tokens, own)
                 union = len(tokens) + len(own) - shared
-                out.append((home, member, shared / union, 100 * shared >= percent * union))
+                out.append((home, first, member, shared / union, 100 * shared >= percent * union))
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["home", "member", "similarity", "linked"]
+                    [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["home", "own", "member", "similarity", "linked"]
                 )
 
     return work
@@ -385,11 +398,17 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     classes = profile.where("set_id is not null").groupBy("set_id").agg(F.min("key").alias("key"), F.first("n_shingles").alias("n"))
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(64, -(-total * (100 - percent) // 100 // BUCKET_ENTRIES))
-    schema = "bucket int, tokens binary, sets binary, sizes binary, places binary"
+    schema = "bucket int, tokens binary, sets binary, sizes binary"
     entries = docs.select("text").mapInArrow(_short_lists(frequency, words, percent, buckets), schema).repartition(max(parts, buckets // 4), "bucket")
-    homes = scratch.write(entries.mapInArrow(_homes(percent), "home long, member long").distinct())
-
-    involved = homes.select(F.explode(F.array("home", "member")).alias("set_id")).distinct()
+    listed = entries.mapInArrow(_homes(percent), "home long, member long, lists long, least long")
+    listed = scratch.write(listed.groupBy("home", "member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least")))
+    # A member of fewer lists than any of its partners asks for has no link.
+    alive = listed.groupBy("member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least")).where("lists >= least")
+    homes = listed.join(alive.select("member"), "member", "left_semi").select("home", "member")
+    sized = homes.groupBy("home").agg(F.count("*").alias("n"), F.min("member").alias("own")).where("n > 1")
+    rows = scratch.write(homes.join(sized, "home"))
+
+    involved = rows.select(F.col("member").alias("set_id")).distinct()
     keys = scratch.write(classes.join(involved, "set_id", "left_semi").select("set_id", "key"))
     bits = 1 << 15
     while bits < min(FILTER_BITS, 16 * keys.count()):
@@ -398,8 +417,6 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     passed = docs.select("text", "key").mapInArrow(_sets_of(chosen, bits, words), "set_id long, tokens binary")
     sets = scratch.write(passed.join(keys, "set_id", "left_semi").dropDuplicates(["set_id"]))
 
-    sized = homes.groupBy("home").agg((F.count("*") + 1).alias("n"))
-    rows = homes.union(sized.select("home", F.col("home").alias("member"))).join(sized, "home")
     member_sets = sets.withColumnRenamed("set_id", "member")
     small = rows.where(F.col("n") <= members).select("home", F.lit(0).alias("first"), F.lit(0).alias("second"), "member")
     searched = small
@@ -407,11 +424,11 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     near = None
     if not large.isEmpty():
         salts = F.ceil(F.col("n") / members).cast("int")
-        salted = large.where("home <> member").withColumn("salt", F.pmod(F.xxhash64("member"), salts).cast("int")).withColumn("own", F.lit(1))
-        own = large.where("home = member").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumn("own", F.lit(0))
-        both = salted.unionByName(own).join(member_sets, "member").select("home", "salt", "own", "member", "tokens")
-        dealt = both.repartition(parts, "home", "salt").sortWithinPartitions("home", "salt", "own")
-        near = scratch.write(dealt.mapInArrow(_against_home(percent), "home long, member long, similarity double, linked boolean"))
+        salted = large.where("own <> member").withColumn("salt", F.pmod(F.xxhash64("member"), salts).cast("int")).withColumn("turn", F.lit(1))
+        own = large.where("own = member").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumn("turn", F.lit(0))
+        both = salted.unionByName(own).join(member_sets, "member").select("home", "salt", "turn", "own", "member", "tokens")
+        dealt = both.repartition(parts, "home", "salt").sortWithinPartitions("home", "salt", "turn")
+        near = scratch.write(dealt.mapInArrow(_against_home(percent), "home long, own long, member long, similarity double, linked boolean"))
         closest = near.where(~F.col("linked")).groupBy("home").agg(F.max("similarity").alias("closest"))
         # A linked member can be similar to one that is not linked only if their distances from the home allow it.
         slack = 1 - percent / 100 + 1e-9
@@ -424,22 +441,34 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
         searched = searched.unionByName(met.select("home", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "member"))
     meeting = searched.join(member_sets, "member").repartition(parts, "home", "first", "second").sortWithinPartitions("home", "first", "second", "member")
     found = meeting.select("home", "first", "second", "member", "tokens").mapInArrow(_search(percent), "a long, b long")
-    return found if near is None else found.union(near.where("linked").select("home", "member"))
+    return found if near is None else found.union(near.where("linked").select("own", "member"))
 
 
 def labelled(docs: DataFrame, scratch: Scratch, words: int, percent: int, members: int) -> DataFrame:
-    """doc_id, mark, n_shingles and component_id of every document; ``mark`` is a hash of doc_id and text."""
+    """doc_id, mark, n_shingles, root and component_id of every document.
+
+    ``mark`` is a hash of doc_id and text. ``root`` names the component and is null for a document without shingles.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key"), F.xxhash64("doc_id", "text").alias("mark"))
     schema = f"doc_id {kind}, key long, mark long, n_shingles long, set_id long, slice int, counts binary"
     profile = scratch.write(rows.mapInArrow(_profile(words), schema))
     known = profile.where("slice is null").select("doc_id", "mark", "n_shingles", "set_id")
     roots = components(links(rows, profile, scratch, words, percent, members), scratch)
-    classes = known.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
+    classes = known.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     rooted = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("set_id", "component_id")
-    return known.join(named, "set_id", "left").select("doc_id", "mark", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = scratch.write(rooted.join(least, "root").select("set_id", "n", "root", "component_id"))
+    # Classes of very many copies are few, however large the input, and go to every task; their documents meet no one
+    # in the join that the others take.
+    many = max(MANY_COPIES, -(-known.count() // MANY_CLASSES))
+    hot = F.broadcast(named.where(F.col("n") >= many).select("set_id", F.col("root").alias("hot_root"), F.col("component_id").alias("hot_id")))
+    met = known.join(hot, "set_id", "left").withColumn("set_id", F.when(F.col("hot_root").isNull(), F.col("set_id")))
+    met = met.withColumn("set_id", F.coalesce("set_id", "mark"))
+    out = met.join(named.where(F.col("n") < many).drop("n"), "set_id", "left")
+    own = F.when(F.col("n_shingles") > 0, F.coalesce("hot_id", "component_id"))
+    root = F.when(F.col("n_shingles") > 0, F.coalesce("hot_root", "root"))
+    return out.select("doc_id", "mark", "n_shingles", root.alias("root"), F.coalesce(own, "doc_id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, members: int = HOME_MEMBERS) -> DataFrame:
@@ -459,7 +488,7 @@ def keep_one(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, memb
     spark = docs.sparkSession
     scratch = Scratch(spark)
     found = scratch.write(labelled(docs, scratch, words, percent, members).where("n_shingles > 0"))
-    best = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "mark"))["mark"].alias("mark"))
+    best = found.groupBy("root").agg(F.min(F.struct("doc_id", "mark"))["mark"].alias("mark"))
     repeated = found.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
     gone = scratch.write(found.join(best, "mark", "left_anti").select("mark").distinct())
     suspects = gone.union(repeated).withColumnRenamed("mark", "key")

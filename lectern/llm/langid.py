@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lectern.llm.words import pieces, utf8
@@ -232,13 +233,11 @@ def _predict(shared):
 
 
 def predict(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; only ``text`` is read by the network."""
-    clash = {"lang_pred", "score"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    shared = docs.sparkSession.sparkContext.broadcast(network)
-    return docs.withColumn("__text", F.col(text)).mapInArrow(_predict(shared), f"{schema}, lang_pred string, score double")
+    """``docs`` with lang_pred and score, in place of columns so named; only ``text`` is read by the network."""
+    kept = docs.withColumn("__text", F.col(text)).drop("lang_pred", "score")
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([f for f in kept.schema.fields if f.name != "__text"] + added)
+    return kept.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(network)), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

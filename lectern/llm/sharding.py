@@ -85,14 +85,12 @@ def fill(counts: dict[int, int], nodes: list[tuple[int, int]], room: list[int],
 
 
 def assign(df: DataFrame, key: str, order: list[str], shards: int, slack: float = 0.0, nodes: int = VIRTUAL_NODES) -> DataFrame:
-    """``df`` with shard and slot (gapless from 0 in each shard).
+    """``df`` with shard and slot (gapless from 0 in each shard), in place of columns so named.
 
     ``order`` are columns that order the rows of a cell; rows equal in them are told apart by their place in
     the input. ``df`` is read once and staged, so pass no wider rows than the result needs.
     """
-    clash = {"shard", "slot"} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    df = df.drop("shard", "slot")
     spark = df.sparkSession
     own = [f"__{n}" for n in ("row", "cell", "part", "rank", "before")]
     row, cell, part, rank, before = own

@@ -1,0 +1,95 @@
+import re
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lectern.llm import pii
+
+RULES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(c) for c in reversed(digits)]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(doubled)) % 10 == 0
+
+
+def plain(text):
+    out = []
+    for kind, rule in RULES.items():
+        for m in re.finditer(rule, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 16 <= len(digits) <= 19 and luhn(digits),
+                "phone": 8 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                out.append((kind, *m.span()))
+    return out
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("ab1@.2-+ 5(4)%_0"), max_size=60))
+def test_base_spans_equal_the_rules(text):
+    assert pii.detect(text) == plain(text)
+
+
+def test_base_spans_of_documents(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect():
+        assert pii.detect(r.text) == plain(r.text)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("mail john dot doe at example dot com now", "email", "john dot doe at example dot com"),
+        ("write to jane [at] mail [dot] org.", "email", "jane [at] mail [dot] org"),
+        ("ana arroba correo punto es", "email", "ana arroba correo punto es"),
+        ("jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
+        ("a​b@c​.com", "email", "a​b@c​.com"),
+        ("192[.]168[.]1[.]1", "ip", "192[.]168[.]1[.]1"),
+        ("host 10 dot 0 dot 0 dot 7!", "ip", "10 dot 0 dot 0 dot 7"),
+        ("call plus one seven four three 555 3824 or", "phone", "plus one seven four three 555 3824"),
+        ("+１ (743) 555‑3824", "phone", "+１ (743) 555‑3824"),
+        ("four five two one nine four zero eight eight six one nine four nine six seven", "card", None),
+    ],
+)
+def test_disguises_are_found_at_their_source_place(text, kind, span):
+    base, every = pii.find(text)
+    assert base == []
+    ((k, a, b),) = every
+    assert k == kind and text[a:b] == (span or text)
+
+
+def test_plain_text_gets_nothing_added():
+    for text in ("look at this point in time", "we met at noon. Dot was there", "one two buckle my shoe", "a @ b . c", "çà et là, sept huit"):
+        assert pii.find(text) == ([], [])
+
+
+def test_edits_map_back():
+    text = "a​b [at] c [dot] d"
+    n = pii.normalise(text)
+    assert n.text == "ab@c.d"
+    assert [text[slice(*n.back(i, i + 1))] for i in range(len(n.text))] == ["a", "b", " [at] ", "c", " [dot] ", "d"]
+
+
+def test_long_texts_take_linear_time():
+    begun = time.time()
+    for unit in ("1", "a", "a.b", "one ", "[ ", "a at b ", "1.1.", "- ", "at dot ", "a dot ", "+1 ", "a@"):
+        pii.find(unit * 50_000)
+    assert time.time() - begun < 60
+
+
+def test_rows(odd, empty):
+    rows = pii.find_personal_data(odd).collect()
+    assert len(rows) == 12 and all(r.spans == "" and r.n_added == 0 for r in rows)
+    assert pii.find_personal_data(empty).count() == 0
+    assert pii.mask("to a@b.com!") == "to *******!"
