@@ -99,18 +99,18 @@ def assign(df: DataFrame, key: str, order: list[str], shards: int, slack: float
     total = sum(counts.values())
     intervals = fill(counts, ring(spark, shards, nodes), capacities(total, shards, slack))
     plan = F.broadcast(spark.createDataFrame(intervals, INTERVAL))
-    sizes = spark.createDataFrame([(c, -(-n // STRETCH_ROWS)) for c, n in counts.items()], "c int, parts long")
-    parted = staged.join(F.broadcast(sizes), F.col(cell) == F.col("c")).withColumn(part, F.pmod(F.xxhash64(row), F.col("parts"))).drop("c", "parts")
+    sizes = spark.createDataFrame([(c, -(-n // STRETCH_ROWS)) for c, n in counts.items()], "__c int, __parts long")
+    parted = staged.join(F.broadcast(sizes), F.col(cell) == F.col("__c")).withColumn(part, F.pmod(F.xxhash64(row), F.col("__parts"))).drop("__c", "__parts")
     # Rows in the parts before, by counts: a cell has one part per stretch of rows.
     per_part = parted.groupBy(cell, part).agg(F.count("*").alias(rank))
     cumulative = Window.partitionBy(cell).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_part.select(F.col(cell).alias("c"), F.col(part).alias("p"), F.coalesce(F.sum(rank).over(cumulative), F.lit(0)).alias(before))
+    starts = per_part.select(F.col(cell).alias("__c"), F.col(part).alias("__p"), F.coalesce(F.sum(rank).over(cumulative), F.lit(0)).alias(before))
     within = Window.partitionBy(cell, part).orderBy(*order, row)
     numbered = parted.withColumn(rank, F.row_number().over(within) - 1)
-    numbered = numbered.join(starts, (F.col(cell) == F.col("c")) & (F.col(part) == F.col("p"))).withColumn(rank, F.col(rank) + F.col(before)).drop("c", "p")
+    numbered = numbered.join(starts, (F.col(cell) == F.col("__c")) & (F.col(part) == F.col("__p"))).withColumn(rank, F.col(rank) + F.col(before)).drop("__c", "__p")
     inside = (numbered[cell] == plan["cell"]) & (numbered[rank] >= plan["low"]) & (numbered[rank] < plan["high"])
     placed = numbered.join(plan, inside)
-    return placed.select(*df.columns, plan["shard"], (plan["base"] + numbered[rank] - plan["low"]).alias("slot"))
+    return placed.select(*[numbered[c] for c in df.columns], plan["shard"], (plan["base"] + numbered[rank] - plan["low"]).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
