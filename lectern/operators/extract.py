@@ -72,33 +72,48 @@ class _Page(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, list[list[str]]]] = []
+        self.open: list[tuple[str, list[list[int | None]]]] = []
+        self.places: dict[str, list[int]] = {}  # of each tag the places in ``open``, the nearest last
+        self.pieces: list[str] = []  # all text; an element's own is a stretch of it
         self.silent = 0
         self.first: dict[str, str | None] = {}
-        self.texts: dict[str, list[list[str]]] = {}
+        self.texts: dict[str, list[list[int | None]]] = {}  # first piece and the one after the last; None while open
         self.scripts: list[list[str]] = []
+        self.scripting = False
 
-    def _collect(self, names: list[str]) -> list[list[str]]:
-        buffers = []
+    def _collect(self, names: list[str]) -> list[list[int | None]]:
+        stretches: list[list[int | None]] = []
         for name in names:
-            buffer: list[str] = []
-            self.texts.setdefault(name, []).append(buffer)
-            buffers.append(buffer)
-        return buffers
+            stretches.append([len(self.pieces), None])
+            self.texts.setdefault(name, []).append(stretches[-1])
+        return stretches
+
+    def _push(self, tag: str, stretches: list[list[int | None]]) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, stretches))
+
+    def _close(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it; each is closed once, however deep they lie."""
+        while len(self.open) > place:
+            tag, stretches = self.open.pop()
+            self.places[tag].pop()
+            for stretch in stretches:
+                stretch[1] = len(self.pieces)
+
+    def _nearest(self, tags: frozenset[str] | set[str]) -> int:
+        """Place of the nearest open element in ``tags``, or -1."""
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=-1)
 
     def _pop(self, wanted: frozenset[str] | set[str], stop: frozenset[str]) -> bool:
         """Close up to the nearest open element in ``wanted`` unless one in ``stop`` is nearer."""
-        for i in range(len(self.open) - 1, -1, -1):
-            tag = self.open[i][0]
-            if tag in wanted:
-                del self.open[i:]
-                return True
-            if tag in stop:
-                return False
-        return False
+        place = self._nearest(wanted)
+        if place < 0 or place < self._nearest(stop):
+            return False
+        self._close(place)
+        return True
 
     def _is_open(self, *tags: str) -> bool:
-        return any(t in tags for t, _ in self.open)
+        return any(self.places.get(t) for t in tags)
 
     def _paragraph_lists(self) -> list[str]:
         return [f"{t}_p_list" for t in ("article", "section") if self._is_open(t)]
@@ -110,7 +125,7 @@ class _Page(HTMLParser):
         if tag in CLOSES_P:
             self._pop({"p"}, BARRIERS)
         if tag in HEADINGS and self.open and self.open[-1][0] in HEADINGS:
-            self.open.pop()
+            self._close(len(self.open) - 1)
         if tag == "meta":
             self._meta(at)
         elif tag == "time":
@@ -125,9 +140,8 @@ class _Page(HTMLParser):
             self.silent += 1
             if at.get("type") == "application/ld+json":
                 self.scripts.append([])
-                self.open.append((tag, [self.scripts[-1]]))
-                return
-        self.open.append((tag, self._collect(self._wanted(tag, at))))
+                self.scripting = True
+        self._push(tag, self._collect(self._wanted(tag, at)))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
@@ -169,9 +183,11 @@ class _Page(HTMLParser):
         if tag in SILENT:
             if self._pop({tag}, frozenset()):
                 self.silent -= 1
+                self.scripting = False
         elif tag == "p":
             if not self._pop({"p"}, BARRIERS):
-                self._collect(self._paragraph_lists())  # a stray end tag is an empty paragraph
+                for stretch in self._collect(self._paragraph_lists()):  # a stray end tag is an empty paragraph
+                    stretch[1] = stretch[0]
         elif tag in HEADINGS:
             self._pop(HEADINGS, BARRIERS)
         elif tag in ("html", "body"):
@@ -182,20 +198,20 @@ class _Page(HTMLParser):
             self._pop({tag}, BLOCKS)
 
     def handle_data(self, data: str) -> None:
-        if self.silent:
-            for buffer in self.open[-1][1] if self.open and self.open[-1][0] == "script" else ():
-                buffer.append(data)
-            return
-        for _, buffers in self.open:
-            for buffer in buffers:
-                buffer.append(data)
+        if not self.silent:
+            self.pieces.append(data)
+        elif self.scripting:
+            self.scripts[-1].append(data)
 
     def parts(self) -> dict[str, object]:
+        def text(stretch: list[int | None]) -> str:
+            return "".join(self.pieces[stretch[0] : stretch[1]])
+
         def all_of(name: str) -> list[str]:
-            return ["".join(b) for b in self.texts.get(name, [])]
+            return [text(s) for s in self.texts.get(name, [])]
 
         def first_of(name: str) -> str | None:
-            return all_of(name)[0].strip(TRIM) if name in self.texts else None
+            return text(self.texts[name][0]).strip(TRIM) if name in self.texts else None
 
         out: dict[str, object] = {name: self.first.get(name) for name in PARTS.fieldNames()}
         for name in ("title", "h1", "author_testid", "clap_testid", "responses_testid"):

@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -117,3 +118,10 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     code = "import pickle; print(pickle.load(open('f', 'rb'))('<article><p>x')['article_p_list'])"
     found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
     assert found.stdout.strip() == "['x']"
+
+
+def test_unclosed_tags_cost_linear_time():
+    begun = time.time()
+    for unit in ("<b>x", "<b><p>x", "<i></p>", "<h1><b>x", "<li>x", "<td>x"):
+        assert page_parts("<article><p>first" + unit * 50_000)["error"] is None
+    assert time.time() - begun < 60
