@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lectern.functions.embedding import Embedder, FunctionEmbedder, HashingEmbedder
 from lectern.plans import pipeline, sinks
 from lectern.schemas import MAX_BAD_RECORDS, TOP_K, UPDATE_ALL
+from lectern.scratch import Scratch
 from lectern.session import configure
 from lectern.sources import feeds, layout
 from lectern.sources.articles import read_silver
@@ -37,17 +38,32 @@ def _embedder(path: str | None) -> Embedder:
 
 
 def discover(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
-    """Feed files to URL lists and manifests; empty feeds to error records."""
-    found = feeds.read_feeds(spark, a.feeds).where(F.col("topic").isNotNull())
-    links = feeds.keep_links(feeds.feed_items(found)).select("topic", "pos", F.col("link").alias("url"))
-    manual = layout.manual_glob(a.root) if a.manual else None
-    if manual:
-        links = feeds.with_manual_fallback(links, feeds.read_url_lists(spark, manual).select(*links.columns))
-    errors = feeds.empty_feeds(found).select("topic", "error")
-    sinks.write_url_lists(links, f"{a.root}/{layout.TOPIC_URLS}", a.date, F.current_timestamp())
-    sinks.write_manifests(links.withColumn("run_date", F.lit(a.date)), f"{a.root}/{layout.MANIFESTS}", size=a.block)
-    sinks.write_feed_errors(errors, f"{a.root}/{layout.ERRORS}", a.date, a.allow_empty)
-    return {"urls": links.count()}
+    """Feed files to URL lists and manifests; empty feeds and files outside the layout to error records.
+
+    Feeds are parsed once. Links of a topic and day are ordered by feed file, then by their place in it.
+    """
+    with Scratch(spark) as scratch:
+        found = feeds.read_feeds(spark, a.feeds).withColumn("run_date", F.coalesce("run_date", F.lit(a.date)))
+        misplaced = found.where(F.col("topic").isNull()).select(F.lit(feeds.UNKNOWN_TOPIC).alias("topic"), "run_date", F.col("file").alias("url"), F.lit(feeds.MISPLACED).alias("error"))
+        placed = feeds.number_files(found.where(F.col("topic").isNotNull()))
+        items = scratch.write(feeds.keep_links(feeds.feed_items(placed)).select("topic", "run_date", "file", "pos", F.col("link").alias("url")))
+        links = items.drop("file")
+        if a.manual:
+            manual = feeds.read_url_lists(spark, layout.manual_glob(a.root)).withColumn("run_date", F.lit(a.date))
+            links = feeds.with_manual_fallback(links, feeds.number_rows(manual.select(*links.columns)))
+        links = scratch.write(links)
+        empty = placed.select("topic", "run_date", "file").join(items.select("topic", "run_date", "file").distinct(), ["topic", "run_date", "file"], "left_anti")
+        errors = scratch.write(empty.select("topic", "run_date", F.col("file").alias("url"), F.lit(feeds.EMPTY_FEED).alias("error")).unionByName(misplaced))
+        days = [r[0] for r in links.select("run_date").union(errors.select("run_date")).distinct().collect()]  # a row per day
+        for day in days:
+            on_day = links.where(F.col("run_date") == day)
+            sinks.write_url_lists(on_day, f"{a.root}/{layout.TOPIC_URLS}", day, F.current_timestamp())
+            sinks.write_manifests(on_day, f"{a.root}/{layout.MANIFESTS}", size=a.block)
+        for day in days:
+            sinks.write_feed_errors(errors.where(F.col("run_date") == day).drop("run_date"), f"{a.root}/{layout.ERRORS}", day, True)
+        if not a.allow_empty and not errors.isEmpty():
+            raise sinks.EmptyFeedError("a feed gave no links")
+        return {"urls": links.count()}
 
 
 def land(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
@@ -72,7 +88,7 @@ def _collector(spark: SparkSession, a: argparse.Namespace) -> pipeline.ArticleCo
 def load(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     collector = _collector(spark, a)
     if a.loader == "files":
-        merged = pipeline.load_files(spark, collector.extract(a.date), collector.silver, UPDATE_ALL)
+        merged = pipeline.load_files(spark, collector.extract(a.date), collector.silver, UPDATE_ALL, collector.rejects, a.date)
         return {"rows_merged": merged}
     if a.loader == "inferred":
         return {"rows_merged": pipeline.load_inferred(spark, collector.extract(a.date), collector.silver)}

@@ -46,14 +46,15 @@ def retrieve_context(
     metric: str = "euclidean",
     payload: tuple[str, ...] = ("chunk_text",),
     base_ids: tuple[str, ...] = ("chunk_id", "article_url"),
+    on_error: str = "fail",
 ) -> DataFrame:
     """``question_id, rank, distance, chunk_id, article_url`` and ``payload`` of the ``k`` nearest chunks.
 
     ``questions`` has ``question_id, query``; ``chunks`` is the gold table. Only ids and vectors go
     through the search. Texts are looked up for the hits afterwards, in a second scan of the gold
-    table that reads no vectors.
+    table that reads no vectors. A question that cannot be embedded fails the job, or with "skip" finds nothing.
     """
-    asked = embed(questions.select("question_id", "query"), embedder, "query")
+    asked = embed(questions.select("question_id", "query"), embedder, "query", on_error=on_error)
     hits = nearest_neighbors(chunks, asked, k, base_ids=base_ids, metric=metric)
     texts = chunks.select(*base_ids, *payload)
     if questions.limit(HIT_ROWS_BROADCAST // k + 1).count() <= HIT_ROWS_BROADCAST // k:

@@ -16,6 +16,13 @@ BAD_URL = "Invalid URL"
 REQUIRED = ("article_url", "title", "page_content", "published_date")
 
 
+# Messages of the strict contract, around the value they name.
+MISSING = "Missing required field: "
+SHORT = ("Article content too short (", " chars). Likely gated or failed scrape.")
+STRICT_URL = "Invalid article URL: "
+STRICT_DATE = ("Invalid date format: ", ". Expected YYYY-MM-DD.")
+
+
 class ContractError(ValueError):
     """Raised when violating rows are not allowed."""
 
@@ -39,23 +46,19 @@ def violations(df: DataFrame) -> DataFrame:
 def strict_violation() -> Column:
     """First failed check of the strict record contract as a message; null for a valid record."""
     missing = [
-        (F.coalesce(F.col(f), F.lit("")) == "", F.lit(f"Missing required field: {f}")) for f in REQUIRED
+        (F.coalesce(F.col(f), F.lit("")) == "", F.lit(MISSING + f)) for f in REQUIRED
     ]
     length = F.char_length("page_content")
     date = F.col("published_date")
     checks = missing + [
         (
             length < GATE_CHARS,
-            F.concat(
-                F.lit("Article content too short ("),
-                length.cast("string"),
-                F.lit(" chars). Likely gated or failed scrape."),
-            ),
+            F.concat(F.lit(SHORT[0]), length.cast("string"), F.lit(SHORT[1])),
         ),
-        (~F.col("article_url").startswith("http"), F.concat(F.lit("Invalid article URL: "), "article_url")),
+        (~F.col("article_url").startswith("http"), F.concat(F.lit(STRICT_URL), "article_url")),
         (
             F.try_to_date(date, "yyyy-M-d").isNull(),
-            F.concat(F.lit("Invalid date format: "), date, F.lit(". Expected YYYY-MM-DD.")),
+            F.concat(F.lit(STRICT_DATE[0]), date, F.lit(STRICT_DATE[1])),
         ),
     ]
     first = F.when(*checks[0])

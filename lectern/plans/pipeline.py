@@ -8,6 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +57,7 @@ class ArticleCollector:
     chunker: str = "whitespace"
     exclude_gated: bool = True
     index_by: str = "published"
+    suffix: str = ".json"
 
     @property
     def silver(self) -> str:
@@ -65,23 +67,40 @@ class ArticleCollector:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     def extract(self, day: str) -> str:
         """Folders are named plainly (``{topic}/{day}``) or by our own sink (``folder={topic}/run_date={day}``)."""
         topic = "*" if self.topic == "*" else f"{{,folder=}}{self.topic}"
-        return f"{self.root}/{layout.ARTICLES}/{topic}/{{,run_date=}}{day}/*.json"
+        return f"{self.root}/{layout.ARTICLES}/{topic}/{{,run_date=}}{day}/*{self.suffix}"
 
     def validate(self, rows: DataFrame) -> DataFrame:
         return contract.violations(rows)
 
     def load(self, day: str) -> dict[str, int]:
-        """Stage the day's files, check the contract, upsert."""
+        """Stage the day's files, check the contract, upsert. A day without files changes nothing.
+
+        Records that cannot be read and rows that the policy holds back are written to the rejects of the day.
+        """
         with Scratch(self.spark) as scratch:
-            load = load_bronze(self.spark, self.extract(day), scratch, self.max_bad)
+            try:
+                load = load_bronze(self.spark, self.extract(day), scratch, self.max_bad, self.suffix)
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                log.warning("nothing landed on %s", day)
+                return dict.fromkeys(("rows_loaded", "bad_records", "violations", "rows_merged", "silver_partitions"), 0)
+            sinks.write_rejects(load.rejects, self.rejects, day, "load")
             broken = {r["violation"]: r["rows"] for r in contract.report(self.validate(load.rows)).collect()}
             found = sum(broken.values())
             if found:
                 log.warning("%d contract violations", found)
-            kept, _ = contract.apply_policy(load.rows, self.on_violation)
+            kept, held = contract.apply_policy(load.rows, self.on_violation)
+            record = F.to_json(F.struct(*load.rows.columns))
+            reasons = F.array_join(contract.broken_rules(), ", ")
+            sinks.write_rejects(held.select(record.alias("record"), reasons.alias("reason")), self.rejects, day, "contract")
             merge = merge_silver(
                 self.spark, self.silver, kept.select(*derive.silver_columns()), scratch, self.update_cols
             )
@@ -139,8 +158,9 @@ def land_pages(
         )
         articles, errors = split_errors(done)
         sinks.write_bronze(articles, landed, run_date)
-        if counts.get["errors"]:
-            sinks.write_errors(errors, f"{root}/{layout.ERRORS}", run_date)
+        path = f"{root}/{layout.ERRORS}"
+        if counts.get["errors"] or exists(spark, path):
+            sinks.write_errors(errors, path, run_date, done.select("topic", F.col("article_url").alias("url")))
     return {"pages": counts.get["pages"], "errors": counts.get["errors"]}
 
 
@@ -150,7 +170,14 @@ def _not_landed(spark: SparkSession, pages: DataFrame, landed: str, run_date: st
     first = first_landing(keys, "pos")
     if not exists(spark, landed):
         return first
-    present = spark.read.schema("topic string, slug string, run_date string").json(landed)
+    # Our own files name topic and slug in their rows, files of one article each in their path.
+    rows = spark.read.schema("topic string, slug string").json(landed, recursiveFileLookup=True, pathGlobFilter="*.json")
+    path = F.col("_metadata.file_path")
+    present = rows.select(
+        F.coalesce("topic", layout.path_topic(path)).alias("topic"),
+        F.coalesce("slug", layout.path_stem(path)).alias("slug"),
+        layout.path_run_date(path).alias("run_date"),
+    )
     return skip_landed(first, present.where(F.col("run_date") == run_date))
 
 
@@ -181,13 +208,15 @@ def run_pipeline(
 
 
 def load_files(
-    spark: SparkSession, path: str, silver: str, update_cols: tuple[str, ...]
+    spark: SparkSession, path: str, silver: str, update_cols: tuple[str, ...], rejects: str | None = None, run: str = "once"
 ) -> int:
-    """Loader for one-document-per-file folders: soft failures, then an upsert. Returns rows merged."""
+    """Loader for one-document-per-file folders: unreadable files to ``rejects``, then an upsert. Returns rows merged."""
     with Scratch(spark) as scratch:
         articles, broken = read_article_files(spark, path, scratch)
         for row in broken.select("file_path").limit(5).collect():
             log.warning("not a JSON document: %s", row["file_path"])
+        if rejects:
+            sinks.write_rejects(broken.select(F.col("file_path").alias("record"), F.col("error").alias("reason")), rejects, run, "files")
         return merge_silver(spark, silver, articles.select(*derive.silver_columns()), scratch, update_cols).source_rows
 
 

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.functions import derive
 from lectern.operators.blocks import list_documents, with_blocks
 from lectern.operators.chunking import open_articles
 from lectern.schemas import ARTICLE_COLUMNS, MANIFEST_URLS
+from lectern.scratch import Scratch, exists, remove
 from lectern.sources.articles import published_on
 
 
@@ -48,10 +50,43 @@ def write_bronze(articles: DataFrame, path: str, run_date: str) -> None:
     write_json(rows.withColumn("folder", F.col("topic")), path, ("folder", "run_date"), mode="append")
 
 
-def write_errors(errors: DataFrame, path: str, run_date: str) -> None:
-    """Dead letters ``url, topic, error, failed_at``; the batch goes on."""
+def _folder_name(value: str | None) -> str:
+    """How Spark writes a partition value in a path."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in value)
+
+
+def write_errors(errors: DataFrame, path: str, run_date: str, retried: DataFrame | None = None) -> None:
+    """Dead letters of a day; the batch goes on.
+
+    ``retried`` names, by ``topic, url``, what this run has tried: earlier records of it are replaced, or vanish
+    when it succeeded, and those of other pages stay. Without it the day's records are all replaced.
+    """
+    spark = errors.sparkSession
     rows = errors.withColumn("run_date", F.lit(run_date)).withColumn("folder", F.col("topic"))
-    write_json(rows, path, ("folder", "run_date"), mode="append")
+    if not exists(spark, path):
+        write_json(rows, path, ("folder", "run_date"))
+        return
+    with Scratch(spark) as scratch:
+        held = spark.read.schema(T.StructType(rows.schema.fields)).json(path).where(F.col("run_date") == run_date)
+        old = scratch.write(held.select(*[F.col(c).cast(rows.schema[c].dataType) for c in rows.columns]))
+        left = old.where(F.lit(False)) if retried is None else old.join(retried.select("topic", "url").distinct(), ["topic", "url"], "left_anti")
+        staged = scratch.write(rows.unionByName(left))
+        kept = {r[0] for r in staged.select("folder").distinct().collect()}  # topics of one day
+        for gone in {r[0] for r in old.select("folder").distinct().collect()} - kept:
+            remove(spark, f"{path}/folder={_folder_name(gone)}/run_date={run_date}")
+        write_json(staged, path, ("folder", "run_date"))
+
+
+def write_rejects(rejects: DataFrame, path: str, run: str, step: str) -> None:
+    """What a step of a run did not load, as ``record, reason``: replaced when the step of that run is repeated."""
+    folder = f"{path}/step={step}/run={run}"
+    if rejects.isEmpty():
+        if exists(rejects.sparkSession, folder):
+            remove(rejects.sparkSession, folder)
+        return
+    rejects.select("record", "reason").write.mode("overwrite").json(folder)
 
 
 def write_feed_errors(errors: DataFrame, path: str, run_date: str, allow_empty: bool = False) -> None:

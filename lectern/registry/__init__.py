@@ -25,4 +25,4 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from lectern.registry import derived, files, jobs, pages, retrieval, upserts  # noqa: F401
+    from lectern.registry import derived, files, jobs, pages, rejected, retrieval, upserts  # noqa: F401

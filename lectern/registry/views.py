@@ -26,7 +26,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         "case when doc_id % 37 = 0 then concat('invalid-', doc_id)"
         " else concat('https://ex.example/', source, '/a-', doc_id, '?source=rss') end as article_url",
         "lang as topic",
-        "case when doc_id % 41 = 0 then null when doc_id % 40 = 0 then '' else substring(text, 1, 60) end as title",
+        "case when doc_id % 41 = 0 then null when doc_id % 40 = 0 then '' else split_part(text, chr(10), 1) end as title",
         "source as author_name",
         "text as page_content",
         "split_part(text, chr(10), 1) as first_line",
@@ -48,7 +48,7 @@ art AS (
     CASE WHEN doc_id % 37 = 0 THEN concat('invalid-', doc_id)
          ELSE concat('https://ex.example/', source, '/a-', doc_id, '?source=rss') END AS article_url,
     lang AS topic,
-    CASE WHEN doc_id % 41 = 0 THEN NULL WHEN doc_id % 40 = 0 THEN '' ELSE substring(text, 1, 60) END AS title,
+    CASE WHEN doc_id % 41 = 0 THEN NULL WHEN doc_id % 40 = 0 THEN '' ELSE split_part(text, chr(10), 1) END AS title,
     source AS author_name, text AS page_content, split_part(text, chr(10), 1) AS first_line,
     CASE WHEN doc_id % 43 = 0 THEN '01/01/2026' WHEN doc_id % 47 = 0 THEN NULL
          ELSE concat('2026-01-', lpad(CAST(1 + doc_id % 28 AS varchar), 2, '0'), 'T00:00:00Z') END AS published_date,
@@ -79,7 +79,7 @@ def _simple(df: DataFrame, url: str, topic: str, text: str, stamp: str) -> DataF
     return df.selectExpr(
         f"{url} as article_url",
         f"'{topic}' as topic",
-        f"substring({text}, 1, 40) as title",
+        f"split_part({text}, chr(10), 1) as title",
         f"'{topic}' as author_name",
         f"{text} as page_content",
         f"split_part({text}, chr(10), 1) as first_line",
@@ -96,7 +96,7 @@ def _simple(df: DataFrame, url: str, topic: str, text: str, stamp: str) -> DataF
 
 def _simple_sql(name: str, url: str, topic: str, text: str, stamp: str) -> str:
     return f"""
-  SELECT {url} AS article_url, '{topic}' AS topic, substring({text}, 1, 40) AS title, '{topic}' AS author_name,
+  SELECT {url} AS article_url, '{topic}' AS topic, split_part({text}, chr(10), 1) AS title, '{topic}' AS author_name,
     {text} AS page_content, split_part({text}, chr(10), 1) AS first_line, date '2026-01-05' AS published_date,
     CAST(NULL AS varchar) AS clap_count, CAST(NULL AS varchar) AS comments_count,
     CAST(NULL AS varchar) AS hero_image_url, CAST(NULL AS varchar) AS author_avatar_url,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.schemas import URL_LIST
@@ -16,6 +16,13 @@ FEED = "channel struct<item: array<struct<link: string>>>, _corrupt_record strin
 EMPTY_FEED = "Feed empty or failed to parse"
 
 
+#: Error text of a feed file whose path names no topic, and the topic its record gets.
+MISPLACED = "Feed file outside the layout"
+UNKNOWN_TOPIC = "unknown"
+#: Items that one feed file may hold: a feed is one small document.
+FILE_ITEMS = 1 << 32
+
+
 def parse_feed(xml: Column) -> Column:
     """``rss`` document text to a struct; a broken document leaves only ``_corrupt_record``."""
     return F.from_xml(xml, FEED, {"rowTag": "rss", "mode": "PERMISSIVE"})
@@ -25,17 +32,41 @@ def read_feeds(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``topic, run_date, xml``: one row per feed file. A feed is one small document."""
     files = whole_files(spark, path)
     return layout.with_path_columns(files).select(
-        F.col("path_topic").alias("topic"), F.col("path_run_date").alias("run_date"), F.col("value").alias("xml")
+        F.col("path_topic").alias("topic"),
+        F.col("path_run_date").alias("run_date"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("value").alias("xml"),
     )
 
 
+def number_files(found: DataFrame) -> DataFrame:
+    """Feeds with ``base``, where the positions of a file's items begin: files of a topic and day by their names.
+
+    Only names are numbered; a topic has a few feed files a day.
+    """
+    names = found.select("topic", "run_date", "file").distinct()
+    place = F.row_number().over(Window.partitionBy("topic", "run_date").orderBy("file")) - 1
+    numbered = names.withColumn("base", place.cast("long") * F.lit(FILE_ITEMS))
+    return found.join(numbered, ["topic", "run_date", "file"])
+
+
+def number_rows(links: DataFrame) -> DataFrame:
+    """Links of several lists with one position for each, by their place in a list, then by URL."""
+    same = Window.partitionBy("topic", "run_date", "pos").orderBy("url")
+    return links.withColumn("pos", F.col("pos").cast("long") * F.lit(FILE_ITEMS) + F.row_number().over(same) - 1)
+
+
 def feed_items(feeds: DataFrame, xml: str = "xml") -> DataFrame:
-    """One row per item: the feed's other columns, ``pos`` in feed order and ``link`` (may be null)."""
-    others = [c for c in feeds.columns if c != xml]
+    """One row per item: the feed's other columns, ``pos`` in feed order and ``link`` (may be null).
+
+    Feeds that carry ``base`` (see :func:`number_files`) count from there.
+    """
+    others = [c for c in feeds.columns if c not in (xml, "base")]
     items = parse_feed(F.col(xml))["channel"]["item"]
-    return feeds.select(*others, F.posexplode(items).alias("pos", "__item")).select(
-        *others, "pos", F.col("__item.link").alias("link")
-    )
+    based = [F.col("base")] if "base" in feeds.columns else []
+    rows = feeds.select(*others, *based, F.posexplode(items).alias("pos", "__item"))
+    pos = F.col("base") + F.col("pos") if based else F.col("pos")
+    return rows.select(*others, pos.alias("pos"), F.col("__item.link").alias("link"))
 
 
 def keep_links(items: DataFrame, link: str = "link") -> DataFrame:

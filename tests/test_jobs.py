@@ -42,3 +42,29 @@ def test_empty_feed_stops_discovery(spark, folder):
     with pytest.raises(EmptyFeedError):
         jobs.main(run)
     assert jobs.main([*run, "--allow-empty"]) == {"urls": 0}
+
+
+def test_discovery_orders_feeds_and_keeps_days(spark, folder):
+    def feed(path, *links):
+        file = Path(folder, path)
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(f"<rss><channel>{''.join(f'<item><link>{x}</link></item>' for x in links)}</channel></rss>")
+
+    other = "2026-01-06"
+    feed(f"feeds/topic-urls/t/{DAY}/b.xml", "u3", "u4")
+    feed(f"feeds/topic-urls/t/{DAY}/a.xml", "u1", "u2")
+    feed(f"feeds/topic-urls/t/{other}/a.xml", "u9")
+    feed(f"feeds/topic-urls/s/{DAY}/a.xml")
+    feed("feeds/elsewhere/x/y/lost.xml", "u5")
+    root = folder + "/lake"
+    run = ["discover", "--feeds", folder + "/feeds/*/*/*/*.xml", "--root", root, "--date", DAY]
+    for _ in range(2):
+        with pytest.raises(EmptyFeedError):
+            jobs.main(run)
+    lists = spark.read.json(root + "/raw/topic-urls")
+    assert {(r.topic, str(r.run_date), tuple(r.urls)) for r in lists.collect()} == {("t", DAY, ("u1", "u2", "u3", "u4")), ("t", other, ("u9",))}
+    errors = spark.read.json(root + "/errors").select("topic", "url", "error").collect()
+    assert sorted((r.topic, r.url.rsplit("/", 1)[1], r.error) for r in errors) == [
+        ("s", "a.xml", "Feed empty or failed to parse"),
+        ("unknown", "lost.xml", "Feed file outside the layout"),
+    ]

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.functions.embedding import HashingEmbedder
+from lectern.functions.embedding import FunctionEmbedder, HashingEmbedder
 from lectern.plans import pipeline
 from lectern.registry.retrieval import first_context
 from lectern.schemas import UPDATE_ALL
@@ -79,3 +79,64 @@ def test_older_loaders(spark, folder):
     assert pipeline.load_inferred(spark, folder + "/missing", silver) == 0
     row = read_silver(spark, silver).select("article_url", F.col("published_date").cast("string")).collect()
     assert [tuple(r) for r in row] == [("http://a", DAY)]
+
+
+def test_every_rejected_record_is_kept(spark, folder):
+    file = Path(folder, f"raw/articles/t/{DAY}/a.json")
+    file.parent.mkdir(parents=True)
+    good = {"article_url": "http://x/1", "title": "T", "page_content": "word } { " * 60}
+    short = {**good, "article_url": "http://x/2", "page_content": "s"}
+    lines = [json.dumps(good), json.dumps(good) + json.dumps(short), json.dumps(good) + "," + json.dumps(short), "{bad", "", json.dumps({"title": "x"}), json.dumps([good]), json.dumps(short)]
+    file.write_text("\n".join(lines))
+    collector = pipeline.ArticleCollector(spark, folder, HashingEmbedder(8), on_violation="quarantine")
+    for _ in range(2):
+        counts = collector.load(DAY)
+    assert (counts["rows_loaded"], counts["bad_records"], counts["rows_merged"]) == (2, 5, 1)
+    found = spark.read.schema("record string, reason string, step string").json(folder + "/rejects").collect()
+    assert sorted(r.record for r in found if r.reason == "not one JSON record") == sorted([lines[1], lines[2], lines[3], lines[6]])
+    assert sorted((r.step, r.reason) for r in found if r.reason != "not one JSON record") == [("contract", "Content too short"), ("load", "no article_url")]
+
+
+def test_a_day_without_files_changes_nothing(spark, folder):
+    counts = pipeline.ArticleCollector(spark, folder, HashingEmbedder(8)).process(DAY)
+    assert counts["rows_loaded"] == 0 and counts["rows_merged"] == 0
+
+
+def test_errors_are_replaced_when_pages_are_tried_again(spark, folder):
+    def errors():
+        return sorted((r.topic, r.url) for r in spark.read.schema("topic string, url string").json(folder + "/errors").collect())
+
+    stamp = dt.datetime(2026, 1, 5)
+    first = pages(spark, ("http://x/a", "t", None), ("http://x/b", "t", None), ("http://x/c", "s/1", None))
+    for _ in range(2):
+        assert pipeline.land_pages(spark, first, folder, DAY, stamp)["errors"] == 3
+        assert errors() == [("s/1", "http://x/c"), ("t", "http://x/a"), ("t", "http://x/b")]
+    again = pages(spark, ("http://x/a", "t", page("red " * 60)), ("http://x/c", "s/1", page("sea " * 60)))
+    assert pipeline.land_pages(spark, again, folder, DAY, stamp) == {"pages": 2, "errors": 0}
+    assert errors() == [("t", "http://x/b")]
+
+
+def test_pages_landed_as_one_file_each_are_skipped(spark, folder):
+    file = Path(folder, f"raw/articles/t/{DAY}/a.json")
+    file.parent.mkdir(parents=True)
+    file.write_text(json.dumps({"article_url": "http://x/a", "topic": "t"}))
+    both = pages(spark, ("http://x/a", "t", page("red " * 60)), ("http://x/b", "t", page("sea " * 60)))
+    assert pipeline.land_pages(spark, both, folder, DAY, dt.datetime(2026, 1, 5))["pages"] == 1
+
+
+def refusing():
+    def model(texts):
+        raise ValueError("down")
+
+    return model
+
+
+def test_a_model_that_is_down_fails_the_index(spark, folder):
+    collector = pipeline.ArticleCollector(spark, folder, FunctionEmbedder(refusing))
+    stamp = dt.datetime(2026, 1, 5)
+    html = page("red fox " * 60).replace("<head>", f'<head><meta property="article:published_time" content="{DAY}">')
+    pipeline.land_pages(spark, pages(spark, ("http://x/a", "t", html)), folder, DAY, stamp)
+    collector.load(DAY)
+    collector.index_by = "ingested"
+    with pytest.raises(Exception, match="embedding failed: ValueError: down"):
+        collector.index(DAY)
