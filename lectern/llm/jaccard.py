@@ -138,7 +138,8 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
         order = np.argsort(bucket, kind="stable")
         bucket = bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        columns = [c[order] for c in (tokens, sets, sizes)]
+        # In a bucket 32 bits tell shingles apart well enough: two that meet in one list by chance cost time only.
+        columns = [c[order] for c in ((tokens >> np.uint64(32)).astype(np.uint32), sets, sizes)]
         ends = [*cuts[1:].tolist(), len(bucket)]
         packed = [pa.array([c[a:b].tobytes() for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()) for c in columns]
         return pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), *packed], ["bucket", "tokens", "sets", "sizes"])
@@ -220,7 +221,7 @@ def _homes(percent: int):
             for held, name in zip(parts, ("tokens", "sets", "sizes"), strict=True):
                 held += batch.column(name).to_pylist()
         if parts[0]:
-            kinds = (np.uint64, np.int64, np.int32)
+            kinds = (np.uint32, np.int64, np.int32)
             columns = lists(*(np.frombuffer(b"".join(p), k) for p, k in zip(parts, kinds, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["home", "member", "lists", "least"])
 
