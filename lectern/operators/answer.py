@@ -12,14 +12,16 @@ from lectern.functions.derive import or_default
 from lectern.functions.embedding import Embedder, embed
 from lectern.operators.search import nearest_neighbors
 from lectern.schemas import TOP_K
+from lectern.scratch import Scratch
 
 # Characters trimmed from a typed question.
 _BLANK = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
-# Formats of the two prompts.
+# Format of the prompt, and what stands for no context.
 NO_CONTEXT = "No context found."
 WEB_SOURCE = "web_search"
 PROMPT = "Using this context (from {corpus} articles):\n{context}\n\nQuestion: {question}"
+#: A stricter wording of our own.
 STRICT_PROMPT = (
     "Answer the question from the context alone. "
     "If the context does not hold the answer, reply that the provided articles do not say.\n\n"
@@ -54,11 +56,13 @@ def retrieve_context(
     through the search. Texts are looked up for the hits afterwards, in a second scan of the gold
     table that reads no vectors. A question that cannot be embedded fails the job, or with "skip" finds nothing.
     """
-    asked = embed(questions.select("question_id", "query"), embedder, "query", on_error=on_error)
-    hits = nearest_neighbors(chunks, asked, k, base_ids=base_ids, metric=metric)
+    # Staged: a search reads its questions more than once, and a search may take longer than a broadcast may wait.
+    scratch = Scratch(questions.sparkSession)
+    asked = scratch.write(embed(questions.select("question_id", "query"), embedder, "query", on_error=on_error))
+    hits = scratch.write(nearest_neighbors(chunks, asked, k, base_ids=base_ids, metric=metric))
     texts = chunks.select(*base_ids, *payload)
-    if questions.limit(HIT_ROWS_BROADCAST // k + 1).count() <= HIT_ROWS_BROADCAST // k:
-        hits = F.broadcast(hits)  # k rows of ids per counted question
+    if hits.count() <= HIT_ROWS_BROADCAST:
+        hits = F.broadcast(hits)  # rows of ids, counted
     return texts.join(hits, list(base_ids)).select(
         "question_id", "rank", "distance", *base_ids, *payload
     )

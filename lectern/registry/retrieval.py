@@ -90,10 +90,12 @@ def prompt_context(spark: SparkSession, sf: str) -> DataFrame:
 ctx AS (SELECT question_id, string_agg(concat(chr(10), '--- Source ', rank, ': ',
   coalesce(nullif(title, ''), 'Unknown'), ' (', article_url, ') ---', chr(10), chunk_text, chr(10)), ''
   ORDER BY rank) AS context FROM hits GROUP BY question_id)
-SELECT question_id, context FROM asked JOIN ctx USING (question_id)""",
+SELECT question_id, concat('Sources:', chr(10), context, chr(10), 'Asked: ', query) AS prompt
+FROM asked JOIN ctx USING (question_id)""",
 )
 def prompt_strict(spark: SparkSession, sf: str) -> DataFrame:
-    return answer.strict_prompt(questions(spark, sf), _hits(spark, sf)).select("question_id", "context")
+    template = "Sources:\n{context}\nAsked: {question}"
+    return answer.strict_prompt(questions(spark, sf), _hits(spark, sf), template).select("question_id", "prompt")
 
 
 @register(
