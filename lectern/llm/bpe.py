@@ -337,16 +337,21 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_digests(path), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", starts: str | None = None) -> DataFrame:
-    """``docs`` with the ids of ``text`` as an array; ``starts`` names a column for each id's first UTF-8 byte.
+def encode(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", starts: str | None = None, exact: str | None = None
+) -> DataFrame:
+    """``docs`` with the ids of ``text`` as an array.
 
-    Columns that have these names already are replaced.
+    ``starts`` names a column for each id's first UTF-8 byte, ``exact`` one that tells whether the ids, decoded
+    where they were made, are the text again. Columns that have these names already are replaced.
     """
-    docs = docs.drop(*[c for c in (ids, starts) if c])
+    docs = docs.drop(*[c for c in (ids, starts, exact) if c])
     kept = docs.schema.fieldNames()
     schema = T.StructType(docs.schema.fields + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
     if starts:
         schema = schema.add(starts, T.ArrayType(T.LongType()))
+    if exact:
+        schema = schema.add(exact, T.BooleanType())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -362,7 +367,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
                     n = np.diff(done.row_ids)
                     base = np.repeat(first[np.minimum(done.row_ids[:-1], max(len(first) - 1, 0))], n) if len(first) else first
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(first - base, pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, [*kept, ids, *([starts] if starts else [])])
+                if exact:
+                    ends = done.row_ids.tolist()
+                    rows = zip(ends[:-1], ends[1:], part.column(text).to_pylist(), strict=True)
+                    columns.append(pa.array([vocab.decode(done.ids[a:b].tolist()) == (t or "").encode() for a, b, t in rows], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return docs.mapInArrow(work, schema)
 
