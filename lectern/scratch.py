@@ -72,3 +72,8 @@ def remove(spark: SparkSession, path: str) -> None:
 def exists(spark: SparkSession, path: str) -> bool:
     fs, where = _file_system(spark, path)
     return fs.exists(where)
+
+
+def is_empty_folder(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return len(fs.listStatus(where)) == 0
