@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from lectern.llm.sampling import first_per_key
 from lectern.llm.words import pieces, utf8
 
 UNKNOWN = "und"
@@ -197,14 +197,7 @@ def learn(labelled: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network
     length = F.length("text")
     at = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.lit(1), length - SAMPLE_CHARS + 1)) + 1
     rows = labelled.where("lang is not null and text is not null").select("lang", "doc_id", chance.alias("chance"), F.substring("text", at.cast("int"), SAMPLE_CHARS).alias("part"))
-    # A share of each language that holds several times the sample goes on: what is then ranked together is small.
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
-        return None
-    share = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(min(1.0, (4 * per_language + 200) / n)))])
-    likely = F.shiftrightunsigned("chance", 11) <= share[F.col("lang")] * float(1 << 53)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("chance", 11), "chance", "doc_id", "part"))
-    sample = rows.where(likely).withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "part", "chance").collect()
+    sample = first_per_key(rows, "lang", ["chance", "doc_id", "part"], per_language).collect()
     sample = sorted((r for r in sample if r.part), key=lambda r: (r.lang, r.chance, r.part))
     if not sample:
         return None

@@ -50,3 +50,12 @@ def test_odd_rows(odd, empty):
     assert sum(r.log_weight is None for r in found) == 3 and all(r.key == -math.inf for r in found if r.log_weight is None)
     assert importance.resample(empty, odd).count() == 0
     assert {r.log_weight for r in importance.resample(odd, empty).collect()} == {None, 0.0}
+
+
+def test_first_per_key_of_a_hot_key(spark):
+    from lectern.llm.sampling import first_per_key
+
+    rows = spark.range(5000).selectExpr("if(id % 10 = 0, id % 3, 7) k", "xxhash64(id) chance", "id")
+    found = sorted(map(tuple, first_per_key(rows, "k", ["chance", "id"], 20).collect()))
+    everything = sorted(map(tuple, rows.collect()))
+    assert found == sorted(r for k in (0, 1, 2, 7) for r in [x for x in everything if x[0] == k][:20])
