@@ -103,12 +103,17 @@ _BRACKETED = re.compile(rf"[\[({{<][ \t]?(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))[
 _SPELLED_RUN = re.compile(rf"\b(?:{_NUMBER})(?:[ \t,-]{{1,2}}(?:{_NUMBER})){{2,}}(?!\w)")
 _SPELLED_PLUS = re.compile(rf"(?:{_PLUS})[ \t]{{1,3}}(?=[0-9])")
 _SPELLED_WORD = re.compile(rf"(?:{_NUMBER})(?!\w)")
+# Letters that look like digits.
+_DIGIT_LIKE = {"O": "0", "o": "0", "I": "1", "l": "1"}
+_MIXED_DIGITS = re.compile(r"(?<![A-Za-z0-9])(?:[0-9]++[OoIl]|[OoIl]++[0-9])[0-9OoIl]*+(?![A-Za-z0-9])")
 _LABEL = "[a-z0-9_%+-]{1,64}"
-_SPELLED_AT = re.compile(rf"(?<=[a-z0-9_%+-])[ \t]{{1,3}}(?:{_AT})[ \t]{{1,3}}(?=[a-z0-9])")
-_SPELLED_DOMAIN = {
-    at: re.compile(rf"[a-z0-9-]{{1,63}}(?:(?:[ \t]{{1,3}}{dot}[ \t]{{1,3}}|\.)[a-z0-9-]{{1,63}}){{0,6}}[ \t]{{1,3}}{dot}[ \t]{{1,3}}[a-z0-9-]{{1,63}}")
-    for at, dot in AT_DOT.items()
+_ANY_AT = re.compile(rf"(?<=[a-z0-9_%+-])(?:@|[ \t]{{1,3}}(?P<word>{_AT})[ \t]{{1,3}})(?=[a-z0-9])")
+_ADDRESS_DOMAIN = {
+    at: re.compile(rf"[a-z0-9-]{{1,63}}(?:(?:[ \t]{{1,3}}(?:{dot})[ \t]{{1,3}}|\.)[a-z0-9-]{{1,63}}){{1,7}}")
+    for at, dot in (*AT_DOT.items(), (None, _DOT))
 }
+#: A name that is no plain word: it has a digit, a point or an underscore after a letter.
+_HANDLE = re.compile(r"(?<![a-z0-9._%+-])[a-z][a-z%+-]*[0-9._][a-z0-9._%+-]*\Z")
 _SPELLED_LOCAL = {at: re.compile(rf"(?:{_LABEL}(?:[ \t]{{1,3}}{dot}[ \t]{{1,3}}|\.)){{1,4}}{_LABEL}\Z") for at, dot in AT_DOT.items()}
 #: Characters before a spelled "at" that can belong to the name.
 _LOCAL_REACH = 96
@@ -164,6 +169,10 @@ class Normalised:
         k = bisect_right(self.at, place - 1) - 1
         return self.low[k] + (place - self.at[k]) if self.copied[k] else self.high[k]
 
+    def edited(self) -> set[int]:
+        """Places of the present text where replacements begin."""
+        return {a for a, same in zip(self.at, self.copied, strict=True) if not same}
+
     def edit(self, edits: list[tuple[int, int, str]]) -> None:
         """Apply edits of the present text, in order and without overlaps."""
         if not edits:
@@ -200,18 +209,26 @@ class Normalised:
         self.at, self.low, self.high, self.copied = at or [0], low or [0], high or [0], copied or [True]
 
 
-def _address_edits(text: str) -> list[tuple[int, int, str]]:
-    """Edits for names and domains around a spelled "at" whose domain has a spelled "dot"."""
+def _address_edits(text: str, disguised: set[int]) -> list[tuple[int, int, str]]:
+    """Edits for names and domains around an "at".
+
+    A spelled "at" counts when a dot of its domain is spelled or was ``disguised`` by brackets, or when the name before it
+    is no plain word; an @ when a dot after it is spelled.
+    """
     edits, done = [], 0
-    for at in _SPELLED_AT.finditer(text):
-        word = at.group().strip()
-        if at.start() < done or not (domain := _SPELLED_DOMAIN[word].match(text, at.end())):
+    for at in _ANY_AT.finditer(text):
+        word = at["word"]
+        if at.start() < done or not (domain := _ADDRESS_DOMAIN[word].match(text, at.end())):
             continue
+        dots = [(*d.span(), ".") for d in _SPELLED_DOT.finditer(text, *domain.span())]
         low = max(done, at.start() - _LOCAL_REACH)
-        if local := _SPELLED_LOCAL[word].search(text[low : at.start()]):
+        before = text[low : at.start()]
+        if not dots and (word is None or not (any(i in disguised for i in range(*domain.span())) or _HANDLE.search(before))):
+            continue
+        if word and (local := _SPELLED_LOCAL[word].search(before)):
             edits += [(*d.span(), ".") for d in _SPELLED_DOT.finditer(text, low + local.start(), at.start())]
-        edits.append((*at.span(), "@"))
-        edits += [(*d.span(), ".") for d in _SPELLED_DOT.finditer(text, *domain.span())]
+        edits += [(*at.span(), "@")] if word else []
+        edits += dots
         done = domain.end()
     return edits
 
@@ -254,12 +271,14 @@ def normalise(text: str) -> Normalised:
     steps = (
         lambda: _bracket_edits(out.text, low),
         lambda: [(*d.span(), ".") for m in _SPELLED_NUMBER.finditer(low) for d in _SPELLED_DOT.finditer(low, *m.span())],
-        lambda: _address_edits(low),
+        lambda: _address_edits(low, out.edited()),
         lambda: _digit_edits(low),
         lambda: [(*m.span(), "+") for m in _SPELLED_PLUS.finditer(low)],
+        lambda: [(i, i + 1, _DIGIT_LIKE[out.text[i]]) for m in _MIXED_DIGITS.finditer(out.text) for i in range(*m.span()) if out.text[i] in _DIGIT_LIKE],
     )
     dots = any(f"{b}{w}" in low for w in DOT_WORDS for b in " \t")
-    for step, needed in zip(steps, (True, dots, dots, True, any(w in low for w in PLUS_WORDS)), strict=True):
+    ats = any(f"{b}{w}" in low for w in AT_WORDS for b in " \t")
+    for step, needed in zip(steps, (True, dots, dots or ats, True, any(w in low for w in PLUS_WORDS), True), strict=True):
         if needed and (edits := step()):
             out.edit(edits)
             low = _lower(out.text)

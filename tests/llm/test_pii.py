@@ -93,3 +93,21 @@ def test_rows(odd, empty):
     assert len(rows) == 12 and all(r.spans == "" and r.n_added == 0 for r in rows)
     assert pii.find_personal_data(empty).count() == 0
     assert pii.mask("to a@b.com!") == "to *******!"
+
+
+@pytest.mark.parametrize(
+    ("text", "span"),
+    [
+        ("jane [at] mail dot org ok", "jane [at] mail dot org"),
+        ("jane at mail [dot] org ok", "jane at mail [dot] org"),
+        ("jane@mail dot example dot org", "jane@mail dot example dot org"),
+        ("anna.15 at mail5.example.com", "anna.15 at mail5.example.com"),
+        ("we met at example.com", None),
+        ("card 4O12888888881881 here", "4O12888888881881"),
+        ("card 4012 8888 8888 l88l here", "4012 8888 8888 l88l"),
+        ("see 1O of ll them", None),
+    ],
+)
+def test_mixed_disguises(text, span):
+    _, every = pii.find(text)
+    assert [text[a:b] for _, a, b in every] == ([span] if span else [])
