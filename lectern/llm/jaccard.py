@@ -4,9 +4,9 @@ Equal sets are one class from the start. A T-occurrence search then runs over th
 shingles can only be similar to one with which it shares at least T = ceil(t n) of them, so all its lists but
 the T - 1 longest hold every partner. Those short lists are merged by value in buckets of the shingle space;
 the lists they give (two or more classes of sizes that fit) meet at their least class, the list's home, but
-for classes that are in too few lists to have a partner. In a home the sets of its members form an inverted index, and DivideSkip runs for every member:
-short lists are merged and counted, candidates with enough occurrences are sought in the long lists by
-binary search, and those that reach the required overlap are links.
+for classes that are in too few lists to have a partner. In a home the sets of its members form an inverted
+index, and DivideSkip runs for every member: short lists are merged and counted, candidates with enough
+occurrences are sought in the long lists by binary search, and those that reach the required overlap are links.
 
 List length is told by a fixed-size count of all shingles, which orders them from rare to frequent; any order
 is correct, so the count's collisions cost time only. A home with very many members first compares each
@@ -42,6 +42,8 @@ COUNTER_BITS = 19
 COUNTER_SLICES = 32
 #: Entries of short lists in one bucket.
 BUCKET_ENTRIES = 250_000
+#: Shingles of one set that may have the same 32-bit name in a bucket; more have it with a chance below 1e-20.
+SAME_NAME = 2
 #: Members of a home or block that are searched together.
 HOME_MEMBERS = 1000
 #: A class with that many copies, and more than one in ``MANY_CLASSES`` of all documents, is broadcast.
@@ -403,8 +405,9 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     entries = docs.select("text").mapInArrow(_short_lists(frequency, words, percent, buckets), schema).repartition(max(parts, buckets // 4), "bucket")
     listed = entries.mapInArrow(_homes(percent), "home long, member long, lists long, least long")
     listed = scratch.write(listed.groupBy("home", "member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least")))
-    # A member of fewer lists than any of its partners asks for has no link.
-    alive = listed.groupBy("member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least")).where("lists >= least")
+    # A member of fewer lists than any of its partners asks for has no link. Two of its shingles may go by one name.
+    alive = listed.groupBy("member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least"))
+    alive = alive.where(F.col("lists") + SAME_NAME >= F.col("least"))
     homes = listed.join(alive.select("member"), "member", "left_semi").select("home", "member")
     sized = homes.groupBy("home").agg(F.count("*").alias("n"), F.min("member").alias("own")).where("n > 1")
     rows = scratch.write(homes.join(sized, "home"))
