@@ -382,7 +382,7 @@ def _filter_of(keys: DataFrame, bits: int) -> np.ndarray:
     at = keys.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("at"))
     rows = at.groupBy(F.expr("at div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at % 32768 + 1))").alias("bits"))
     mask = np.zeros(max(bits // 8, 4096), np.uint8)
-    for r in rows.toLocalIterator():
+    for r in rows.collect():  # at most FILTER_BITS in all
         mask[r.block * 4096 : r.block * 4096 + 4096] = np.frombuffer(r.bits, np.uint8)
     return mask
 
@@ -394,7 +394,7 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = profile.where("slice is not null").select("slice", "counts").repartition(COUNTER_SLICES, "slice")
     rarity = np.zeros((COUNTER_SLICES, (1 << COUNTER_BITS) // COUNTER_SLICES), np.int64)
-    for r in counted.mapInArrow(_sum_counts, "slice int, counts binary").toLocalIterator():  # fixed size
+    for r in counted.mapInArrow(_sum_counts, "slice int, counts binary").collect():  # fixed size
         rarity[r.slice] = np.frombuffer(r.counts, np.int64)
     frequency = context.broadcast(np.minimum(rarity.reshape(-1), 65535).astype(np.uint16))
 
