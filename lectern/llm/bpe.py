@@ -33,10 +33,10 @@ OTHER, LETTER, NUMBER, SPACE, BLANK, QUOTE = range(6)
 WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
-#: Slices kept with their ids by one Python worker; the cache is emptied when it is full.
-CACHE_SLICES = 300_000
+#: Slices kept with their ids by one task; the cache is emptied when it is full.
+CACHE_SLICES = 100_000
 #: Bytes of text encoded at once: the more, the more often a slice is met again.
-ENCODE_BYTES = 1 << 21
+ENCODE_BYTES = 1 << 20
 #: Slices up to this many bytes are merged together as arrays, longer ones with a heap.
 SHORT_SLICE = 48
 
@@ -156,12 +156,11 @@ class Vocabulary:
             if token[:k] in self.ids and token[k:] in self.ids
         }
         self.written = [str(i) for i in range(len(self.tokens))]
-        self.ranks = ranks
         self.keys = np.array(sorted(ranks), np.int64)
         self.values = np.array([ranks[k] for k in self.keys.tolist()], np.int64)
         self.none = len(self.tokens)
         # One slot per hash; keys whose slot is taken are looked up by binary search.
-        self.slots = 1 << 22
+        self.slots = 1 << 21
         order = self._slot(self.keys)
         _, firsts = np.unique(order, return_index=True)
         self.at = np.zeros(self.slots, np.int32)
@@ -183,6 +182,11 @@ class Vocabulary:
         at[crowded] = np.minimum(np.searchsorted(self.keys, keys[crowded]), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.values[at], self.none)
 
+    def rank_one(self, left: int, right: int) -> int | None:
+        key = left << 32 | right
+        at = min(int(np.searchsorted(self.keys, key)), len(self.keys) - 1)
+        return int(self.values[at]) if self.keys[at] == key else None
+
     def merge_short(self, slices: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of many short slices: each round does the best merge of every slice that has one left."""
         ids = self.bytes[np.frombuffer(b"".join(slices), np.uint8)]
@@ -230,8 +234,9 @@ class Vocabulary:
         ids = [int(self.bytes[b]) for b in piece]
         after = list(range(1, len(ids) + 1))
         before = list(range(-1, len(ids) - 1))
-        ranks = self.ranks
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (r := ranks.get(a << 32 | b)) is not None]
+        pairs = np.array(ids, np.int64)
+        first = self.rank(pairs[:-1], pairs[1:]).tolist()
+        heap = [(r, i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != self.none]
         heapify(heap)
         while heap:
             r, i, a, b = heappop(heap)
@@ -242,9 +247,9 @@ class Vocabulary:
             after[i] = k = after[j]
             if k < len(ids):
                 before[k] = i
-                if (r := ranks.get(ids[i] << 32 | ids[k])) is not None:
+                if (r := self.rank_one(ids[i], ids[k])) is not None:
                     heappush(heap, (r, i, ids[i], ids[k]))
-            if (h := before[i]) >= 0 and (r := ranks.get(ids[h] << 32 | ids[i])) is not None:
+            if (h := before[i]) >= 0 and (r := self.rank_one(ids[h], ids[i])) is not None:
                 heappush(heap, (r, h, ids[h], ids[i]))
         return tuple(x for x in ids if x >= 0)
 
@@ -268,6 +273,11 @@ class Vocabulary:
                 known[s] = merged, ",".join(map(written, merged))
         return [known[s] for s in slices]
 
+    def done(self) -> None:
+        """A task is over: what it held goes back, as the worker may serve other work next."""
+        self.cache.clear()
+        pa.default_memory_pool().release_unused()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -327,6 +337,7 @@ def _digests(path: str):
                     ],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        vocab.done()
 
     return work
 
@@ -372,6 +383,7 @@ def encode(
                     rows = zip(ends[:-1], ends[1:], part.column(text).to_pylist(), strict=True)
                     columns.append(pa.array([vocab.decode(done.ids[a:b].tolist()) == (t or "").encode() for a, b, t in rows], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+        vocab.done()
 
     return docs.mapInArrow(work, schema)
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import bpe, decontaminate, importance, jaccard, langid, pii, rabitq, secrets, sharding, urls
+from lectern.llm.words import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +30,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
