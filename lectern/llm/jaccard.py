@@ -2,9 +2,9 @@
 
 Equal sets are one class from the start. A T-occurrence search then runs over the classes. A class of n
 shingles can only be similar to one with which it shares at least T = ceil(t n) of them, so all its lists but
-the T - 1 longest hold every partner. Those short lists are merged by value in buckets of the shingle space;
-the lists they give (two or more classes of sizes that fit) meet at their least class, the list's home, but
-for classes that are in too few lists to have a partner. In a home the sets of its members form an inverted
+the T - 1 longest hold every partner; with a few more lists every partner shares a few. Those short lists are
+merged by value in buckets of the shingle space; the lists they give (two or more classes of sizes that fit) meet
+at their least class, the list's home, but for classes that are in too few lists to have a partner. In a home the sets of its members form an inverted
 index, and DivideSkip runs for every member: short lists are merged and counted, candidates with enough
 occurrences are sought in the long lists by binary search, and those that reach the required overlap are links.
 
@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lectern.llm.components import components
 from lectern.llm.words import SHINGLE, pieces, shingle_sets, utf8
@@ -42,6 +43,8 @@ COUNTER_BITS = 19
 COUNTER_SLICES = 32
 #: Entries of short lists in one bucket.
 BUCKET_ENTRIES = 250_000
+#: Short lists that every partner shares: the more, the fewer classes look similar by chance, and the more entries.
+MORE_LISTS = 8
 #: Shingles of one set that may have the same 32-bit name in a bucket; more have it with a chance below 1e-20.
 SAME_NAME = 2
 #: Members of a home or block that are searched together.
@@ -57,9 +60,18 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray
     return (percent * (a + b) + 99 + percent) // (100 + percent)
 
 
-def prefix(n: int, percent: int) -> int:
-    """Lists of which at least one is shared with every partner."""
-    return n - (percent * n + 99) // 100 + 1
+def prefix(n: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """Short lists of a class of n shingles: at least ``MORE_LISTS`` of them, or all, are shared with every partner."""
+    return np.minimum(n, n - (percent * n + 99) // 100 + MORE_LISTS)
+
+
+def must_share(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Short lists that similar classes of a and b shingles share at least.
+
+    What they share beyond is outside the short lists of one of them, so there is no more of it than the larger has.
+    """
+    larger = np.maximum(a, b)
+    return needed(a, b, percent) - (larger - prefix(larger, percent))
 
 
 def _set_id(tokens: np.ndarray) -> int:
@@ -157,7 +169,7 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
                     if not n or (name := _set_id(tokens)) in seen:
                         continue
                     seen.add(name)
-                    k = prefix(n, percent)
+                    k = int(prefix(n, percent))
                     order = np.argsort(frequency[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
                     short = tokens[order[:k]]
                     entries.append((short, np.full(k, name, np.int64), np.full(k, n, np.int32)))
@@ -172,17 +184,12 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
 
 
 def _homes(percent: int):
-    """(home, member, lists, least) of lists that can hold a link.
+    """(home, member, least, lists) of lists that can hold a link.
 
-    ``lists`` counts the lists of that home in which the member is. ``least`` is the number of short lists that the
-    member must share with some partner in one of them: two classes of sizes a and b share at most as many shingles as
-    they share short lists, and those that stay out of the short lists of the larger.
+    ``least`` is the number of short lists that the member must share with some partner that is in the list;
+    ``lists`` counts the lists of that home where it is the same.
     """
 
-    def must_share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        larger = np.maximum(a, b)
-        return needed(a, b, percent) - ((percent * larger + 99) // 100 - 1)
-
     def lists(tokens: np.ndarray, sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
         # The same class comes from several tasks; lists of one class hold no link.
         order = np.lexsort((sets, tokens))
@@ -198,11 +205,11 @@ def _homes(percent: int):
         keep = np.repeat(lengths > 1, lengths)
         least = np.ones(len(tokens), np.int64)
         pairs = heads[lengths == 2]
-        least[pairs] = least[pairs + 1] = must_share(sizes[pairs], sizes[pairs + 1])
+        least[pairs] = least[pairs + 1] = must_share(sizes[pairs], sizes[pairs + 1], percent)
         some = (lengths > 2) & (lengths <= 256)
         for a, g in zip(heads[some].tolist(), lengths[some].tolist(), strict=True):
             n = sizes[a : a + g]
-            share = must_share(n[:, None], n[None, :])
+            share = must_share(n[:, None], n[None, :], percent)
             share[100 * np.minimum.outer(n, n) < percent * np.maximum.outer(n, n)] = np.iinfo(np.int64).max
             np.fill_diagonal(share, np.iinfo(np.int64).max)
             least[a : a + g] = share.min(axis=1)
@@ -212,10 +219,10 @@ def _homes(percent: int):
             return sets, sets, sets, sets
         heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         home = np.repeat(np.minimum.reduceat(sets, heads), np.diff(np.r_[heads, len(sets)]))
-        order = np.lexsort((sets, home))
+        order = np.lexsort((least, sets, home))
         home, sets, least = home[order], sets[order], least[order]
-        heads = np.flatnonzero(np.r_[True, (home[1:] != home[:-1]) | (sets[1:] != sets[:-1])])
-        return home[heads], sets[heads], np.diff(np.r_[heads, len(sets)]), np.minimum.reduceat(least, heads)
+        heads = np.flatnonzero(np.r_[True, (home[1:] != home[:-1]) | (sets[1:] != sets[:-1]) | (least[1:] != least[:-1])])
+        return home[heads], sets[heads], least[heads], np.diff(np.r_[heads, len(sets)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list[bytes]] = [[], [], []]
@@ -225,7 +232,7 @@ def _homes(percent: int):
         if parts[0]:
             kinds = (np.uint32, np.int64, np.int32)
             columns = lists(*(np.frombuffer(b"".join(p), k) for p, k in zip(parts, kinds, strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["home", "member", "lists", "least"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["home", "member", "least", "lists"])
 
     return work
 
@@ -403,12 +410,13 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     buckets = max(64, -(-total * (100 - percent) // 100 // BUCKET_ENTRIES))
     schema = "bucket int, tokens binary, sets binary, sizes binary"
     entries = docs.select("text").mapInArrow(_short_lists(frequency, words, percent, buckets), schema).repartition(max(parts, buckets // 4), "bucket")
-    listed = entries.mapInArrow(_homes(percent), "home long, member long, lists long, least long")
-    listed = scratch.write(listed.groupBy("home", "member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least")))
-    # A member of fewer lists than any of its partners asks for has no link. Two of its shingles may go by one name.
-    alive = listed.groupBy("member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least"))
-    alive = alive.where(F.col("lists") + SAME_NAME >= F.col("least"))
-    homes = listed.join(alive.select("member"), "member", "left_semi").select("home", "member")
+    listed = entries.mapInArrow(_homes(percent), "home long, member long, least long, lists long")
+    listed = scratch.write(listed.groupBy("home", "member", "least").agg(F.sum("lists").alias("lists")))
+    # A link that asks for t shared lists is seen in t lists that ask for no more. Two shingles may go by one name.
+    asked = listed.groupBy("member", "least").agg(F.sum("lists").alias("lists"))
+    so_far = F.sum("lists").over(Window.partitionBy("member").orderBy("least"))
+    alive = asked.withColumn("seen", so_far).where(F.col("seen") + SAME_NAME >= F.col("least")).select("member").distinct()
+    homes = listed.join(alive, "member", "left_semi").select("home", "member").distinct()
     sized = homes.groupBy("home").agg(F.count("*").alias("n"), F.min("member").alias("own")).where("n > 1")
     rows = scratch.write(homes.join(sized, "home"))
 
