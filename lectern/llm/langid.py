@@ -210,14 +210,13 @@ def learn(labelled: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network
     return network
 
 
-def _predict(shared):
+def _predict(shared, text: str, keep: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = shared.value
         for batch in batches:
-            for part in pieces(batch, "__text"):
-                texts = part.column("__text")
-                kept = [c for i, c in enumerate(part.columns) if part.schema.names[i] != "__text"]
-                names = [n for n in part.schema.names if n != "__text"]
+            for part in pieces(batch, text):
+                texts = part.column(text)
+                names = [n for n in part.schema.names if keep or n != text]
                 letters = [bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()]
                 if network is None:
                     found, score = [UNKNOWN] * len(letters), [0.0] * len(letters)
@@ -226,17 +225,18 @@ def _predict(shared):
                     best = p.argmax(axis=1)
                     found = [network.labels[i] if ok else UNKNOWN for i, ok in zip(best.tolist(), letters, strict=True)]
                     score = [min(float(s), 1.0) if ok else 0.0 for s, ok in zip(p.max(axis=1).tolist(), letters, strict=True)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+                told = [pa.array(found, pa.string()), pa.array(score, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *told], [*names, "lang_pred", "score"])
 
     return work
 
 
-def predict(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score, in place of columns so named; only ``text`` is read by the network."""
-    kept = docs.withColumn("__text", F.col(text)).drop("lang_pred", "score")
+def predict(docs: DataFrame, network: Network | None, text: str = "text", keep: bool = True) -> DataFrame:
+    """``docs`` with lang_pred and score, in place of columns so named; without ``keep`` the text goes no further."""
+    given = docs.drop("lang_pred", "score")
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    schema = T.StructType([f for f in kept.schema.fields if f.name != "__text"] + added)
-    return kept.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(network)), schema)
+    schema = T.StructType([f for f in given.schema.fields if keep or f.name != text] + added)
+    return given.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(network), text, keep), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -244,4 +244,4 @@ def identify(docs: DataFrame) -> DataFrame:
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
     network = learn(docs.where(~out).select("doc_id", "text", "lang"))
     rows = docs.select("doc_id", out.alias("held_out"), "text")
-    return predict(rows, network).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(rows, network, keep=False).select("doc_id", "held_out", "lang_pred", "score")
