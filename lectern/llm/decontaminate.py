@@ -1,11 +1,13 @@
 """Passages of documents that copy, edit or paraphrase benchmark items.
 
-Words are runs of letters, digits and non-ASCII characters, in lower case. At every word of an item begins a seed: the
-shortest run of words that is rare, which is to say expected by chance less than ``CHANCE`` times in the
-whole corpus if words followed each other at random at the frequencies counted in it; runs of
-``LONGEST_SEED`` words are taken as rare. Copies of an item cannot make its own seeds common, as they could
-if runs were counted. Where a document holds a seed, the passage around it is aligned with the item by
-Smith-Waterman, and the score as a share of a perfect copy's decides.
+Words are runs of letters, digits and non-ASCII characters, in lower case. A passage is aligned with the item by
+Smith-Waterman, and the score as a share of a perfect copy's decides. What is aligned is chosen so that no passage is
+missed: a seed is two words of the item that are neighbours or one word apart, found in a document as neighbours or one
+word apart. An alignment with M matches and a score of S has at most 2 M - S errors between its matches, so at
+most half as many of the M - 1 steps from match to match hold two errors, and at least S / 2 - 1 steps are seeds
+at different words of the item. An item's d most common seeds need not be looked up if a passage must
+hold d fewer; word counts of the corpus choose d for the least work, and decide nothing else. Where a document holds enough
+seeds of an item within the length that a passage may have, the alignment is made. Of an item of two words both must be there.
 
 The benchmark goes to all tasks in blocks of at most ``BLOCK_BYTES`` of text; a larger one takes one pass per
 block. Documents are never shuffled. A passage that a third of the documents hold costs one alignment
@@ -26,15 +28,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.words import PUNCTUATION, combine, find_words, hash_slices, pieces, utf8
+from lectern.llm.words import PUNCTUATION, find_words, hash_slices, pieces, utf8
 
 THRESHOLD = 0.5
-CHANCE = 0.01
-SHORTEST_SEED, LONGEST_SEED = 2, 8
 BLOCK_BYTES = 32 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 
+#: Looking at a word of an item in an alignment, in seeds looked up.
+ALIGN_COST = 30
+
 _BITS = 20
+_SECOND = np.uint64(0x9FB21C651E98DF25)
 
 
 def lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -58,50 +62,93 @@ class Items:
         self.vocabulary = np.unique(words)
 
 
-class Seeds:
-    """Rare runs of words of the items, by their length."""
+def pairs(words: np.ndarray, gap: int) -> np.ndarray:
+    """A number for each two words ``gap`` apart; entry i is for the words i and i + gap."""
+    return words[:-gap] ^ (words[gap:] * _SECOND) if len(words) > gap else np.zeros(0, np.uint64)
+
+
+def needed(m: int, threshold: float) -> int:
+    """Least alignment score of a passage of an item of ``m`` words."""
+    return max(math.ceil(threshold * MATCH * m - 1e-9), 1)
 
-    def __init__(self, items: Items, counts: np.ndarray, total: int):
-        rate = np.log(np.maximum(counts, 1) / max(total, 1))
-        found: dict[int, list[tuple[int, int, int]]] = {}
+
+class Seeds:
+    """Pairs of words, neighbours or one word apart, of the items, and how many of them a passage must hold."""
+
+    def __init__(self, items: Items, counts: np.ndarray, total: int, threshold: float = THRESHOLD):
+        share = np.maximum(counts, 1) / max(total, 1)
+        keys, where = [], []
+        self.least = np.zeros(len(items.words), np.int64)
+        self.reach = np.zeros(len(items.words), np.int64)
+        self.need = np.zeros(len(items.words), np.int64)
+        single, owner = [], []
         for k, words in enumerate(items.words):
             m = len(words)
             if not m:
                 continue
-            logs = rate[np.searchsorted(items.vocabulary, words)]
-            sums = np.r_[0.0, np.cumsum(logs)]
-            any_seed = False
-            for at in range(m):
-                for n in range(SHORTEST_SEED, min(LONGEST_SEED, m - at) + 1):
-                    if n == LONGEST_SEED or sums[at + n] - sums[at] + math.log(max(total, 1)) < math.log(CHANCE):
-                        found.setdefault(n, []).append((int(combine(words[at : at + n], n)[0]), k, at))
-                        any_seed = True
-                        break
-            if not any_seed:
-                found.setdefault(m, []).append((int(combine(words, m)[0]), k, 0))
-        self.tables = {}
-        for n, rows in found.items():
-            rows.sort()
-            keys = np.array([r[0] for r in rows], np.uint64)
-            some = np.zeros(1 << _BITS, bool)
-            some[(keys & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
-            self.tables[n] = keys, np.array([r[1:] for r in rows], np.int64), some
+            need = self.need[k] = needed(m, threshold)
+            self.reach[k] = max(3 * m - need, m) + 2
+            if m == 1:
+                self.least[k] = 1
+                single.append(words)
+                owner.append(k)
+                continue
+            rates = share[np.searchsorted(items.vocabulary, words)]
+            rate = 2 * rates[:-1] * (rates[1:] + np.r_[rates[2:], 0.0])
+            order = np.argsort(rate, kind="stable")
+            left, self.least[k] = _choose(rate[order], max((need + 1) // 2 - 1, 1), int(self.reach[k]), m)
+            first = np.sort(order[:left])
+            own = np.concatenate([pairs(words, 1)[first], pairs(words, 2)[first[first < m - 2]]])
+            keys.append(np.unique(own))
+            where.append(np.full(len(keys[-1]), k, np.int64))
+        self.singles = self._table(single, [np.array([k], np.int64) for k in owner])
+        self.pairs = self._table(keys, where)
+
+    @staticmethod
+    def _table(keys: list[np.ndarray], where: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = np.concatenate([*keys, np.zeros(0, np.uint64)])
+        where = np.concatenate([*where, np.zeros(0, np.int64)])
+        order = np.lexsort((where, keys))
+        keys, where = keys[order], where[order]
+        some = np.zeros(1 << min(max(_BITS, len(keys).bit_length() + 3), 24), bool)
+        some[(keys & np.uint64(len(some) - 1)).astype(np.int64)] = True
+        return keys, where, some
 
     def hits(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """(row, item, place in the item, place in ``words``) of every seed that lies within one row."""
+        """(row, item, place in ``words``), in order, of every seed that lies within one row; each place counts once."""
         out = []
-        for n, (keys, where, some) in self.tables.items():
-            grams = combine(words, n)
-            at = np.flatnonzero(some[(grams & np.uint64((1 << _BITS) - 1)).astype(np.int64)])
+        for gap, (keys, where, some) in ((0, self.singles), (1, self.pairs), (2, self.pairs)):
+            if not len(keys):
+                continue
+            grams = pairs(words, gap) if gap else words
+            at = np.flatnonzero(some[(grams & np.uint64(len(some) - 1)).astype(np.int64)])
             low = np.searchsorted(keys, grams[at], side="left")
             high = np.searchsorted(keys, grams[at], side="right")
             at, low, many = at[high > low], low[high > low], (high - low)[high > low]
             row = np.searchsorted(rows, at, side="right") - 1
-            inside = at + n <= rows[row + 1]
+            inside = at + gap < rows[row + 1]
             at, low, many, row = at[inside], low[inside], many[inside], row[inside]
             which = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-            out.append(np.stack([np.repeat(row, many), where[which, 0], where[which, 1], np.repeat(at, many)], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
+            out.append(np.stack([np.repeat(row, many), where[which], np.repeat(at, many)], axis=1))
+        hits = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        hits = hits[np.lexsort((hits[:, 2], hits[:, 1], hits[:, 0]))]
+        return hits[np.r_[True, (hits[1:] != hits[:-1]).any(axis=1)]] if len(hits) else hits
+
+
+def _choose(rate: np.ndarray, must: int, reach: int, m: int) -> tuple[int, int]:
+    """How many of the item's rarest seeds to look up, and how many of those a passage must hold.
+
+    A passage holds ``must`` seeds; without the d most common it still holds ``must`` - d of them. The d that makes the
+    least work at the rates given is taken; any d finds all passages.
+    """
+    drop = np.arange(must)
+    hits = np.cumsum(rate)[len(rate) - 1 - drop]
+    least = must - drop
+    # Chance that after a hit as many follow within reach: the first term of the Poisson tail bounds its order.
+    around = np.minimum(hits * reach, 1.0)
+    follow = np.exp((least - 1) * np.log(np.maximum(around, 1e-12)) - np.array([math.lgamma(n) for n in least]))
+    best = int(np.argmin(hits * (1 + ALIGN_COST * m * np.minimum(follow, 1.0))))
+    return len(rate) - best, int(least[best])
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -130,39 +177,53 @@ def locate(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return score, end - length, end
 
 
-def passages(items: Items, seeds: Seeds, words: np.ndarray, rows: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
+def _stretches(places: np.ndarray, least: int, reach: int, low: int, high: int) -> list[tuple[int, int]]:
+    """Stretches from ``low`` to ``high`` that hold ``least`` of the places within reach, with what a passage there may cover."""
+    if len(places) < least:
+        return []
+    first, last = places[: len(places) - least + 1], places[least - 1 :]
+    near = last - first <= reach
+    first, last = np.maximum(last[near] - reach, low), np.minimum(first[near] + reach + 1, high)
+    if not len(first):
+        return []
+    heads = np.flatnonzero(np.r_[True, first[1:] > last[:-1]])
+    return list(zip(first[heads].tolist(), last[np.r_[heads[1:] - 1, len(last) - 1]].tolist(), strict=True))
+
+
+def _copy(item: np.ndarray, words: np.ndarray) -> int:
+    """Where ``words`` first hold the item word by word, or -1."""
+    for at in np.flatnonzero(words[: max(len(words) - len(item) + 1, 0)] == item[0]).tolist():
+        if np.array_equal(words[at : at + len(item)], item):
+            return at
+    return -1
+
+
+def passages(items: Items, seeds: Seeds, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, score, first word, end word) of the best passage of each row and item that reach the threshold."""
     hits = seeds.hits(words, rows)
     if not len(hits):
         return
-    hits = hits[np.lexsort((hits[:, 2], hits[:, 3], hits[:, 1], hits[:, 0]))]
-    sizes = np.array([len(w) for w in items.words])[hits[:, 1]]
-    new = np.r_[True, (hits[1:, :2] != hits[:-1, :2]).any(axis=1)]
-    apart = np.r_[False, hits[1:, 3] - hits[:-1, 3] > 2 * sizes[1:]]
-    heads = np.flatnonzero(new | apart)
+    least, reach = seeds.least[hits[:, 1]], seeds.reach[hits[:, 1]]
+    last = np.arange(len(hits)) + least - 1
+    last[last >= len(hits)] = 0
+    near = (hits[last, :2] == hits[:, :2]).all(axis=1) & (last >= np.arange(len(hits))) & (hits[last, 2] - hits[:, 2] <= reach)
+    heads = np.flatnonzero(np.r_[True, (hits[1:, :2] != hits[:-1, :2]).any(axis=1)])
     ends = np.r_[heads[1:], len(hits)]
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for a, b in zip(heads.tolist(), ends.tolist(), strict=True):
+    open_ = np.logical_or.reduceat(near, heads)
+    for a, b in zip(heads[open_].tolist(), ends[open_].tolist(), strict=True):
         row, k = int(hits[a, 0]), int(hits[a, 1])
         item = items.words[k]
-        m = len(item)
-        first = hits[a:b, 3] - hits[a:b, 2]  # where the item would begin
-        found = None
-        for at in np.unique(first).tolist():
-            if at >= rows[row] and at + m <= rows[row + 1] and np.array_equal(words[at : at + m], item):
-                found = 1.0, at, at + m
+        m, best = len(item), None
+        for low, high in _stretches(hits[a:b, 2], int(seeds.least[k]), int(seeds.reach[k]), int(rows[row]), int(rows[row + 1])):
+            at = _copy(item, words[low:high])
+            if at >= 0:
+                best = MATCH * m, low + at, low + at + m
                 break
-        if found is None:
-            slack = m // 2 + 2
-            low = max(int(first.min()) - slack, int(rows[row]))
-            high = min(int(first.max()) + m + slack, int(rows[row + 1]))
             score, start, end = locate(item, words[low:high])
-            found = score / (MATCH * m), low + start, low + end
-        old = best.get((row, k))
-        if found[0] >= threshold and (old is None or found[0] > old[0]):
-            best[row, k] = found
-    for (row, k), found in best.items():
-        yield row, k, *found
+            if score >= seeds.need[k] and (best is None or score > best[0]):
+                best = score, low + start, low + end
+        if best:
+            yield row, k, best[0] / (MATCH * m), best[1], best[2]
 
 
 def _count(vocabulary):
@@ -184,7 +245,7 @@ def _count(vocabulary):
     return work
 
 
-def _find(items, seeds, threshold: float, kind: str):
+def _find(items, seeds, kind: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, rare = items.value, seeds.value
         names = ["doc_id", "item_id", "score", "start", "end"]
@@ -192,7 +253,7 @@ def _find(items, seeds, threshold: float, kind: str):
             for part in pieces(batch, "text"):
                 data, offsets = lowered(part.column("text"))
                 words, starts, ends, rows = words_of(data, offsets)
-                found = list(passages(block, rare, words, rows, threshold))
+                found = list(passages(block, rare, words, rows))
                 if not found:
                     continue
                 # Code points before each place, from the row's first byte on.
@@ -224,7 +285,7 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[Items]:
         yield Items(ids, texts)
 
 
-def _shared(rows: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator[tuple]:
+def _shared(rows: DataFrame, benchmark: DataFrame, threshold: float, block_bytes: int) -> Iterator[tuple]:
     """For each block of the benchmark its items and seeds, as broadcasts."""
     context = rows.sparkSession.sparkContext
     for items in _blocks(benchmark, block_bytes):
@@ -233,7 +294,7 @@ def _shared(rows: DataFrame, benchmark: DataFrame, block_bytes: int) -> Iterator
         counts = np.zeros(len(items.vocabulary) + 1, np.int64)
         for r in counted.collect():  # as many rows as the block has words
             counts[r.word] = r.n
-        yield context.broadcast(items), context.broadcast(Seeds(items, counts[:-1], int(counts[-1])))
+        yield context.broadcast(items), context.broadcast(Seeds(items, counts[:-1], int(counts[-1]), threshold))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -242,18 +303,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, score double, start long, end long"
     rows = docs.select("doc_id", "text")
     out = docs.sparkSession.createDataFrame([], schema)
-    for items, seeds in _shared(rows, benchmark, block_bytes):
-        out = out.union(rows.mapInArrow(_find(items, seeds, threshold, kind), schema))
+    for items, seeds in _shared(rows, benchmark, threshold, block_bytes):
+        out = out.union(rows.mapInArrow(_find(items, seeds, kind), schema))
     return out
 
 
-def _drop(items, seeds, threshold: float, column: str):
+def _drop(items, seeds, column: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, column):
                 words, _, _, rows = words_of(*lowered(part.column(column)))
                 clean = np.ones(part.num_rows, bool)
-                clean[[f[0] for f in passages(items.value, seeds.value, words, rows, threshold)]] = False
+                clean[[f[0] for f in passages(items.value, seeds.value, words, rows)]] = False
                 yield part.filter(pa.array(clean))
 
     return work
@@ -262,6 +323,6 @@ def _drop(items, seeds, threshold: float, column: str):
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without those that hold a passage of the benchmark; no row is shuffled."""
     out = docs
-    for items, seeds in _shared(docs.select("text"), benchmark, block_bytes):
-        out = out.mapInArrow(_drop(items, seeds, threshold, "text"), docs.schema)
+    for items, seeds in _shared(docs.select("text"), benchmark, threshold, block_bytes):
+        out = out.mapInArrow(_drop(items, seeds, "text"), docs.schema)
     return out

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from lectern.llm import decontaminate
 
@@ -79,3 +80,62 @@ def test_odd_rows(spark, odd, empty):
     assert decontaminate.contaminated(empty, items).count() == 0
     assert decontaminate.contaminated(odd, items.where("false")).count() == 0
     assert decontaminate.without_contaminated(odd, items).count() == 9
+
+
+def edited(words, kind, rng):
+    if kind == "replace":  # every third word: a score of about a half
+        return [rng.choice(VOCABULARY) if k % 3 == 2 else w for k, w in enumerate(words)]
+    if kind == "insert":  # no two words of the item stay neighbours
+        return [x for w in words for x in (w, rng.choice(VOCABULARY))][:-1]
+    if kind == "delete":
+        return [w for k, w in enumerate(words) if k % 4 != 1]
+    if kind == "half":
+        return words[: (len(words) + 1) // 2]
+    return words
+
+
+def heavy(rng):
+    """Items, and documents that hold heavily edited copies; the first item is in a third of the documents."""
+    items = [[rng.choice(VOCABULARY) for _ in range(n)] for n in [20, *range(3, 60, 4)]]
+    kinds, docs = ["replace", "insert", "delete", "half", "copy"], []
+    for d in range(150):
+        item = items[0] if d % 3 == 0 else items[rng.randrange(len(items))]
+        around = [[rng.choice(VOCABULARY) for _ in range(rng.randrange(60))] for _ in range(2)]
+        docs.append(" ".join(around[0] + edited(item, rng.choice(kinds), rng) + around[1]))
+    return [" ".join(i) for i in items], docs
+
+
+def all_alignments(items, docs, reached):
+    """(document, item) -> score of the alignment of the whole texts, where it reaches what is needed."""
+    block = decontaminate.Items(list(range(len(items))), items)
+    words, _, _, rows = decontaminate.words_of(*decontaminate.lowered(pa.array(docs, pa.string())))
+    out = {}
+    for d, (a, b) in enumerate(zip(rows[:-1], rows[1:], strict=True)):
+        for k, item in enumerate(block.words):
+            score = decontaminate.align(item, words[a:b])[0]
+            if reached(score, len(item)):
+                out[d, k] = score / (decontaminate.MATCH * len(item))
+    return out
+
+
+def test_no_passage_of_all_alignments_is_missed(spark):
+    items, docs = heavy(random.Random(5))
+    expected = all_alignments(items, docs, lambda score, m: score >= decontaminate.THRESHOLD * decontaminate.MATCH * m)
+    assert len(expected) > 100 and len({k for _, k in expected}) == len(items)
+    given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(given, benchmark).collect()}
+    assert found == expected
+    clean = {r.doc_id for r in decontaminate.without_contaminated(given, benchmark).collect()}
+    assert clean == set(range(len(docs))) - {d for d, _ in expected}
+
+
+def test_size_of_the_corpus_and_counts_hide_nothing():
+    items, docs = heavy(random.Random(6))
+    expected = all_alignments(items, docs, lambda score, m: score >= decontaminate.THRESHOLD * decontaminate.MATCH * m)
+    block = decontaminate.Items(list(range(len(items))), items)
+    words, _, _, rows = decontaminate.words_of(*decontaminate.lowered(pa.array(docs, pa.string())))
+    counts = np.array([(words == w).sum() for w in block.vocabulary])
+    for given, total in ((counts, len(words)), (counts * 10**7, len(words) * 10**7), (counts, len(words) * 10**7), (counts * 0, 1)):
+        seeds = decontaminate.Seeds(block, given, total)
+        assert {(r, k): s for r, k, s, _, _ in decontaminate.passages(block, seeds, words, rows)} == expected
