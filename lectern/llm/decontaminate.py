@@ -1,7 +1,9 @@
 """Passages of documents that copy, edit or paraphrase benchmark items.
 
 Words are runs of letters, digits and non-ASCII characters, in lower case. A passage is aligned with the item by
-Smith-Waterman, and the score as a share of a perfect copy's decides. What is aligned is chosen so that no passage is
+Smith-Waterman, and the score as a share of a perfect copy's decides. Of an item of more than ``LONG_ITEM`` words an excerpt
+is enough that scores as much as an item of ``LONG_ITEM`` words needs: at a threshold of a half, 25 words in
+a row, or more words with edits (50 with every third replaced). Its score is still a share of the whole item. What is aligned is chosen so that no passage is
 missed: a seed is two words of the item that are neighbours or one word apart, found in a document as neighbours or one
 word apart. An alignment with M matches and a score of S has at most 2 M - S errors between its matches, so at
 most half as many of the M - 1 steps from match to match hold two errors, and at least S / 2 - 1 steps are seeds
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from lectern.llm.words import PUNCTUATION, find_words, hash_slices, pieces, utf8
 
 THRESHOLD = 0.5
+LONG_ITEM = 50
 BLOCK_BYTES = 32 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -68,8 +71,8 @@ def pairs(words: np.ndarray, gap: int) -> np.ndarray:
 
 
 def needed(m: int, threshold: float) -> int:
-    """Least alignment score of a passage of an item of ``m`` words."""
-    return max(math.ceil(threshold * MATCH * m - 1e-9), 1)
+    """Least alignment score of a passage of an item of ``m`` words; a long item needs no more than one of ``LONG_ITEM``."""
+    return max(math.ceil(threshold * MATCH * min(m, LONG_ITEM) - 1e-9), 1)
 
 
 class Seeds:
@@ -298,7 +301,7 @@ def _shared(rows: DataFrame, benchmark: DataFrame, threshold: float, block_bytes
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, item_id, score (1 is a perfect copy), start and end (code points) of the passages found."""
+    """doc_id, item_id, score (1 is a perfect copy; that of an excerpt may be below ``threshold``), start and end (code points) of the passages found."""
     kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, score double, start long, end long"
     rows = docs.select("doc_id", "text")

@@ -120,7 +120,7 @@ def all_alignments(items, docs, reached):
 
 def test_no_passage_of_all_alignments_is_missed(spark):
     items, docs = heavy(random.Random(5))
-    expected = all_alignments(items, docs, lambda score, m: score >= decontaminate.THRESHOLD * decontaminate.MATCH * m)
+    expected = all_alignments(items, docs, lambda score, m: score >= decontaminate.THRESHOLD * decontaminate.MATCH * min(m, decontaminate.LONG_ITEM))
     assert len(expected) > 100 and len({k for _, k in expected}) == len(items)
     given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
@@ -132,10 +132,35 @@ def test_no_passage_of_all_alignments_is_missed(spark):
 
 def test_size_of_the_corpus_and_counts_hide_nothing():
     items, docs = heavy(random.Random(6))
-    expected = all_alignments(items, docs, lambda score, m: score >= decontaminate.THRESHOLD * decontaminate.MATCH * m)
+    expected = all_alignments(items, docs, lambda score, m: score >= decontaminate.THRESHOLD * decontaminate.MATCH * min(m, decontaminate.LONG_ITEM))
     block = decontaminate.Items(list(range(len(items))), items)
     words, _, _, rows = decontaminate.words_of(*decontaminate.lowered(pa.array(docs, pa.string())))
     counts = np.array([(words == w).sum() for w in block.vocabulary])
     for given, total in ((counts, len(words)), (counts * 10**7, len(words) * 10**7), (counts, len(words) * 10**7), (counts * 0, 1)):
         seeds = decontaminate.Seeds(block, given, total)
         assert {(r, k): s for r, k, s, _, _ in decontaminate.passages(block, seeds, words, rows)} == expected
+
+
+def test_excerpts_of_long_items(spark):
+    rng = random.Random(8)
+    text = lambda n: [rng.choice(VOCABULARY) for _ in range(n)]
+    items = [text(59), text(300), text(50), text(400)]
+    parts = [
+        (0, items[0][10:39]),  # 29 of 59 words
+        (1, items[1][100:240]),  # 140 of 300
+        (1, items[1][30:55]),
+        (3, items[3][-25:]),
+        (3, edited(items[3][50:130], "replace", rng)),
+        (2, items[2][25:]),
+        (None, items[2][5:28]),  # 23 of 50: too little
+        (None, items[1][70:92]),  # 22 of 300: too little
+        (None, text(30)),
+    ]
+    docs = [" ".join([*text(40), "||", *part, "||", *text(40)]) for _, part in parts]
+    least = decontaminate.THRESHOLD * decontaminate.MATCH
+    expected = all_alignments([" ".join(i) for i in items], docs, lambda score, m: score >= least * min(m, decontaminate.LONG_ITEM))
+    assert set(expected) == {(d, k) for d, (k, _) in enumerate(parts) if k is not None}
+    given = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(given, benchmark).collect()} == expected
+    assert {r.doc_id for r in decontaminate.without_contaminated(given, benchmark).collect()} == {6, 7, 8}
