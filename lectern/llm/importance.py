@@ -5,8 +5,8 @@ generative models; a document's log weight is its mean log ratio per n-gram, tim
 documents are no more extreme than short ones. Gumbel noise from a hash of doc_id is added and the documents with
 the largest sums are selected: a draw without replacement in proportion to the weights.
 
-Counts of raw text cover all documents. Target text is that of the trusted documents, or of ``TARGET_DOCS`` of them
-chosen by hash when there are more. The rank of every document is exact: rows are range-partitioned by their sum and
+Counts of raw text cover all documents. Target text is that of all trusted documents; their ids are
+counted, and broadcast up to ``BROADCAST_IDS``. The rank of every document is exact: rows are range-partitioned by their sum and
 numbered, and what precedes a partition is counted.
 
 Null texts and texts without words have no log weight and come last. Equal rows differ in rank only. Without target text
@@ -28,7 +28,7 @@ from lectern.scratch import Scratch
 
 BUCKETS = 1 << 14
 GRAMS = 64
-TARGET_DOCS = 20_000
+BROADCAST_IDS = 1_000_000
 SHARE = 0.5
 
 
@@ -100,15 +100,16 @@ def ranked(rows: DataFrame, order: list[Column], scratch: Scratch) -> DataFrame:
     return joined.withColumn("rank", F.col("__before") + row + 1).drop("__part", "__place", "__before")
 
 
-def resample(docs: DataFrame, trusted: DataFrame, share: float = SHARE, target_docs: int = TARGET_DOCS) -> DataFrame:
+def resample(docs: DataFrame, trusted: DataFrame, share: float = SHARE, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """doc_id, log_weight, key (log weight plus noise), rank by key, and selected, for every document.
 
     ``trusted`` holds the doc_id of target documents; ``share`` of all documents are selected.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    chosen = trusted.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs)
-    target = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    chosen = trusted.select("doc_id").where("doc_id is not null").distinct()
+    chosen = F.broadcast(chosen) if chosen.count() <= broadcast_ids else chosen.hint("merge")
+    target = docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi")
     shared = spark.sparkContext.broadcast(log_ratio(counts_of(target), counts_of(docs)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.select("doc_id", "text").mapInArrow(_score(shared), f"doc_id {kind}, log_weight double")

@@ -59,3 +59,18 @@ def test_first_per_key_of_a_hot_key(spark):
     found = sorted(map(tuple, first_per_key(rows, "k", ["chance", "id"], 20).collect()))
     everything = sorted(map(tuple, rows.collect()))
     assert found == sorted(r for k in (0, 1, 2, 7) for r in [x for x in everything if x[0] == k][:20])
+
+
+def test_all_trusted_documents_are_counted(spark):
+    docs = spark.range(24_000).selectExpr("id doc_id", "concat('w', id % 7, if(id % 3 = 0, ' plain', ' spam')) text")
+    trusted = docs.where("doc_id < 21000").select("doc_id")
+    texts = {r.doc_id: grams(r.text) for r in docs.collect()}
+    raw = Counter(g for t in texts.values() for g in t)
+    target = Counter(g for d, t in texts.items() if d < 21000 for g in t)
+    share = lambda c, g, n: (c[g] + 1) / (n + importance.BUCKETS)
+    a, b = sum(target.values()), sum(raw.values())
+    for bound in ({}, {"broadcast_ids": 1000}):
+        found = {r.doc_id: r.log_weight for r in importance.resample(docs, trusted, **bound).collect()}
+        for d in range(0, 24_000, 500):
+            ratio = [math.log(share(target, g, a) / share(raw, g, b)) for g in texts[d]]
+            assert abs(found[d] - importance.GRAMS * sum(ratio) / len(ratio)) < 1e-6
