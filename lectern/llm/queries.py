@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lectern.llm import bpe, decontaminate, importance, jaccard, langid, pii, rabitq, secrets, sharding, urls
+from lectern.llm import audit, bpe, decontaminate, importance, jaccard, langid, mixing, negatives, pii, rabitq, secrets, sharding, urls
 from lectern.llm.words import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +98,25 @@ SQL["op9_ngram_jaccard"] = jaccard.near_duplicates_sql()
 @query
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), vocabulary_path())
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+SQL["op11_filter_audit"] = audit.audit_sql()
+
+
+@query
+def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+SQL["op13_hard_negatives"] = negatives.mine_sql()
