@@ -19,7 +19,7 @@ from lectern.operators.answer import answer_questions
 from lectern.operators.extract import extract_articles, split_errors
 from lectern.operators.upsert import first_landing, skip_landed
 from lectern.plans import sinks
-from lectern.plans.tables import BROADCAST_KEYS, index_day, merge_silver
+from lectern.plans.tables import index_day, merge_silver
 from lectern.schemas import MAX_BAD_RECORDS, UPDATE_PARTIAL
 from lectern.scratch import Scratch, exists
 from lectern.sources import layout
@@ -27,6 +27,8 @@ from lectern.sources.articles import load_bronze, read_article_files, read_gold,
 
 log = logging.getLogger(__name__)
 
+BROADCAST_KEYS = 200_000
+
 
 class Collector(Protocol):
     """A source of articles: where its files are, how they are checked, loaded and indexed."""
@@ -124,7 +126,7 @@ class ArticleCollector:
             chunker=self.chunker,
             exclude_gated=self.exclude_gated,
         )
-        return {"gold_partitions": touched}
+        return {"gold_partitions": len(touched.parts)}
 
     def process(self, day: str) -> dict[str, int]:
         return {**self.load(day), **self.index(day)}

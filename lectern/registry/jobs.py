@@ -19,6 +19,9 @@ from lectern.registry.views import (
     STAMP,
     articles,
     table,
+    vector_text,
+    vector_text_sql,
+    vectors_sql,
 )
 from lectern.schemas import ARTICLE_COLUMNS
 from lectern.scratch import Scratch
@@ -56,16 +59,17 @@ def pipeline_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "pipeline_rerun",
-    f"""WITH {SILVER_SQL},{CHUNKS_SQL}
-SELECT article_url, chunk_id, chunk_text, timestamp '{STAMP}' AS ingested_at FROM chunks
-WHERE published_date = date '{DAY}'""",
+    f"""WITH {SILVER_SQL},{CHUNKS_SQL}, day AS (SELECT * FROM chunks WHERE published_date = date '{DAY}'),
+{vectors_sql("gv", "day", "chunk_id, article_url", "chunk_text")}
+SELECT article_url, chunk_id, chunk_text, {vector_text_sql("v")} AS embedding, timestamp '{STAMP}' AS ingested_at
+FROM day JOIN gv USING (chunk_id, article_url)""",
 )
 def pipeline_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """The day processed twice leaves the gold table of one run."""
     collector = _collector(spark, _landed(spark, sf))
     for _ in range(2):
         collector.process(DAY)
-    return read_gold(spark, collector.gold).select("article_url", "chunk_id", "chunk_text", "ingested_at")
+    return read_gold(spark, collector.gold).select("article_url", "chunk_id", "chunk_text", vector_text("embedding").alias("embedding"), "ingested_at")
 
 
 @register(

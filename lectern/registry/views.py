@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.derive import silver_columns
@@ -198,6 +198,15 @@ def vectors_sql(name: str, rows: str, ids: str, text: str) -> str:
   FROM {rows} r LEFT JOIN {name}_map n ON {join})"""
 
 
+def vector_text(column: str) -> Column:
+    """A vector as text, in millionths."""
+    return F.array_join(F.transform(column, lambda w: F.round(w * 1_000_000).cast("long").cast("string")), " ")
+
+
+def vector_text_sql(column: str) -> str:
+    return f"array_to_string(list_transform({column}, lambda x: CAST(round(x * 1000000) AS bigint)), ' ')"
+
+
 HITS_SQL = f"""{SILVER_SQL},{CHUNKS_SQL},
 asked AS (SELECT item_id AS question_id, text AS query FROM benchmark),
 {vectors_sql("bv", "chunks", "chunk_id, article_url", "chunk_text")},

@@ -46,6 +46,10 @@ GOLD_COLUMNS = GOLD_CHUNK.fieldNames()
 
 CHUNK_METADATA = _struct(("source", _S), ("title", _S), ("author", _S))
 
+CHUNK_COLLECTION = _struct(
+    ("chunk_id", _S), ("document", _S), ("metadata", CHUNK_METADATA), ("embedding", T.ArrayType(T.DoubleType(), False))
+)
+
 URL_LIST = _struct(("topic", _S), ("timestamp", _S), ("urls", T.ArrayType(_S)))
 
 ERROR_RECORD = _struct(("url", _S), ("topic", _S), ("error", _S), ("failed_at", T.TimestampType()))

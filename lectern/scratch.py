@@ -74,6 +74,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def is_empty_folder(spark: SparkSession, path: str) -> bool:
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
     fs, where = _file_system(spark, path)
-    return len(fs.listStatus(where)) == 0
+    return [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []

@@ -1,0 +1,150 @@
+"""Tables that change by key: whole steps, kills in between, two writers, what is rewritten."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import types as T
+
+from lectern.plans import keyed
+from lectern.plans.keyed import ConflictError, KeyedTable
+from lectern.scratch import Scratch
+
+ROOT = str(Path(__file__).resolve().parents[1])
+_DEEP = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.ArrayType(T.DoubleType()))])
+_KINDS = {"id": T.LongType(), "day": T.DateType(), "text": T.StringType(), "list": T.ArrayType(T.StringType()), "deep": _DEEP}
+SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in _KINDS.items()])
+
+
+def table(spark, path):
+    return KeyedTable(spark, path, SCHEMA, "id", "day")
+
+
+def rows(spark, low, high, tag, days=1, size=10):
+    day = f"case when id % 11 = 10 then null else date_add(date'2026-01-01', cast(id % {days} as int)) end"
+    return spark.range(low, high, 1, 2).selectExpr(
+        "id", f"{day} day", f"concat('{tag}', repeat('x', {size})) text", "array('l', null) list", "named_struct('a', 'b', 'b', array(1D)) deep"
+    ).to(SCHEMA)
+
+
+def put(spark, t, new, small=True):
+    with Scratch(spark) as scratch:
+        return t.commit(new, t.find(new.select("id"), scratch, small))
+
+
+def content(t):
+    return {r["id"]: r["text"][0] for r in t.read().collect()}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_later_rows_hide_earlier_ones(spark, folder, small, monkeypatch):
+    t = table(spark, folder)
+    assert t.read().count() == 0 and t.version().number == 0
+    put(spark, t, rows(spark, 0, 100, "a", 5), small)
+    if not small:
+        monkeypatch.setattr(keyed, "BROADCAST_BYTES", 0)  # keys are never kept: folders they touch are written anew
+    change = put(spark, t, rows(spark, 90, 120, "b", 7), small)
+    assert change.hidden_rows == 10 and content(t) == {**dict.fromkeys(range(90), "a"), **dict.fromkeys(range(90, 120), "b")}
+    for tag in "cd":
+        put(spark, t, rows(spark, 50, 95, tag, 3), small)
+    want = {i: "a" if i < 50 else "d" if i < 95 else "b" for i in range(120)}
+    assert content(t) == want and t.read().count() == 120
+    if not small:
+        assert not t.version().of("gone")
+    with Scratch(spark) as scratch:
+        found = t.find(spark.range(0, 120).select("id"), scratch, small)
+        assert {r["id"] for r in t.matched(found).collect()} == set(want)
+        t.commit(rows(spark, 0, 0, "e"), found)  # all rows go
+    assert t.read().count() == 0 and not t.version().folders
+
+
+def test_folders_of_a_part_stay_few(spark, folder):
+    t = table(spark, folder)
+    put(spark, t, rows(spark, 0, 2000, "a", 1, 100))
+    rewritten = 0
+    for i in range(8):
+        change = put(spark, t, rows(spark, 3 * i, 3 * i + 1, "b"))
+        rewritten += change.rewritten
+    assert len([f for f in t.version().of("rows") if f.part == "2026-01-01"]) <= 5
+    assert rewritten < 0.02 * change.kept
+    assert sum(f.rows - f.hidden_rows for f in t.version().of("rows")) == t.read().count() == 2000
+    hidden = sum(f.hidden_bytes for f in t.version().of("rows"))
+    assert hidden > 0
+    change = put(spark, t, rows(spark, 0, 1500, "c", 1, 100))  # most of the folder is hidden: the rest is written anew
+    assert change.rewritten > 0 and not any(2 * f.hidden_bytes >= f.bytes for f in t.version().of("rows"))
+    assert content(t) == {i: "c" if i < 1500 else "a" for i in range(2000)}
+
+
+def test_files_of_older_versions_go_and_of_the_one_before_stay(spark, folder):
+    t = table(spark, folder)
+    put(spark, t, rows(spark, 0, 50, "a", 4))
+    before = t.read()
+    put(spark, t, rows(spark, 0, 50, "b", 4))
+    assert {r["text"][0] for r in before.collect()} == {"a"}  # a reader of the version before
+    put(spark, t, rows(spark, 0, 50, "c", 4))
+    assert not Path(folder, "rows/commit=1").exists() and not Path(folder, "commits/version=1").exists()
+    assert set(content(t).values()) == {"c"}
+
+
+KILLED = """
+import os, sys
+sys.path.insert(0, {root!r})
+from lectern.session import local_session
+from lectern.plans.keyed import KeyedTable
+from lectern.scratch import Scratch
+from tests.test_keyed import put, rows, table
+
+spark = local_session(4, "2g", "killed")
+t = table(spark, {folder!r})
+name = {name!r}
+
+def die(self, *a, **b):
+    os.kill(os.getpid(), 9)
+
+put(spark, t, rows(spark, 0, 300, "a", 60))
+setattr(KeyedTable, name, die)
+put(spark, t, rows(spark, 0, 200, "b", 90))
+"""
+
+
+@pytest.mark.parametrize(("name", "text"), [("_switch", "a"), ("_sweep", "b")])
+def test_killed_writers_leave_a_whole_table(spark, folder, name, text):
+    """Many parts are written when the process dies: the table is the old one, or after the switch the new one."""
+    script = KILLED.format(root=ROOT, folder=folder, name=name)
+    done = subprocess.run([sys.executable, "-c", script], cwd=ROOT, capture_output=True, timeout=600)
+    assert done.returncode == -9, done.stderr.decode()[-2000:]
+    t = table(spark, folder)
+    assert len(list(Path(folder).glob("rows/commit=2/*/day=*"))) > 60
+    assert content(t) == {i: text if i < 200 else "a" for i in range(300)}
+    put(spark, t, rows(spark, 0, 250, "c", 70))
+    assert content(t) == {i: "c" if i < 250 else "a" for i in range(300)}
+    put(spark, t, rows(spark, 0, 10, "d", 70))
+    used = {t._folder(f) for v in t._chain()[-2:] for f in v.folders}
+    left = {str(p) for p in Path(folder).glob("rows/*/*/day=*")} | {str(p) for p in Path(folder).glob("gone/*/run=*")}
+    assert left == used  # nothing of the killed change is left over
+
+
+def test_a_list_cut_short_does_not_count(spark, folder):
+    t = table(spark, folder)
+    put(spark, t, rows(spark, 0, 500, "a", 50))
+    put(spark, t, rows(spark, 0, 500, "b", 50))
+    for file in Path(folder, "commits/version=2").glob("*.json"):
+        lines = file.read_text().splitlines()
+        Path(folder, "commits/version=2", f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_text("\n".join(lines[: len(lines) // 2]))
+    assert set(content(t).values()) == {"a"}
+    put(spark, t, rows(spark, 0, 500, "c", 50))
+    assert t.version().number == 3 and set(content(t).values()) == {"c"}
+
+
+def test_of_two_changes_from_one_version_one_holds(spark, folder):
+    t = table(spark, folder)
+    put(spark, t, rows(spark, 0, 20, "a"))
+    with Scratch(spark) as scratch:
+        new = rows(spark, 0, 20, "b")
+        late = t.find(new.select("id"), scratch, True)
+        put(spark, t, rows(spark, 0, 20, "c"))
+        with pytest.raises(ConflictError):
+            t.commit(new, late)
+    assert set(content(t).values()) == {"c"} and t.read().count() == 20
