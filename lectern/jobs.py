@@ -91,7 +91,7 @@ def load(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
         merged = pipeline.load_files(spark, collector.extract(a.date), collector.silver, UPDATE_ALL, collector.rejects, a.date)
         return {"rows_merged": merged}
     if a.loader == "inferred":
-        return {"rows_merged": pipeline.load_inferred(spark, collector.extract(a.date), collector.silver)}
+        return {"rows_merged": pipeline.load_inferred(spark, collector.extract(a.date), collector.silver, collector.rejects, a.date)}
     return collector.load(a.date)
 
 

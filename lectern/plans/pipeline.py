@@ -8,7 +8,8 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +20,13 @@ from lectern.operators.answer import answer_questions
 from lectern.operators.extract import extract_articles, split_errors
 from lectern.operators.upsert import first_landing, skip_landed
 from lectern.plans import sinks
+from lectern.plans.journal import Journal
+from lectern.plans.keyed import ConflictError
 from lectern.plans.tables import index_day, merge_silver
-from lectern.schemas import MAX_BAD_RECORDS, UPDATE_PARTIAL
+from lectern.schemas import ARTICLE_COLUMNS, MAX_BAD_RECORDS, UPDATE_PARTIAL
 from lectern.scratch import Scratch, exists
 from lectern.sources import layout
-from lectern.sources.articles import load_bronze, read_article_files, read_gold, read_inferred, read_silver
+from lectern.sources.articles import FILE, load_bronze, read_article_files, read_gold, read_inferred, read_silver
 
 log = logging.getLogger(__name__)
 
@@ -87,22 +90,23 @@ class ArticleCollector:
         Records that cannot be read and rows that the policy holds back are written to the rejects of the day.
         """
         with Scratch(self.spark) as scratch:
+            journal = Journal(self.spark, self.rejects, day)
+            note = lambda load: journal.record("load", load.rejects, load.files, scratch)
             try:
-                load = load_bronze(self.spark, self.extract(day), scratch, self.max_bad, self.suffix)
+                load = load_bronze(self.spark, self.extract(day), scratch, self.max_bad, self.suffix, note)
             except AnalysisException as e:
                 if e.getCondition() != "PATH_NOT_FOUND":
                     raise
                 log.warning("nothing landed on %s", day)
                 return dict.fromkeys(("rows_loaded", "bad_records", "violations", "rows_merged", "silver_partitions"), 0)
-            sinks.write_rejects(load.rejects, self.rejects, day, "load")
             broken = {r["violation"]: r["rows"] for r in contract.report(self.validate(load.rows)).collect()}
             found = sum(broken.values())
             if found:
                 log.warning("%d contract violations", found)
-            kept, held = contract.apply_policy(load.rows, self.on_violation)
-            record = F.to_json(F.struct(*load.rows.columns))
-            reasons = F.array_join(contract.broken_rules(), ", ")
-            sinks.write_rejects(held.select(record.alias("record"), reasons.alias("reason")), self.rejects, day, "contract")
+            kept, held = contract.apply_policy(load.placed_rows, self.on_violation)
+            record = F.to_json(F.struct(*ARTICLE_COLUMNS)).alias("record")
+            reasons = F.array_join(contract.broken_rules(), ", ").alias("reason")
+            journal.record("contract", held.select(F.col(FILE).alias("file"), record, reasons), load.files, scratch)
             merge = merge_silver(
                 self.spark, self.silver, kept.select(*derive.silver_columns()), scratch, self.update_cols
             )
@@ -214,24 +218,37 @@ def load_files(
 ) -> int:
     """Loader for one-document-per-file folders: unreadable files to ``rejects``, then an upsert. Returns rows merged."""
     with Scratch(spark) as scratch:
-        articles, broken = read_article_files(spark, path, scratch)
+        articles, broken, files = read_article_files(spark, path, scratch)
         for row in broken.select("file_path").limit(5).collect():
             log.warning("not a JSON document: %s", row["file_path"])
         if rejects:
-            sinks.write_rejects(broken.select(F.col("file_path").alias("record"), F.col("error").alias("reason")), rejects, run, "files")
+            named = broken.select(F.col("file_path").alias("file"), F.col("file_path").alias("record"), F.col("error").alias("reason"))
+            Journal(spark, rejects, run).record("files", named, files, scratch)
         return merge_silver(spark, silver, articles.select(*derive.silver_columns()), scratch, update_cols).source_rows
 
 
-def load_inferred(spark: SparkSession, path: str, silver: str) -> int:
-    """Loader that takes the schema from the files; nothing to read is a warning, not a failure."""
-    found = read_inferred(spark, path)
-    if found is None:
-        return 0
+def load_inferred(
+    spark: SparkSession, path: str, silver: str, rejects: str | None = None, run: str = "once", suffix: str = ".json"
+) -> int:
+    """Loader that takes the types from the files. Returns rows merged.
+
+    A load that fails, for whatever reason, is a warning and merges nothing. Lines that are not one record go to ``rejects``.
+    """
     with Scratch(spark) as scratch:
-        staged = scratch.write(found)
-        for row in contract.sample(contract.violations(staged)).collect():
-            log.warning("contract violation: %s %s", row["article_url"], row["violation"])
-        return merge_silver(spark, silver, staged.select(*derive.silver_columns()), scratch).source_rows
+        try:
+            load = read_inferred(spark, path, scratch, suffix)
+            if load is None:
+                return 0
+            if rejects:
+                Journal(spark, rejects, run).record("inferred", load.rejects, load.files, scratch)
+            if load.bad:
+                log.warning("skipped %d bad records", load.bad)
+            for row in contract.sample(contract.violations(load.rows)).collect():
+                log.warning("contract violation: %s %s", row["article_url"], row["violation"])
+            return merge_silver(spark, silver, load.rows.select(*derive.silver_columns()), scratch).source_rows
+        except (PySparkException, Py4JError, ConflictError) as e:
+            log.warning("load failed: %s", e)
+            return 0
 
 
 def ask(

@@ -79,16 +79,6 @@ def write_errors(errors: DataFrame, path: str, run_date: str, retried: DataFrame
         write_json(staged, path, ("folder", "run_date"))
 
 
-def write_rejects(rejects: DataFrame, path: str, run: str, step: str) -> None:
-    """What a step of a run did not load, as ``record, reason``: replaced when the step of that run is repeated."""
-    folder = f"{path}/step={step}/run={run}"
-    if rejects.isEmpty():
-        if exists(rejects.sparkSession, folder):
-            remove(rejects.sparkSession, folder)
-        return
-    rejects.select("record", "reason").write.mode("overwrite").json(folder)
-
-
 def write_feed_errors(errors: DataFrame, path: str, run_date: str, allow_empty: bool = False) -> None:
     """Error rows of empty or broken feeds; then stop, unless ``allow_empty``."""
     if errors.isEmpty():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,12 @@ from lectern.registry.views import ARTICLES_SQL, CHUNKS_SQL, DAY, HASH_DIM, SILV
 from lectern.schemas import ARTICLE_COLUMNS
 from lectern.scratch import Scratch
 from lectern.sources import layout
-from lectern.sources.articles import read_silver
+from lectern.plans.journal import Journal
+from lectern.sources.articles import BadRecordLimitError, read_silver
+
+
+# How each topic is loaded: by the declared loader, by the inferring one, or with a limit that its bad lines exceed.
+_DECLARED, _INFERRED, _REFUSED = ("en", "fr"), "es", "de"
 
 
 @register(
@@ -26,17 +32,20 @@ from lectern.sources.articles import read_silver
     f"""WITH {ARTICLES_SQL},
 lines AS (
   SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'two' WHEN doc_id % 11 = 0 THEN 'cut' WHEN doc_id % 13 = 0 THEN 'key' ELSE 'good' END AS kind
-  FROM art),
-rules AS (SELECT *, list_filter([CASE WHEN length(page_content) < 200 THEN 'Content too short' END,
+  FROM art WHERE topic IN ('en', 'fr', 'es', 'de')),
+rules AS (SELECT *, topic IN ('en', 'fr') AS declared, list_filter([CASE WHEN length(page_content) < 200 THEN 'Content too short' END,
     CASE WHEN title IS NULL OR title = '' THEN 'Missing title' END,
     CASE WHEN NOT article_url LIKE 'http%' THEN 'Invalid URL' END], lambda x: x IS NOT NULL) AS broken FROM lines)
-SELECT 'load' AS step, CASE kind WHEN 'key' THEN 'no article_url' ELSE 'not one JSON record' END AS reason, count(*) AS n
+SELECT CASE WHEN topic = 'es' THEN 'inferred' ELSE 'load' END AS step, topic,
+  CASE kind WHEN 'key' THEN 'no article_url' ELSE 'not one JSON record' END AS reason, count(*) AS n
 FROM rules WHERE kind <> 'good' GROUP BY ALL
-UNION ALL SELECT 'contract', array_to_string(broken, ', '), count(*) FROM rules WHERE kind = 'good' AND len(broken) > 0 GROUP BY ALL
-UNION ALL SELECT 'kept', 'silver', count(*) FROM rules WHERE kind = 'good' AND len(broken) = 0""",
+UNION ALL SELECT 'contract', topic, array_to_string(broken, ', '), count(*) FROM rules WHERE kind = 'good' AND declared AND len(broken) > 0 GROUP BY ALL
+UNION ALL SELECT 'kept', topic, 'silver', count(*) FROM rules
+  WHERE kind = 'good' AND ((declared AND len(broken) = 0) OR topic = 'es') GROUP BY ALL""",
 )
 def rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """Every line of a day is in silver or in the rejects, also when the day is loaded twice."""
+    """Topics loaded one after the other, some again, by both loaders, one past its limit: each line that was loaded is in
+    silver or recorded, once, and all lines of the load that was refused that no loader could read are recorded too."""
     root = Scratch(spark).path("lake")
     line = F.to_json(F.struct(*ARTICLE_COLUMNS))
     lines = articles(spark, sf).select(
@@ -44,17 +53,26 @@ def rejects(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.expr("doc_id % 11 = 0"), F.concat(F.lit("{"), line))
         .when(F.expr("doc_id % 13 = 0"), F.to_json(F.struct("topic", "title")))
         .otherwise(line)
-        .alias("value")
-    )
-    lines.write.text(f"{root}/{layout.ARTICLES}/topic/{DAY}")
-    collector = pipeline.ArticleCollector(
-        spark, root, HashingEmbedder(HASH_DIM), stamp=STAMP_TIME, on_violation="quarantine", max_bad=1 << 40, suffix=".txt"
+        .alias("value"),
+        F.col("topic").alias("folder"),
+        F.lit(DAY).alias("run_date"),
     )
+    lines.write.partitionBy("folder", "run_date").text(f"{root}/{layout.ARTICLES}")
+
+    def collector(topic: str, max_bad: int = 1 << 40) -> pipeline.ArticleCollector:
+        embedder = HashingEmbedder(HASH_DIM)
+        return pipeline.ArticleCollector(spark, root, embedder, topic, stamp=STAMP_TIME, on_violation="quarantine", max_bad=max_bad, suffix=".txt")
+
+    for topic in (*_DECLARED, _DECLARED[0]):
+        collector(topic).load(DAY)
+    inferred = collector(_INFERRED)
     for _ in range(2):
-        collector.load(DAY)
-    rows = spark.read.schema("record string, reason string, step string").json(f"{root}/rejects")
-    kept = read_silver(spark, collector.silver).select(F.lit("kept").alias("step"), F.lit("silver").alias("reason"))
-    return rows.select("step", "reason").unionByName(kept).groupBy("step", "reason").agg(F.count("*").alias("n"))
+        pipeline.load_inferred(spark, inferred.extract(DAY), inferred.silver, inferred.rejects, DAY, ".txt")
+    with contextlib.suppress(BadRecordLimitError):
+        collector(_REFUSED, max_bad=0).load(DAY)
+    recorded = Journal(spark, inferred.rejects, DAY).read().select("step", "topic", "reason")
+    kept = read_silver(spark, inferred.silver).select(F.lit("kept").alias("step"), "topic", F.lit("silver").alias("reason"))
+    return recorded.unionByName(kept).groupBy("step", "topic", "reason").agg(F.count("*").alias("n"))
 
 
 def _marked_up(spark: SparkSession, sf: str) -> DataFrame:

@@ -78,3 +78,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, none if there is no such folder."""
     fs, where = _file_system(spark, path)
     return [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, where = _file_system(spark, source)
+    goal = _file_system(spark, target)[1]
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(where, goal):
+        raise OSError(f"cannot move {source} to {target}")

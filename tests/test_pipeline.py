@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.embedding import FunctionEmbedder, HashingEmbedder
 from lectern.plans import pipeline
+from lectern.plans.journal import Journal
 from lectern.registry.retrieval import first_context
 from lectern.schemas import UPDATE_ALL
 from lectern.sources.articles import BadRecordLimitError, read_gold, read_silver
@@ -92,11 +93,44 @@ def test_every_rejected_record_is_kept(spark, folder):
     for _ in range(2):
         counts = collector.load(DAY)
     assert (counts["rows_loaded"], counts["bad_records"], counts["rows_merged"]) == (2, 5, 1)
-    found = spark.read.schema("record string, reason string, step string").json(folder + "/rejects").collect()
+    found = Journal(spark, folder + "/rejects", DAY).read().collect()
+    assert {(r.topic, Path(r.file).name, r.run) for r in found} == {("t", "a.json", DAY)}
     assert sorted(r.record for r in found if r.reason == "not one JSON record") == sorted([lines[1], lines[2], lines[3], lines[6]])
     assert sorted((r.step, r.reason) for r in found if r.reason != "not one JSON record") == [("contract", "Content too short"), ("load", "no article_url")]
 
 
+def test_records_of_other_topics_stay_and_refused_loads_are_recorded(spark, folder):
+    good = {"article_url": "http://x/1", "title": "T", "page_content": "word " * 60}
+    for topic, lines in (("a", ["{a"]), ("b", ["{b1", "{b2"]), ("c", ["{c", json.dumps(good)])):
+        file = Path(folder, f"raw/articles/{topic}/{DAY}/f.json")
+        file.parent.mkdir(parents=True)
+        file.write_text("\n".join(lines))
+    journal = Journal(spark, folder + "/rejects", DAY)
+    recorded = lambda: sorted((r.step, r.topic, r.record) for r in journal.read().collect())
+    load = lambda topic, **options: pipeline.ArticleCollector(spark, folder, EMBEDDER, topic, **options).load(DAY)
+    load("a")
+    with pytest.raises(BadRecordLimitError):
+        load("b", max_bad=1)
+    assert recorded() == [("load", "a", "{a"), ("load", "b", "{b1"), ("load", "b", "{b2")]
+    c = pipeline.ArticleCollector(spark, folder, EMBEDDER, "c")
+    assert pipeline.load_inferred(spark, c.extract(DAY), c.silver, c.rejects, DAY) == 1
+    Path(folder, f"raw/articles/b/{DAY}/f.json").write_text("{b2")  # one line was mended
+    load("b", max_bad=1)
+    assert recorded() == [("inferred", "c", "{c"), ("load", "a", "{a"), ("load", "b", "{b2")]
+    load("*")
+    assert recorded() == [("inferred", "c", "{c"), ("load", "a", "{a"), ("load", "b", "{b2"), ("load", "c", "{c")]
+
+
+def test_an_inferred_load_that_fails_is_a_warning(spark, folder, caplog):
+    file = Path(folder, "in", "x.json")
+    file.parent.mkdir()
+    file.write_text(json.dumps({"article_url": "http://a", "title": "t"}))
+    Path(folder, "silver/commits/version=1").mkdir(parents=True)
+    Path(folder, "silver/commits/version=1/x.json").write_text('{"kind":"head","lines":2,"base":0,"run":"r"}\n{"kind":"rows","commit":1,"run":"gone","rows":1,"bytes":1,"hidden_rows":0,"hidden_bytes":0,"parts":1}')
+    assert pipeline.load_inferred(spark, folder + "/in", folder + "/silver") == 0
+    assert "load failed" in caplog.text
+
+
 def test_a_day_without_files_changes_nothing(spark, folder):
     counts = pipeline.ArticleCollector(spark, folder, HashingEmbedder(8)).process(DAY)
     assert counts["rows_loaded"] == 0 and counts["rows_merged"] == 0

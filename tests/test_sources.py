@@ -98,12 +98,33 @@ def test_declared_load_skips_bad_records(spark, folder):
 
 
 def test_inferred_load(spark, folder):
-    assert articles.read_inferred(spark, folder + "/missing") is None
-    write(folder, "empty/x.json", "")
-    assert articles.read_inferred(spark, folder + "/empty") is None
-    write(folder, "in/x.json", json.dumps({"article_url": "u", "ingested_at": "2026-01-01T00:00:00Z", "more": 1}))
-    row = articles.read_inferred(spark, folder + "/in").first()
-    assert row["article_url"] == "u" and row["title"] is None and row["ingested_at"].year == 2026
+    with Scratch(spark) as scratch:
+        read = lambda path: articles.read_inferred(spark, folder + path, scratch)
+        assert read("/missing") is None
+        write(folder, "empty/x.json", "")
+        assert read("/empty") is None
+        write(folder, "in/x.json", json.dumps({"article_url": "u", "ingested_at": "2026-01-01T00:00:00Z", "more": 1}))
+        row = read("/in").rows.first()
+        assert row["article_url"] == "u" and row["title"] is None and row["ingested_at"].year == 2026
+
+
+def test_inferred_types_and_rejects(spark, folder):
+    lines = [
+        json.dumps({"article_url": "http://a", "clap_count": 5, "title": "t", "content_gated": True, "topic": {"a": 1}, "comments_count": 1}),
+        json.dumps({"article_url": "http://b", "clap_count": 7, "title": None, "content_gated": "true", "topic": "x", "comments_count": "k"}),
+        json.dumps({"article_url": "http://c"}) + json.dumps({"article_url": "http://d"}),
+        "{bad", "", "[]", "null", "7", json.dumps({"title": "no key"}),
+    ]
+    write(folder, "in/x.json", "\n".join(lines))
+    with Scratch(spark) as scratch:
+        load = articles.read_inferred(spark, folder + "/in", scratch)
+        assert (load.good, load.bad) == (2, 6) and load.rows.columns == list(ARTICLE_COLUMNS)
+        got = {r["article_url"]: r for r in load.rows.collect()}
+        a, b = got["http://a"], got["http://b"]
+        assert (a["clap_count"], b["clap_count"]) == ("5", "7") and a["content_gated"] is True and b["content_gated"] is True
+        assert (a["topic"], b["topic"]) == ('{"a":1}', "x") and (a["comments_count"], b["comments_count"]) == ("1", "k") and b["title"] is None
+        left = {(r["record"], r["reason"]) for r in load.rejects.collect()}
+        assert left == {(x, "not one JSON record") for x in lines[2:4] + lines[5:8]} | {('{"title":"no key"}', "no article_url")}
 
 
 def test_article_files(spark, folder):
@@ -114,7 +135,8 @@ def test_article_files(spark, folder):
     write(folder, "in/two.json", json.dumps(ROW) + "\n" + json.dumps(ROW))
     write(folder, "in/empty.json", " \n")
     write(folder, "in/other.txt", "{bad")
-    rows, broken = articles.read_article_files(spark, folder + "/in", Scratch(spark))
+    rows, broken, files = articles.read_article_files(spark, folder + "/in", Scratch(spark))
+    assert files.count() == 5
     got = {r["file_stem"]: r for r in rows.collect()}
     assert set(got) == {"good-1", "odd"}
     assert got["good-1"]["published_date"] == "2026-01-05" and got["good-1"]["content_gated"] is False
