@@ -17,7 +17,7 @@ import hashlib
 import re
 import sys
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -61,12 +61,18 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _is_byte(digits: str) -> bool:
+    """At most 255; any number of zeros may stand before it."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
+
+
 def detect(text: str) -> list[Span]:
     """Spans of each kind, leftmost first and without overlaps within a kind, by kind and start."""
     out = [("email", a, b) for a, b in _emails(text)]
     if not _DIGIT.search(text):
         return out
-    out += [] if not _DOTTED.search(text) else [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(_is_byte(p) for p in m.groups())] if _DOTTED.search(text) else []
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16:
             digits = m.group().replace(" ", "").replace("-", "")
@@ -106,17 +112,14 @@ _SPELLED_WORD = re.compile(rf"(?:{_NUMBER})(?!\w)")
 # Letters that look like digits.
 _DIGIT_LIKE = {"O": "0", "o": "0", "I": "1", "l": "1"}
 _MIXED_DIGITS = re.compile(r"(?<![A-Za-z0-9])(?:[0-9]++[OoIl]|[OoIl]++[0-9])[0-9OoIl]*+(?![A-Za-z0-9])")
-_LABEL = "[a-z0-9_%+-]{1,64}"
 _ANY_AT = re.compile(rf"(?<=[a-z0-9_%+-])(?:@|[ \t]{{1,3}}(?P<word>{_AT})[ \t]{{1,3}})(?=[a-z0-9])")
 _ADDRESS_DOMAIN = {
-    at: re.compile(rf"[a-z0-9-]{{1,63}}(?:(?:[ \t]{{1,3}}(?:{dot})[ \t]{{1,3}}|\.)[a-z0-9-]{{1,63}}){{1,7}}")
+    at: re.compile(rf"[a-z0-9-]++(?:(?:[ \t]{{1,3}}(?:{dot})[ \t]{{1,3}}|\.)[a-z0-9-]++)++")
     for at, dot in (*AT_DOT.items(), (None, _DOT))
 }
 #: A name that is no plain word: it has a digit, a point or an underscore after a letter.
-_HANDLE = re.compile(r"(?<![a-z0-9._%+-])[a-z][a-z%+-]*[0-9._][a-z0-9._%+-]*\Z")
-_SPELLED_LOCAL = {at: re.compile(rf"(?:{_LABEL}(?:[ \t]{{1,3}}{dot}[ \t]{{1,3}}|\.)){{1,4}}{_LABEL}\Z") for at, dot in AT_DOT.items()}
-#: Characters before a spelled "at" that can belong to the name.
-_LOCAL_REACH = 96
+_HANDLE = re.compile(r"[a-z][a-z%+-]*+[0-9._]")
+_NAME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789_%+-")
 _SPELLED_DOT = re.compile(rf"[ \t]{{1,3}}(?:{_DOT})[ \t]{{1,3}}")
 _SPELLED_NUMBER = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:[ \t]{{1,3}}(?:{_DOT})[ \t]{{1,3}}[0-9]{{1,3}}){{3}}(?![0-9])")
 
@@ -209,6 +212,41 @@ class Normalised:
         self.at, self.low, self.high, self.copied = at or [0], low or [0], high or [0], copied or [True]
 
 
+def _is_handle(text: str, end: int) -> bool:
+    start = end
+    while start and (text[start - 1] in _NAME or text[start - 1] == "."):
+        start -= 1
+    return _HANDLE.match(text, start, end) is not None
+
+
+def _name_dots(text: str, floor: int, end: int, dot: str) -> list[tuple[int, int, str]]:
+    """Edits for the spelled dots of the name that ends at ``end``, walked label by label as far as labels go."""
+    edits: list[tuple[int, int, str]] = []
+    while True:
+        start = end
+        while start > floor and text[start - 1] in _NAME:
+            start -= 1
+        if start == end:  # no label: what seemed a dot of the name is none
+            return edits[::-1] if not edits or edits[-1][0] != end else edits[-2::-1]
+        if start > floor and text[start - 1] == ".":
+            end = start - 1
+            continue
+        after = _blanks_before(text, floor, start)
+        before = _blanks_before(text, floor, after - len(dot))
+        if after == start or not text.endswith(dot, floor, after) or before == after - len(dot):
+            return edits[::-1]
+        edits.append((before, start, "."))
+        end = before
+
+
+def _blanks_before(text: str, floor: int, end: int) -> int:
+    """Where one to three blanks before ``end`` begin; ``end`` without any."""
+    start = end
+    while start > floor and end - start < 3 and text[start - 1] in " \t":
+        start -= 1
+    return start
+
+
 def _address_edits(text: str, disguised: set[int]) -> list[tuple[int, int, str]]:
     """Edits for names and domains around an "at".
 
@@ -221,12 +259,10 @@ def _address_edits(text: str, disguised: set[int]) -> list[tuple[int, int, str]]
         if at.start() < done or not (domain := _ADDRESS_DOMAIN[word].match(text, at.end())):
             continue
         dots = [(*d.span(), ".") for d in _SPELLED_DOT.finditer(text, *domain.span())]
-        low = max(done, at.start() - _LOCAL_REACH)
-        before = text[low : at.start()]
-        if not dots and (word is None or not (any(i in disguised for i in range(*domain.span())) or _HANDLE.search(before))):
+        if not dots and (word is None or not (any(i in disguised for i in range(*domain.span())) or _is_handle(text, at.start()))):
             continue
-        if word and (local := _SPELLED_LOCAL[word].search(before)):
-            edits += [(*d.span(), ".") for d in _SPELLED_DOT.finditer(text, low + local.start(), at.start())]
+        if word:
+            edits += _name_dots(text, done, at.start(), AT_DOT[word])
         edits += [(*at.span(), "@")] if word else []
         edits += dots
         done = domain.end()
@@ -291,10 +327,12 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     plain = normalise(text)
     if plain.text == text:
         return base, base
-    added = []
+    added, held = [], {k: [s for s in base if s[0] == k] for k in KINDS}
+    starts = {k: [s[1] for s in spans] for k, spans in held.items()}
     for kind, a, b in detect(plain.text):
         start, end = plain.back(a, b)
-        if text[start:end] == plain.text[a:b] or any(k == kind and s < end and start < e for k, s, e in base):
+        before = bisect_left(starts[kind], end)  # base spans of a kind do not overlap: only the last of these can reach in
+        if text[start:end] == plain.text[a:b] or before and held[kind][before - 1][2] > start:
             continue
         added.append((kind, start, end))
     everything = sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))

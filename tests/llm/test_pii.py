@@ -111,3 +111,77 @@ def test_rows(odd, empty):
 def test_mixed_disguises(text, span):
     _, every = pii.find(text)
     assert [text[a:b] for _, a, b in every] == ([span] if span else [])
+
+
+def test_numbers_with_many_zeros_are_small():
+    for n in (1, 300, 5000):
+        assert pii.detect("1.2.3." + "0" * n) == [("ip", 0, 6 + n)]
+    assert pii.detect("1.2.3." + "0" * 5000 + "256") == []
+    assert pii.detect("0255.0.00.000 256.1.1.1") == [("ip", 0, 13)]
+
+
+def test_addresses_have_no_greatest_length():
+    labels = " dot ".join(f"a{i}" for i in range(12))
+    names = " dot ".join(f"n{i}" for i in range(12))
+    for text in (f"abc at {labels} dot com", f"{names} at {labels} dot com", f"{'x' * 300} at {'y' * 200} dot com", f"{'n.' * 200}x at a dot b"):
+        _, every = pii.find(f"see ({text})")
+        assert [("email", 5, 5 + len(text))] == every
+    assert [s[1:] for s in pii.find("dot b at c dot org")[1]] == [(4, 18)]
+    assert [s[1:] for s in pii.find("x    dot b at c dot org")[1]] == [(9, 23)]
+
+
+def test_mixed_plain_and_disguised_take_linear_time():
+    begun = time.time()
+    for unit, n in (("a@b.com c at d dot org, ", 100_000), ("1.2.3.4 1 dot 2 dot 3 dot 4, ", 50_000), ("a dot b ", 100_000), ("a.b at c.d ", 100_000), ("at dot at dot ", 100_000)):
+        base, every = pii.find(unit * n)
+        if "@" in unit:
+            assert len(base) == n and len(every) == 2 * n
+    assert time.time() - begun < 90
+
+
+def _spelled(digits):
+    return " ".join("zero one two three four five six seven eight nine".split()[int(c)] if c.isdigit() else c for c in digits)
+
+
+DISGUISES = {
+    "email": [
+        lambda t: t.replace("@", " at ").replace(".", " dot "), lambda t: t.replace("@", " [at] ").replace(".", " [dot] "),
+        lambda t: t.replace("@", "(at)").replace(".", "(dot)"), lambda t: t.replace("a", "а").replace("o", "о").replace("e", "е"),
+        lambda t: "\u200b".join(t), lambda t: t.replace("@", " arroba ").replace(".", " punto "), lambda t: t.replace("@", "＠"),
+    ],
+    "ip": [lambda t: t.replace(".", " dot "), lambda t: t.replace(".", "[.]"), lambda t: t.replace(".", "․"), lambda t: t.replace("1", "１")],
+    "card": [lambda t: _spelled(t), lambda t: t.replace("0", "O").replace("1", "l"), lambda t: "\u200b".join(t), lambda t: " ".join(t.replace("4", "４")[i : i + 4] for i in range(0, 16, 4))],
+    "phone": [lambda t: "plus " + _spelled(t[1:]), lambda t: t.replace("+", "＋"), lambda t: t.translate({ord(str(d)): chr(0xFF10 + d) for d in range(10)}), lambda t: "\u2060".join(t)],
+}
+
+
+def test_recall_of_each_kind():
+    """Disguises of random identifiers inside prose, found as a whole."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdeoprstu", k=rng.randint(3, 8)))
+
+    def card():
+        digits = "".join(rng.choices("0123456789", k=15))
+        return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+    make = {
+        "email": lambda: f"{word()}.{word()}@{word()}.com",
+        "ip": lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4)) + "",
+        "card": card,
+        "phone": lambda: "+" + "".join(rng.choices("123456789", k=11)),
+    }
+    for kind, disguises in DISGUISES.items():
+        tried = hit = 0
+        for disguise in disguises:
+            for _ in range(40):
+                plain_form = make[kind]()
+                hidden = disguise(plain_form)
+                if hidden == plain_form:
+                    continue
+                text = f"they wrote ({hidden}) there."
+                tried += 1
+                hit += any(k == kind and text[a:b] == hidden for k, a, b in pii.find(text)[1])
+        print(kind, hit, tried)
+        assert hit >= 0.95 * tried, (kind, hit, tried)
