@@ -12,7 +12,6 @@ Repeated rows get the same answer each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +35,6 @@ RATE = 0.03
 SIDE_BY_SIDE = 1024
 PAD = 256
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1
 
@@ -217,7 +213,7 @@ def _predict(shared, text: str, keep: bool):
             for part in pieces(batch, text):
                 texts = part.column(text)
                 names = [n for n in part.schema.names if keep or n != text]
-                letters = [bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()]
+                letters = [bool(t) and any(map(str.isalpha, t)) for t in texts.to_pylist()]  # category L
                 if network is None:
                     found, score = [UNKNOWN] * len(letters), [0.0] * len(letters)
                 else:

@@ -58,3 +58,11 @@ def test_odd_rows(odd, empty):
             assert (r.lang_pred, r.score) == ("und", 0.0)
     assert langid.identify(empty).count() == 0
     assert {r.lang_pred for r in langid.identify(odd.where("lang is null or doc_id = 3")).collect()} == {"und"}
+
+
+def test_signs_that_are_no_letters_have_no_language(spark):
+    network = langid.Network(["a", "b"], hidden=3)
+    rows = [(1, "² ½ ① 12 !"), (2, "ª"), (3, None), (4, ""), (5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, network).collect()}
+    assert {d for d, lang in got.items() if lang == langid.UNKNOWN} == {1, 3, 4}
