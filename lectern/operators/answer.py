@@ -28,7 +28,7 @@ STRICT_PROMPT = (
     "Context:\n{context}\n\nQuestion:\n{question}\n"
 )
 
-HIT_ROWS_BROADCAST = 100_000
+HIT_BYTES_BROADCAST = 64 * 1024 * 1024
 
 
 def not_blank(text: Column) -> Column:
@@ -61,8 +61,9 @@ def retrieve_context(
     asked = scratch.write(embed(questions.select("question_id", "query"), embedder, "query", on_error=on_error))
     hits = scratch.write(nearest_neighbors(chunks, asked, k, base_ids=base_ids, metric=metric))
     texts = chunks.select(*base_ids, *payload)
-    if hits.count() <= HIT_ROWS_BROADCAST:
-        hits = F.broadcast(hits)  # rows of ids, counted
+    weight = sum((F.octet_length(F.col(c).cast("string")) for c in base_ids), F.lit(64))
+    if (hits.agg(F.sum(weight)).first()[0] or 0) <= HIT_BYTES_BROADCAST:
+        hits = F.broadcast(hits)
     return texts.join(hits, list(base_ids)).select(
         "question_id", "rank", "distance", *base_ids, *payload
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -313,8 +313,9 @@ def extract_articles(
     rules: str = "canonical",
     hash_algorithm: str | None = None,
     json_ld_author: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Pages ``url, topic, html`` to the article columns plus ``error`` (null for a parsed page).
+    """Pages ``url, topic, html`` to the article columns plus ``error`` (null for a parsed page) and the columns ``keep``.
 
     ``rules="legacy"`` takes the article's whole text instead of its paragraphs, and MD5 for the
     hash. ``stamp`` defaults to the current time.
@@ -327,7 +328,7 @@ def extract_articles(
         when = F.current_timestamp()
     else:
         when = stamp if isinstance(stamp, Column) else F.lit(stamp.isoformat(sep=" ")).cast("timestamp")
-    parsed = parse_pages(pages.select("url", "topic", "html"))
+    parsed = parse_pages(pages.select("url", "topic", "html", *keep))
     fields = parsed.select(
         F.col("url").alias("article_url"),
         "topic",
@@ -335,11 +336,12 @@ def extract_articles(
         F.lit(None).cast("string").alias("author_avatar_url"),
         when.alias("ingested_at"),
         _part("error").alias("error"),
+        *keep,
     )
     content = F.coalesce("page_content", F.lit(""))
     return fields.withColumns(
         {"content_hash": derive.content_hash(content, algorithm), "content_gated": derive.gate_flag("page_content")}
-    ).select(*ARTICLE_COLUMNS, "error")
+    ).select(*ARTICLE_COLUMNS, "error", *keep)
 
 
 def split_errors(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:

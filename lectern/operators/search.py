@@ -1,13 +1,15 @@
 """Exact nearest neighbours: for every query vector, the ``k`` base rows at the smallest distance.
 
-The work is |queries| x |base| distances and cannot be less for an exact answer without an index,
-so what matters is that pairs never become rows. Each task compares a block of base vectors with a
-block of query vectors in numpy and emits at most ``k`` rows per query; only these are shuffled,
-keyed by query, for the final ranking.
+Pairs never become rows, and the base stays where it lies. Queries go to the tasks in blocks of ``QUERY_BYTES``, one after the
+other; a task compares its base rows with the block in numpy and emits at most ``k`` rows per query; only these
+are shuffled, and merged in two steps, first within a share of the tasks, then by query.
 
-Two layouts. With few queries (counted, not assumed) the query matrix is sent to every task and
-the base is scanned where it lies, with no shuffle of base rows. Beyond that bound both sides are
-cut into blocks by key hash, and every pair of blocks meets in one task.
+Most pairs need not be computed when vectors lie in groups. A few base rows give every query a distance within which
+its ``k`` nearest must be, and pivots. The rows of a task are grouped by their nearest pivot, each group with the
+radii between which its rows lie; by the triangle inequality a query can leave out a group when its own distance
+to the pivot is beyond the radii by more than it still looks for. Cosine distance is searched as the
+distance of unit vectors; zero vectors, which are equally far from everything, are always compared.
+Where vectors do not lie in groups nothing can be left out, and blocks are compared whole.
 
 Ranking is by distance rounded to ``digits`` and then by the id columns, which makes the result the
 same for every partitioning although floating-point sums are not.
@@ -20,16 +22,26 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lectern.schemas import TOP_K
+from lectern.scratch import Scratch
 
 METRICS = ("euclidean", "cosine")
-BROADCAST_QUERIES = 8192
-BLOCK_BYTES = 64 * 1024 * 1024
+#: Vectors of queries sent to the tasks at a time.
+QUERY_BYTES = 16 * 1024 * 1024
+#: Base rows that give the first bounds, and how many of them are pivots.
+SAMPLE_ROWS = 1024
+PIVOTS = 48
+#: Base rows grouped at a time.
+BASE_ROWS = 8192
+#: Groups are compared one by one when they spare at least this share of the pairs.
+WORTH = 0.4
+#: Shares of the tasks whose results are merged first.
+MERGE = 64
 _CELLS = 1 << 21
 
 
@@ -40,6 +52,105 @@ class _Queries:
         self.vectors = _prepare(vectors, metric)
         self.squares = _squares(self.vectors, metric)
 
+    def some(self, places: np.ndarray) -> _Queries:
+        part = object.__new__(_Queries)
+        part.vectors, part.squares = self.vectors[places], self.squares[places]
+        return part
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distance of every two rows, good enough to leave out what is clearly further."""
+    squares = np.einsum("ij,ij->i", a, a)[:, None] + np.einsum("ij,ij->i", b, b)[None, :] - 2.0 * (a @ b.T)
+    return np.sqrt(np.maximum(squares, 0.0))
+
+
+def pick_pivots(rows: np.ndarray, count: int) -> np.ndarray:
+    """Rows far from each other: each next one is the furthest from those before."""
+    if not len(rows):
+        return rows
+    picked, near = [0], _apart(rows, rows[:1])[:, 0]
+    while len(picked) < min(count, len(rows)) and near.max() > 0:
+        picked.append(int(near.argmax()))
+        near = np.minimum(near, _apart(rows, rows[picked[-1:]])[:, 0])
+    return rows[picked]
+
+
+class Search:
+    """The ``k`` nearest rows seen so far for a block of queries, and what had to be computed for it."""
+
+    def __init__(self, vectors: np.ndarray, sample: np.ndarray, k: int, metric: str, digits: int):
+        self.queries, self.k, self.metric, self.digits = _Queries(vectors, metric), k, metric, digits
+        sample = _prepare(sample, metric) if len(sample) else np.zeros((0, vectors.shape[1]))
+        self.pivots = pick_pivots(sample, PIVOTS)
+        self.to_pivot = _apart(self.queries.vectors, self.pivots) if len(sample) else None
+        self.zero = metric == "cosine"
+        self.within = np.full(len(vectors), np.inf)
+        if len(sample) >= k:
+            for at in range(0, len(vectors), 4096):
+                cut = slice(at, at + 4096)
+                self.within[cut] = np.partition(_apart(self.queries.vectors[cut], sample), k - 1, axis=1)[:, k - 1]
+            if self.zero and (_lengths(sample) == 0).any():
+                self.within[:] = np.inf  # their distance is not that of unit vectors
+        if self.zero:
+            self.within[_lengths(self.queries.vectors) == 0] = np.inf
+        self.best: pd.DataFrame | None = None
+        self.pairs = self.all_pairs = 0
+
+    def add(self, vectors: np.ndarray, ids: pd.DataFrame) -> None:
+        self.all_pairs += len(vectors) * len(self.queries.vectors)
+        rows = _prepare(vectors, self.metric)
+        everyone = np.arange(len(self.queries.vectors))
+        for places, asking in self._groups(rows) or [(np.arange(len(rows)), everyone)]:
+            if not len(asking):
+                continue
+            self.pairs += len(places) * len(asking)
+            found = _best(self.queries.some(asking), rows[places], ids.iloc[places], self.k, self.metric, self.digits)
+            found["__q"] = asking[found["__q"].to_numpy()]
+            self.best = found if self.best is None else _rank(pd.concat([self.best, found], ignore_index=True), list(ids.columns), self.k)
+            self._narrow()
+
+    def _groups(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(places of rows, queries that have to see them) by nearest pivot; None when that would spare little."""
+        if self.to_pivot is None or len(rows) < 2 * PIVOTS:
+            return None
+        far = _apart(rows, self.pivots)
+        group = far.argmin(axis=1)
+        radius = far[np.arange(len(rows)), group]
+        if self.zero:
+            group[_lengths(rows) == 0] = -1
+        out, work = [], 0
+        # Room for rounding, of the distances and of the ranking.
+        room = 1e-6 * (1.0 + self.within + far.max()) + 4 * 10.0**-self.digits
+        for g in np.unique(group):
+            places = np.flatnonzero(group == g)
+            if g < 0:
+                asking = np.arange(len(self.queries.vectors))
+            else:
+                reach = self.within + room
+                own = self.to_pivot[:, g]
+                asking = np.flatnonzero((own - radius[places].max() <= reach) & (radius[places].min() - own <= reach))
+            work += len(places) * len(asking)
+            out.append((places, asking))
+        if work > (1 - WORTH) * len(rows) * len(self.queries.vectors):
+            return None
+        return sorted(out, key=lambda x: len(x[1]))
+
+    def _narrow(self) -> None:
+        """Queries with ``k`` rows look no further than the last of them."""
+        by_query = self.best.groupby("__q", sort=False)["distance"]
+        last, full = by_query.max(), by_query.size() >= self.k
+        last = last[full]
+        reach = np.sqrt(np.maximum(2.0 * last.to_numpy(), 0.0)) if self.metric == "cosine" else last.to_numpy()
+        at = last.index.to_numpy()
+        if self.zero:
+            ok = _lengths(self.queries.vectors[at]) > 0
+            at, reach = at[ok], reach[ok]
+        self.within[at] = np.minimum(self.within[at], reach)
+
+
+def _lengths(v: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", v, v)
+
 
 def _prepare(vectors: np.ndarray, metric: str) -> np.ndarray:
     v = np.ascontiguousarray(vectors, dtype=np.float64)
@@ -148,11 +259,14 @@ def nearest_neighbors(
     query_vector: str = "embedding",
     metric: str = "euclidean",
     digits: int = 9,
-    broadcast_queries: int = BROADCAST_QUERIES,
+    query_bytes: int | None = None,
+    work: list[DataFrame] | None = None,
 ) -> DataFrame:
     """``query_id, rank, distance`` and the base id columns, ``k`` rows per query (fewer if the base is smaller).
 
-    Rows with a null vector take no part. ``base_ids`` together identify a base row.
+    Rows with a null vector take no part. ``base_ids`` together identify a base row. ``queries`` and ``base`` are read more than
+    once, so vectors should be stored, not computed on the way. ``work``, if given, receives a table of
+    ``pairs, all_pairs`` for each block of queries: distances computed, and what all would have been.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric: {metric}")
@@ -160,98 +274,74 @@ def nearest_neighbors(
     # that computes the vector and compute it twice.
     base_rows = base.select(*base_ids, F.col(base_vector).alias("__v"))
     query_rows = queries.select(F.col(query_id), F.col(query_vector).alias("__v"))
-    held = query_rows.limit(broadcast_queries + 1).toArrow()
-    if held.num_rows <= broadcast_queries:
-        found = _scan(base_rows, query_rows.schema[query_id], held, base_ids, k, metric, digits)
-    else:
-        found = _grid(base_rows, query_rows, query_id, base_ids, k, metric, digits)
-    window = Window.partitionBy(query_id).orderBy("distance", *base_ids)
-    return (
-        found.withColumn("rank", F.row_number().over(window))
-        .where(F.col("rank") <= k)
-        .select(query_id, "rank", "distance", *base_ids)
-    )
-
-
-def _result_schema(id_field: T.StructField, base: DataFrame, base_ids: Sequence[str]) -> T.StructType:
-    return T.StructType(
-        [id_field, T.StructField("distance", T.DoubleType()), *[base.schema[c] for c in base_ids]]
-    )
-
-
-def _scan(base, id_field, held, base_ids, k, metric, digits) -> DataFrame:
-    schema = _result_schema(id_field, base, base_ids)
-    held = _with_vector(held)
-    if held.num_rows == 0:
-        return base.sparkSession.createDataFrame([], schema)
+    size = query_rows.agg(F.coalesce(F.sum(8 * F.coalesce(F.size("__v"), F.lit(0)) + 64), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // (query_bytes or QUERY_BYTES)))
+    sample = _with_vector(base_rows.select("__v").limit(SAMPLE_ROWS).toArrow())
+    sample = _matrix(sample.column("__v")) if sample.num_rows else np.zeros((0, 0))
+    scratch = Scratch(base.sparkSession) if blocks > 1 else None
+    found = []
+    for number in range(blocks):
+        block = query_rows if blocks == 1 else query_rows.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == number)
+        held = _with_vector(block.toArrow())
+        rows, sent = _scan(base_rows, query_rows.schema[query_id], held, sample, base_ids, k, metric, digits)
+        if work is not None:
+            work.append(rows.where("__pairs is not null").select(F.col("__pairs").alias("pairs"), F.col("__all").alias("all_pairs")))
+        best = _merge(rows.where("__pairs is null").drop("__pairs", "__all"), query_id, base_ids, k)
+        if scratch:
+            best = scratch.write(best)  # the next block takes the place of this one in the tasks
+            sent.destroy()
+        found.append(best)
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out.select(query_id, "rank", "distance", *base_ids)
+
+
+def _merge(rows: DataFrame, query_id: str, base_ids: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` first of each query: first of each share of the tasks, then of all."""
+    share = F.pmod(F.spark_partition_id(), F.lit(MERGE)).alias("__share")
+    order = ("distance", *base_ids)
+    within = F.row_number().over(Window.partitionBy(query_id, "__share").orderBy(*order))
+    few = rows.select("*", share).withColumn("__rank", within).where(F.col("__rank") <= k).drop("__rank", "__share")
+    overall = F.row_number().over(Window.partitionBy(query_id).orderBy(*order))
+    return few.withColumn("rank", overall).where(F.col("rank") <= k)
+
+
+def _scan(base, id_field, held, sample, base_ids, k, metric, digits):
+    counts = [T.StructField(n, T.LongType()) for n in ("__pairs", "__all")]
+    schema = T.StructType([id_field, T.StructField("distance", T.DoubleType()), *[base.schema[c] for c in base_ids], *counts])
     ids = held.column(0).to_pandas().to_numpy()
-    sent = base.sparkSession.sparkContext.broadcast((ids, _matrix(held.column("__v"))))
-    names = list(base_ids)
-    arrow_names = [id_field.name, "distance", *names]
+    matrix = _matrix(held.column("__v")) if held.num_rows else np.zeros((0, 0))
+    sent = base.sparkSession.sparkContext.broadcast((ids, matrix, sample))
+    names, out = list(base_ids), to_arrow_schema(schema)
 
     def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, matrix = sent.value
-        queries, best = _Queries(matrix, metric), None
-        types = None
+        query_ids, matrix, sample = sent.value
+        if not len(query_ids):
+            return
+        search = Search(matrix, sample, k, metric, digits)
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
             batch = _with_vector(batch)
-            if batch.num_rows == 0:
-                continue
-            if types is None:
-                types = [batch.schema.field(c).type for c in names]
-            ids = batch.select(names).to_pandas()
-            found = _best(queries, _matrix(batch.column("__v")), ids, k, metric, digits)
-            best = found if best is None else _rank(pd.concat([best, found], ignore_index=True), names, k)
+            if batch.num_rows:
+                waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= BASE_ROWS:
+                _feed(search, waiting, names)
+                waiting = []
+        if waiting:
+            _feed(search, waiting, names)
+        best = search.best
         if best is not None:
-            columns = [pa.array(query_ids[best["__q"].to_numpy()]), pa.array(best["distance"].to_numpy())]
-            columns += [pa.array(best[c], type=t, from_pandas=True) for c, t in zip(names, types)]
-            yield pa.RecordBatch.from_arrays(columns, arrow_names)
-
-    return base.mapInArrow(best_of_partition, schema)
-
-
-def _numbers(count: int) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
-
-
-def _grid(base, queries, query_id, base_ids, k, metric, digits) -> DataFrame:
-    asked = queries.agg(F.count("*").alias("rows"), F.max(F.size("__v")).alias("dim")).first()
-    per_block = max(1, BLOCK_BYTES // (8 * max(1, asked["dim"] or 1)))
-    query_blocks = max(1, -(-asked["rows"] // per_block))
-    # At least three cells per core, since cells share tasks by hash; more when blocks get full.
-    cells = 3 * base.sparkSession.sparkContext.defaultParallelism
-    base_blocks = max(1, -(-base.count() // per_block), -(-cells // query_blocks))
-    schema = _result_schema(queries.schema[query_id], base, base_ids)
-    names = list(base_ids)
-
-    left = queries.select(
-        "*",
-        F.pmod(F.xxhash64(query_id), F.lit(query_blocks)).alias("__qb"),
-        _numbers(base_blocks).alias("__bb"),
-    )
-    right = base.select(
-        "*",
-        F.pmod(F.xxhash64(*base_ids), F.lit(base_blocks)).alias("__bb"),
-        _numbers(query_blocks).alias("__qb"),
-    )
-
-    out = to_arrow_schema(schema)
-
-    def best_of_cell(some_queries: pa.Table, some_base: pa.Table) -> pa.Table:
-        some_queries, some_base = _with_vector(some_queries), _with_vector(some_base)
-        if some_queries.num_rows == 0 or some_base.num_rows == 0:
-            return out.empty_table()
-        block = _Queries(_matrix(some_queries.column("__v")), metric)
-        best = None
-        for batch in some_base.combine_chunks().to_batches(max_chunksize=8192):
-            ids = batch.select(names).to_pandas()
-            found = _best(block, _matrix(batch.column("__v")), ids, k, metric, digits)
-            best = found if best is None else _rank(pd.concat([best, found], ignore_index=True), names, k)
-        picked = some_queries.column(query_id).combine_chunks().take(pa.array(best["__q"].to_numpy()))
-        columns = [picked, pa.array(best["distance"].to_numpy())]
-        columns += [pa.array(best[c], type=out.field(c).type, from_pandas=True) for c in names]
-        return pa.Table.from_arrays(columns, schema=out)
-
-    return (
-        left.groupBy("__qb", "__bb").cogroup(right.groupBy("__qb", "__bb")).applyInArrow(best_of_cell, schema)
-    )
+            columns = [pa.array(query_ids[best["__q"].to_numpy()]).cast(out.field(0).type), pa.array(best["distance"].to_numpy())]
+            columns += [pa.array(best[c], type=out.field(c).type, from_pandas=True) for c in names]
+            columns += [pa.nulls(len(best), pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
+        nothing = [pa.nulls(1, f.type) for f in list(out)[:-2]]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([search.pairs]), pa.array([search.all_pairs])], schema=out)
+
+    return base.mapInArrow(best_of_partition, schema), sent
+
+
+def _feed(search: Search, waiting: list[pa.RecordBatch], names: list[str]) -> None:
+    table = pa.Table.from_batches(waiting)
+    search.add(_matrix(table.column("__v")), table.select(names).to_pandas())

@@ -29,6 +29,22 @@ def latest_per_key(
     return df.withColumn(spot, F.row_number().over(window)).where(F.col(spot) == 1).drop(spot)
 
 
+#: Address of a staged row, and a hash of the whole row that orders rows alike in time and content.
+ROW, TIE = "__row", "__tie"
+
+
+def addressed(df: DataFrame) -> DataFrame:
+    """``df`` with the columns that :func:`superseded` needs. Write it before use: addresses hold only for stored rows."""
+    return df.withColumns({TIE: F.xxhash64(*df.columns), ROW: F.monotonically_increasing_id()})
+
+
+def superseded(stored: DataFrame, key: str = "article_url") -> DataFrame:
+    """Addresses of the rows that :func:`latest_per_key` would leave out; only key, time and hashes are read and moved."""
+    narrow = stored.select(key, "ingested_at", "content_hash", TIE, ROW)
+    later = Window.partitionBy(key).orderBy(F.col("ingested_at").desc_nulls_last(), "content_hash", TIE, ROW)
+    return narrow.withColumn("__rank", F.row_number().over(later)).where("__rank > 1").select(ROW)
+
+
 def require_key(df: DataFrame, key: str = "article_url") -> DataFrame:
     """The job fails if a row has no key."""
     return df.withColumn(key, F.coalesce(F.col(key), F.raise_error(F.lit(f"{key} is required"))))

@@ -17,8 +17,9 @@ from lectern.functions import derive
 from lectern.functions.embedding import Embedder
 from lectern.operators import contract
 from lectern.operators.answer import answer_questions
+from lectern.operators.bloom import in_filter
 from lectern.operators.extract import extract_articles, split_errors
-from lectern.operators.upsert import first_landing, skip_landed
+from lectern.operators.upsert import ROW, TIE, first_landing, skip_landed
 from lectern.plans import sinks
 from lectern.plans.journal import Journal
 from lectern.plans.keyed import ConflictError
@@ -108,7 +109,7 @@ class ArticleCollector:
             reasons = F.array_join(contract.broken_rules(), ", ").alias("reason")
             journal.record("contract", held.select(F.col(FILE).alias("file"), record, reasons), load.files, scratch)
             merge = merge_silver(
-                self.spark, self.silver, kept.select(*derive.silver_columns()), scratch, self.update_cols
+                self.spark, self.silver, kept.select(*derive.silver_columns(), ROW, TIE), scratch, self.update_cols
             )
         return {
             "rows_loaded": load.good,
@@ -143,20 +144,24 @@ def land_pages(
     run_date: str,
     stamp: dt.datetime,
     rules: str = "canonical",
+    few: int = BROADCAST_KEYS,
 ) -> dict[str, int]:
     """Extract pages ``url, topic, pos, html`` not landed yet today into bronze; failures go to errors.
 
     Of pages with the same topic and slug the first is taken, as the second would find the path
-    taken. ``pos`` identifies a page. The choice is made on key columns, so that HTML is not
-    shuffled for it. Pages are parsed once, into a stage that both outputs read.
+    taken. ``pos`` identifies a page. The choice is made on key columns and reaches the pages as a broadcast, of the
+    positions chosen or, if more than ``few``, of a filter of them, so HTML is never shuffled. Pages are parsed once, into a stage that both outputs read.
     """
     landed = f"{root}/{layout.ARTICLES}"
     counts = Observation()
     with Scratch(spark) as scratch:
         chosen = scratch.write(_not_landed(spark, pages, landed, run_date).select("pos"))
-        todo = _only(pages, chosen, "pos")
+        todo, exact = _only(pages, chosen, "pos", few)
+        parsed = extract_articles(todo, stamp, rules, keep=("pos",))
+        if not exact:  # some pages passed the filter by chance: what they gave is dropped
+            parsed = scratch.write(parsed).join(chosen, "pos", "left_semi")
         done = scratch.write(
-            extract_articles(todo, stamp, rules).observe(
+            parsed.drop("pos").observe(
                 counts,
                 F.count(F.lit(1)).alias("pages"),
                 F.coalesce(F.sum(F.col("error").isNotNull().cast("long")), F.lit(0)).alias("errors"),
@@ -187,15 +192,11 @@ def _not_landed(spark: SparkSession, pages: DataFrame, landed: str, run_date: st
     return skip_landed(first, present.where(F.col("run_date") == run_date))
 
 
-def _only(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
-    """Rows whose key was chosen. Whichever of the chosen and the others is few is broadcast."""
-    total, wanted = rows.count(), chosen.count()
-    if wanted <= BROADCAST_KEYS:
-        return rows.join(F.broadcast(chosen), key, "left_semi")
-    if 0 <= total - wanted <= BROADCAST_KEYS:
-        others = rows.select(key).join(chosen, key, "left_anti")
-        return rows.join(F.broadcast(others), key, "left_anti")
-    return rows.join(chosen, key, "left_semi")
+def _only(rows: DataFrame, chosen: DataFrame, key: str, few: int) -> tuple[DataFrame, bool]:
+    """Rows whose key was chosen, and whether these are exactly those: beyond a broadcast some more may be among them."""
+    if chosen.count() <= few:  # numbers
+        return rows.join(F.broadcast(chosen), key, "left_semi"), True
+    return rows.where(in_filter(key, chosen)), False
 
 
 def run_pipeline(
@@ -245,7 +246,7 @@ def load_inferred(
                 log.warning("skipped %d bad records", load.bad)
             for row in contract.sample(contract.violations(load.rows)).collect():
                 log.warning("contract violation: %s %s", row["article_url"], row["violation"])
-            return merge_silver(spark, silver, load.rows.select(*derive.silver_columns()), scratch).source_rows
+            return merge_silver(spark, silver, load.placed_rows.select(*derive.silver_columns(), ROW, TIE), scratch).source_rows
         except (PySparkException, Py4JError, ConflictError) as e:
             log.warning("load failed: %s", e)
             return 0

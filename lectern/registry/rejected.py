@@ -7,16 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.functions.embedding import FunctionEmbedder, HashingEmbedder, embed
 from lectern.operators.chunking import article_chunks
 from lectern.operators.extract import extract_articles
 from lectern.operators.sizing import spread_small_scan
 from lectern.plans import pipeline
-from lectern.registry import register
+from lectern.registry import SQL, register
 from lectern.registry.jobs import STAMP_TIME
 from lectern.registry.views import ARTICLES_SQL, CHUNKS_SQL, DAY, HASH_DIM, SILVER_SQL, STAMP, articles, silver, table
-from lectern.schemas import ARTICLE_COLUMNS
+from lectern.schemas import ARTICLE_COLUMNS, BRONZE_ARTICLE, ERROR_RECORD
 from lectern.scratch import Scratch
 from lectern.sources import layout
 from lectern.plans.journal import Journal
@@ -115,6 +116,34 @@ def extract_markup(spark: SparkSession, sf: str) -> DataFrame:
     return extract_articles(_marked_up(spark, sf), F.lit(STAMP).cast("timestamp"))
 
 
+_LANDED_SQL = f"""WITH e AS ({SQL["extract_markup"]}),
+d AS (SELECT *, CAST(regexp_extract(article_url, '[0-9]+') AS bigint) AS doc_id FROM e)"""
+
+
+@register(
+    "land_markup",
+    f"""{_LANDED_SQL}
+SELECT * EXCLUDE (doc_id, error), CAST(doc_id AS varchar) AS slug, 'article' AS kind FROM d WHERE doc_id % 12 <> 0
+UNION ALL SELECT article_url, topic, {', '.join(f'NULL AS {c}' for c in ARTICLE_COLUMNS[2:11])}, timestamp '{STAMP}' AS ingested_at,
+  NULL AS content_hash, NULL AS content_gated, NULL AS slug, 'error' AS kind FROM d WHERE doc_id % 12 = 0""",
+)
+def land_markup(spark: SparkSession, sf: str) -> DataFrame:
+    """Some pages landed, then all, chosen by a filter: every column of what was landed, once, and the pages without HTML."""
+    root = Scratch(spark).path("lake")
+    pos = F.regexp_extract("url", "[0-9]+", 0).cast("long")
+    pages = _marked_up(spark, sf).withColumn("pos", pos).withColumn("html", F.when(F.col("pos") % 12 != 0, F.col("html")))
+    pages = Scratch(spark).write(pages)
+    pipeline.land_pages(spark, pages.where("pos % 3 = 0"), root, DAY, STAMP_TIME)
+    for _ in range(2):
+        pipeline.land_pages(spark, pages, root, DAY, STAMP_TIME, few=0)
+    landed = T.StructType([*BRONZE_ARTICLE.fields, T.StructField("slug", T.StringType())])
+    articles_back = spark.read.schema(landed).json(f"{root}/{layout.ARTICLES}").select(*landed.fieldNames(), F.lit("article").alias("kind"))
+    errors = spark.read.schema(ERROR_RECORD).json(f"{root}/{layout.ERRORS}")
+    values = {"article_url": F.col("url"), "topic": F.col("topic"), "ingested_at": F.col("failed_at"), "kind": F.lit("error")}
+    failed = errors.select(*[values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in articles_back.schema])
+    return articles_back.unionByName(failed)
+
+
 @register("extract_stamp", "SELECT count(*) AS pages, count(*) AS stamped, CAST(1 AS bigint) AS stamps FROM documents")
 def extract_stamp(spark: SparkSession, sf: str) -> DataFrame:
     """Without a stamp all articles of a job get the time of the job."""

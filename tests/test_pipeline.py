@@ -174,3 +174,32 @@ def test_a_model_that_is_down_fails_the_index(spark, folder):
     collector.index_by = "ingested"
     with pytest.raises(Exception, match="embedding failed: ValueError: down"):
         collector.index(DAY)
+
+
+def test_html_is_never_shuffled(spark, folder, monkeypatch):
+    """Whether few or many pages are chosen, no exchange below the parser carries HTML, and the same pages land."""
+    rows = [(f"http://x/{i % 50}", f"t{i % 3}", page(f"text {i} " * 40)) for i in range(200)]
+    pages(spark, *rows).write.parquet(folder + "/pages")
+    stored = spark.read.parquet(folder + "/pages")
+    landed = []
+    for few in (1000, 0):
+        root = f"{folder}/{few}"
+        assert pipeline.land_pages(spark, stored, root, DAY, STAMP, few=few) == {"pages": 150, "errors": 0}
+        assert pipeline.land_pages(spark, stored, root, DAY, STAMP, few=few) == {"pages": 0, "errors": 0}
+        back = spark.read.schema("article_url string, topic string, content_hash string").json(root + "/raw/articles")
+        landed.append(sorted(tuple(r)[:3] for r in back.collect()))
+        chosen = stored.select("pos").where("pos % 2 = 0")
+        todo, exact = pipeline._only(stored, chosen, "pos", few)
+        plan = todo._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+        assert not exchanges and "SortMergeJoin" not in plan and exact is (few > 0)
+        assert {r[0] for r in chosen.collect()} <= {r[0] for r in todo.select("pos").collect()}
+    assert landed[0] == landed[1]
+
+
+def test_filter_passes_all_keys_and_few_others(spark):
+    from lectern.operators.bloom import in_filter
+
+    keys = spark.range(0, 20_000, 2)
+    passed = {r[0] for r in spark.range(20_000).where(in_filter("id", keys, 1 << 14)).collect()}
+    assert set(range(0, 20_000, 2)) <= passed and len(passed) < 10_500

@@ -46,12 +46,50 @@ def data(rows, queries, dim, seed):
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "cosine"])
-@pytest.mark.parametrize("layout", ["scan", "grid"])
-def test_equals_brute_force(spark, metric, layout, monkeypatch):
+@pytest.mark.parametrize("layout", ["one block", "blocks"])
+def test_equals_brute_force(spark, metric, layout):
     base, asked = data(300, 12, 5, 1)
-    monkeypatch.setattr(search, "BLOCK_BYTES", 5 * 8 * 100)  # blocks of 100 rows
-    limit = 100 if layout == "scan" else 0
-    assert run(spark, base, asked, 4, metric, broadcast_queries=limit) == brute(base, asked, 4, metric)
+    size = None if layout == "one block" else 4 * (5 * 8 + 64)  # about 4 queries to a block
+    assert run(spark, base, asked, 4, metric, query_bytes=size) == brute(base, asked, 4, metric)
+
+
+def grouped(rows, queries, dim, seed):
+    """Vectors around a few centres, some equal, some zero; queries near them and elsewhere."""
+    rng = np.random.default_rng(seed)
+    centres = 10 * rng.normal(size=(9, dim))
+    base = [((f"c{i:05d}", "u"), (centres[i % 9] + 0.3 * rng.normal(size=dim)).tolist()) for i in range(rows)]
+    base += [((f"same{i}", "u"), centres[2].tolist()) for i in range(rows // 4)] + [((f"zero{i}", "u"), [0.0] * dim) for i in range(20)]
+    rng.shuffle(base)
+    asked = [(i, (centres[rng.integers(9)] + 0.3 * rng.normal(size=dim)).tolist()) for i in range(queries)]
+    return base, [*asked, (queries, [0.0] * dim), (queries + 1, (centres[0] + centres[1]).tolist()), (queries + 2, centres[2].tolist())]
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("small", [False, True])
+def test_groups_that_are_left_out_hold_no_neighbour(metric, small, monkeypatch):
+    base, asked = grouped(4000, 40, 6, 7)
+    if small:
+        monkeypatch.setattr(search, "PIVOTS", 4)
+    monkeypatch.setattr(search, "WORTH", 0.0)
+    vectors = np.array([v for _, v in base])
+    work = search.Search(np.array([q for _, q in asked]), vectors[:: 30], 4, metric, 9)
+    for at in range(0, len(base), 900):
+        work.add(vectors[at : at + 900], search.pd.DataFrame([key for key, _ in base[at : at + 900]], columns=["chunk_id", "url"]))
+    got = {}
+    for q, rows in work.best.groupby("__q"):
+        for rank, (_, r) in enumerate(rows.iterrows(), 1):
+            got[q, rank] = ((r["chunk_id"], r["url"]), round(r["distance"], 9) + 0.0)
+    assert got == brute(base, asked, 4, metric)
+    assert work.all_pairs == len(base) * len(asked) and (small or work.pairs < 0.4 * work.all_pairs)
+
+
+def test_share_of_pairs_is_reported(spark):
+    base, asked = grouped(6000, 30, 6, 3)
+    work = []
+    got = run(spark, base, asked[:30], 3, "euclidean", parts=2, work=work)
+    assert got == brute(base, asked[:30], 3, "euclidean")
+    done = work[0].groupBy().sum().first()
+    assert done["sum(all_pairs)"] == len(base) * 30 and 0 < done["sum(pairs)"] < 0.5 * done["sum(all_pairs)"]
 
 
 def test_many_copies_in_one_block(spark):
@@ -77,7 +115,7 @@ def test_no_base_row_is_shuffled_for_few_queries(spark, folder):
     spark.createDataFrame([("a", [0.0])], "chunk_id string, embedding array<double>").write.parquet(folder + "/g")
     q = spark.createDataFrame([(1, [0.0])], "question_id long, embedding array<double>")
     plan = nearest_neighbors(spark.read.parquet(folder + "/g"), q)._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("MapInArrow"):]
+    below = plan[plan.rindex("MapInArrow"):]
     assert "Exchange" not in below and "WindowGroupLimit" in plan and "Cartesian" not in plan
 
 
