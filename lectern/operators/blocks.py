@@ -8,41 +8,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.schemas import MANIFEST_URLS
-
-STRIDE = 1 << 16
-
+from lectern.scratch import Scratch
 
 def with_blocks(
-    df: DataFrame,
-    group: Sequence[str],
-    order: str,
-    size: int = MANIFEST_URLS,
-    stride: int = STRIDE,
+    df: DataFrame, group: Sequence[str], order: str, size: int = MANIFEST_URLS, parts: int | None = None
 ) -> DataFrame:
     """Add ``position`` (from 0, by ``order`` inside ``group``) and ``block_id = position // size``.
 
-    ``order`` is an integer, unique inside its group. A group may hold most of the rows, so no
-    window spans it: rows are numbered inside stretches of ``stride`` order values, at most
-    ``stride`` rows each, and every stretch starts at the row count of those before it. The counts
-    are combined before their shuffle; the rows move once, to where their stretch is numbered.
+    ``order`` may be dense, sparse or repeat; rows alike in it are put in order by a hash of the whole row. A group may hold
+    most of the rows, so nothing spans one: the rows move once, into ranges of group, order and hash, as many as the session
+    has shuffle partitions (or ``parts``), and are staged with their place in their range. What is summed up to number them is one row
+    for each group in each range.
     """
-    # One struct as the key: it is never null, also where a group column is, and the numbering and
-    # the join then agree on the same partitioning.
-    cut = (F.col(order) - F.pmod(F.col(order), F.lit(stride))).alias("cut")
-    rows = df.withColumn("__at", F.struct(*group, cut))
-    counts = rows.groupBy("__at").agg(F.count("*").alias("__n"))
-    before = (
-        Window.partitionBy(*[F.col(f"__at.{g}") for g in group])
-        .orderBy("__at.cut")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = counts.select("__at", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    local = F.row_number().over(Window.partitionBy("__at").orderBy(order)) - 1
-    position = F.col("__start") + F.col("__local")
-    return (
-        rows.withColumn("__local", local)
-        .join(starts, "__at")
-        .select(*df.columns, position.alias("position"), F.floor(position / F.lit(size)).alias("block_id"))
+    spark = df.sparkSession
+    # One struct as the key: it is never null, also where a group column is, and the sums and the join then agree on it.
+    key, by = F.struct(*group), ("__key", order, "__tie")
+    keyed = df.withColumns({"__key": key, "__tie": F.xxhash64(*df.columns)})
+    ranges = keyed.repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    # The number of the range in the upper bits, the row's place in it in the lower 33.
+    placed = Scratch(spark).write(ranges.withColumn("__place", F.monotonically_increasing_id()).drop("__tie"))
+    placed = placed.withColumn("__range", F.shiftright("__place", 33))
+    runs = placed.groupBy("__key", "__range").agg(F.min("__place").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("__key").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select("__key", "__range", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
+    position = F.col("__place") + F.col("__shift")
+    return placed.join(starts, ["__key", "__range"]).select(
+        *df.columns, position.alias("position"), F.floor(position / F.lit(size)).alias("block_id")
     )
 
 

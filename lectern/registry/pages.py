@@ -91,7 +91,7 @@ n AS (SELECT topic, url, row_number() OVER (PARTITION BY topic ORDER BY page_id)
     f"{_BLOCKS_SQL} SELECT topic, url, position, CAST(position // 20 AS bigint) AS block_id FROM n",
 )
 def url_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    return with_blocks(_links(spark, sf), ["topic"], "pos", size=20, stride=64).drop("pos")
+    return with_blocks(_links(spark, sf), ["topic"], "pos", size=20).drop("pos")
 
 
 @register(
