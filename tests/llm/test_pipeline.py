@@ -71,6 +71,6 @@ def test_stages_bear_odd_and_empty_tables(spark, odd, empty):
 def test_queries_are_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.SQL) <= set(entry.oracle_sql())
     assert jaccard.PERCENT == 80 and jaccard.SHINGLE == 5
