@@ -4,7 +4,9 @@ Equal sets are one class from the start. A T-occurrence search then runs over th
 shingles can only be similar to one with which it shares at least T = ceil(t n) of them, so all its lists but
 the T - 1 longest hold every partner; with a few more lists every partner shares a few. Those short lists are
 merged by value in buckets of the shingle space; the lists they give (two or more classes of sizes that fit) meet
-at their least class, the list's home, but for classes that are in too few lists to have a partner. In a home the sets of its members form an inverted
+at their least class, the list's home, but for classes that are in too few lists to have a partner. A class that shares
+at least s lists with every partner stays out of its most crowded homes as long as it leaves fewer than s lists by that:
+so a phrase that very many texts hold brings only those together that share little else. In a home the sets of its members form an inverted
 index, and DivideSkip runs for every member: short lists are merged and counted, candidates with enough
 occurrences are sought in the long lists by binary search, and those that reach the required overlap are links.
 
@@ -16,7 +18,8 @@ every two of which meet. So a group of near copies costs work in proportion to i
 block is ever cut.
 
 Sets are compared by 64-bit hashes of their shingles. Null and empty texts, and texts without words, have
-no shingles and link with nothing. Rows with the same doc_id are told apart by their text.
+no shingles and link with nothing. Rows with the same doc_id are told apart by their text. Texts of any length are
+read whole; an empty table gives no rows; other columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -45,8 +48,8 @@ COUNTER_SLICES = 32
 BUCKET_ENTRIES = 250_000
 #: Short lists that every partner shares: the more, the fewer classes look similar by chance, and the more entries.
 MORE_LISTS = 8
-#: Shingles of one set that may have the same 32-bit name in a bucket; more have it with a chance below 1e-20.
-SAME_NAME = 2
+#: Sizes compared at once when a list is asked how much its members must share.
+SHARE_CELLS = 1 << 20
 #: Members of a home or block that are searched together.
 HOME_MEMBERS = 1000
 #: A class with that many copies, and more than one in ``MANY_CLASSES`` of all documents, is broadcast.
@@ -74,6 +77,27 @@ def must_share(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return needed(a, b, percent) - (larger - prefix(larger, percent))
 
 
+def least_shared(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """For each member of a list, by its size, the short lists that it shares at least with any other that fits.
+
+    ``sizes`` is sorted. Members of one size ask for the same, so the work is by distinct sizes.
+    """
+    kinds, which, counts = np.unique(sizes, return_inverse=True, return_counts=True)
+    out = np.empty(len(kinds), np.int64)
+    low = np.searchsorted(kinds, (percent * kinds + 99) // 100)
+    high = np.searchsorted(kinds, 100 * kinds // percent, side="right")
+    at = 0
+    while at < len(kinds):
+        rows = max(1, SHARE_CELLS // int(high[at:].max() - low[at]))
+        to = min(at + rows, len(kinds))
+        n, m = kinds[at:to, None], kinds[None, low[at] : high[to - 1]]
+        share = must_share(n, m, percent)
+        unfit = (100 * np.minimum(n, m) < percent * np.maximum(n, m)) | ((n == m) & (counts[at:to, None] == 1))
+        out[at:to] = np.where(unfit, np.iinfo(np.int64).max, share).min(axis=1)
+        at = to
+    return out[which]
+
+
 def _set_id(tokens: np.ndarray) -> int:
     """Name of a set: a hash of its sorted elements, as a signed number."""
     if not len(tokens):
@@ -144,7 +168,10 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _short_lists(rarity, words: int, percent: int, buckets: int):
-    """Entries (shingle, class, size) of each class's short lists, packed by bucket."""
+    """Entries (shingle, class, size) of each class's short lists, packed by bucket.
+
+    A shingle has a 32-bit name in its bucket. A class of which two short lists go by one name is told by a negative size.
+    """
 
     def flush(entries: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         tokens, sets, sizes = (np.concatenate(c) for c in zip(*entries, strict=True))
@@ -172,7 +199,9 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
                     k = int(prefix(n, percent))
                     order = np.argsort(frequency[(tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
                     short = tokens[order[:k]]
-                    entries.append((short, np.full(k, name, np.int64), np.full(k, n, np.int32)))
+                    names = np.sort((short >> np.uint64(32) << np.uint64(32)) | short % np.uint64(buckets))
+                    alike = bool((names[1:] == names[:-1]).any())
+                    entries.append((short, np.full(k, name, np.int64), np.full(k, -n if alike else n, np.int32)))
                     held += k
                 if held > 1_000_000:
                     yield flush(entries)
@@ -186,8 +215,9 @@ def _short_lists(rarity, words: int, percent: int, buckets: int):
 def _homes(percent: int):
     """(home, member, least, lists) of lists that can hold a link.
 
-    ``least`` is the number of short lists that the member must share with some partner that is in the list;
-    ``lists`` counts the lists of that home where it is the same.
+    ``least`` is the number of short lists that the member shares at least with every partner that is in the list;
+    ``lists`` counts the lists of that home where it is the same. Of a class whose lists cannot be counted, as two go by
+    one name, ``least`` is 0.
     """
 
     def lists(tokens: np.ndarray, sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -196,8 +226,9 @@ def _homes(percent: int):
         tokens, sets, sizes = tokens[order], sets[order], sizes[order]
         fresh = np.r_[True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1])]
         tokens, sets, sizes = tokens[fresh], sets[fresh], sizes[fresh]
+        alike, sizes = sizes < 0, np.abs(sizes)
         order = np.lexsort((sizes, tokens))
-        tokens, sets, sizes = tokens[order], sets[order], sizes[order].astype(np.int64)
+        tokens, sets, sizes, alike = tokens[order], sets[order], sizes[order].astype(np.int64), alike[order]
         # A list falls apart where the next larger class is too large for all before it.
         new = np.r_[True, (tokens[1:] != tokens[:-1]) | (100 * sizes[:-1] < percent * sizes[1:])]
         heads = np.flatnonzero(new)
@@ -206,13 +237,10 @@ def _homes(percent: int):
         least = np.ones(len(tokens), np.int64)
         pairs = heads[lengths == 2]
         least[pairs] = least[pairs + 1] = must_share(sizes[pairs], sizes[pairs + 1], percent)
-        some = (lengths > 2) & (lengths <= 256)
+        some = lengths > 2
         for a, g in zip(heads[some].tolist(), lengths[some].tolist(), strict=True):
-            n = sizes[a : a + g]
-            share = must_share(n[:, None], n[None, :], percent)
-            share[100 * np.minimum.outer(n, n) < percent * np.maximum.outer(n, n)] = np.iinfo(np.int64).max
-            np.fill_diagonal(share, np.iinfo(np.int64).max)
-            least[a : a + g] = share.min(axis=1)
+            least[a : a + g] = least_shared(sizes[a : a + g], percent)
+        least[alike] = 0
         owner = (np.cumsum(new) - 1)[keep]
         sets, least = sets[keep], least[keep]
         if not len(sets):
@@ -412,11 +440,17 @@ def links(docs: DataFrame, profile: DataFrame, scratch: Scratch, words: int, per
     entries = docs.select("text").mapInArrow(_short_lists(frequency, words, percent, buckets), schema).repartition(max(parts, buckets // 4), "bucket")
     listed = entries.mapInArrow(_homes(percent), "home long, member long, least long, lists long")
     listed = scratch.write(listed.groupBy("home", "member", "least").agg(F.sum("lists").alias("lists")))
-    # A link that asks for t shared lists is seen in t lists that ask for no more. Two shingles may go by one name.
+    # A link that asks for t shared lists is seen in t lists that ask for no more.
     asked = listed.groupBy("member", "least").agg(F.sum("lists").alias("lists"))
     so_far = F.sum("lists").over(Window.partitionBy("member").orderBy("least"))
-    alive = asked.withColumn("seen", so_far).where(F.col("seen") + SAME_NAME >= F.col("least")).select("member").distinct()
-    homes = listed.join(alive, "member", "left_semi").select("home", "member").distinct()
+    alive = asked.withColumn("seen", so_far).where(F.col("seen") >= F.col("least")).select("member").distinct()
+    homes = listed.join(alive, "member", "left_semi").groupBy("home", "member").agg(F.sum("lists").alias("lists"), F.min("least").alias("least"))
+    homes = scratch.write(homes)
+    # The shared lists of a link are not all in homes that one of its classes leaves: it leaves too few lists for that.
+    crowd = homes.groupBy("home").agg(F.count("*").alias("n")).where("n > 1")
+    left_lists = F.sum("lists").over(Window.partitionBy("member").orderBy(F.desc("n"), "home"))
+    homes = homes.join(crowd, "home").withColumn("gone", left_lists).where(F.col("gone") >= F.col("least")).select("home", "member")
+    homes = scratch.write(homes)
     sized = homes.groupBy("home").agg(F.count("*").alias("n"), F.min("member").alias("own")).where("n > 1")
     rows = scratch.write(homes.join(sized, "home"))
 

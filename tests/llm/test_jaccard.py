@@ -3,6 +3,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 import compare
@@ -134,8 +136,6 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_word_hashes_tell_words():
-    import pyarrow as pa
-
     texts = ["The cat\tsat", None, "the  CAT sat\n", "", "é É", "x" * (words.PIECE_BYTES + 5) + " y", "the"]
     hashes, rows = words.hash_words(*words.utf8(pa.array(texts)))
     assert np.diff(rows).tolist() == [3, 0, 3, 0, 2, 2, 1]
@@ -148,3 +148,84 @@ def test_word_hashes_tell_words():
 def test_sql_sees_the_same_words():
     sql = "SELECT len(regexp_extract_all('a\tb c d', '[^\\x20\\x09-\\x0D]+'))"
     assert compare.connect("/root/testdata/sf0.001").execute(sql).fetchall() == [(3,)]
+
+
+def test_least_shared_equals_all_pairs(monkeypatch):
+    monkeypatch.setattr(jaccard, "SHARE_CELLS", 40)
+    rng = np.random.default_rng(8)
+    for n in (3, 40, 300):
+        sizes = np.sort(rng.integers(1, 60, n))
+        share = jaccard.must_share(sizes[:, None], sizes[None, :], 80)
+        share[100 * np.minimum.outer(sizes, sizes) < 80 * np.maximum.outer(sizes, sizes)] = np.iinfo(np.int64).max
+        np.fill_diagonal(share, np.iinfo(np.int64).max)
+        assert jaccard.least_shared(sizes, 80).tolist() == share.min(axis=1).tolist()
+
+
+def test_similar_sets_share_the_lists_they_must():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        base = rng.choice(500, rng.integers(1, 70), replace=False)
+        a, b = (np.unique(np.r_[rng.choice(base, rng.integers(len(base) * 9 // 10, len(base)) + 1), rng.integers(500, 520, rng.integers(0, 4))]) for _ in "ab")
+        if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+            short = [s[: jaccard.prefix(len(s), 80)] for s in (a, b)]
+            assert len(np.intersect1d(*short)) >= jaccard.must_share(np.int64(len(a)), np.int64(len(b)), 80) >= 1
+
+
+def phrase_corpus(count, groups):
+    """Short texts that share a phrase, a part of them near copies of the text before but for one word at the end."""
+    rng = random.Random(count)
+    rows = []
+    for i in range(count):
+        own = [f"u{i}", f"v{i}", f"x{i}"]
+        rows.append(" ".join(["please", "click", "here", "to", "read", *own[: rng.randrange(1, 4)]]))
+        if i % groups == 0:
+            long = [f"y{i}z{j}" for j in range(12)]
+            rows += [" ".join(["please", "click", "here", "to", "read", *long]), " ".join(["please", "click", "here", "to", "read", *long, "now"])]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_texts_that_share_a_phrase(spark):
+    rows = phrase_corpus(400, 10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.near_duplicates(docs, members=20).collect()), key=str) == plain(rows)
+
+
+@pytest.mark.parametrize("name_bits", [0, 6])
+def test_shingles_that_go_by_one_name(spark, monkeypatch, name_bits):
+    # Shingle hashes whose upper halves are few: lists run together and classes cannot count theirs.
+    rows = corpus(5, 15, 5)
+    sets = {}
+
+    def narrow(data, offsets, n=5):
+        out = []
+        for s in words.shingle_sets(data, offsets, n):
+            high = (s >> np.uint64(40)) % np.uint64(1 << name_bits)
+            out.append(np.unique((high << np.uint64(32)) | (s & np.uint64(0xFFFFFFC0))))
+        return out
+
+    entries = [narrow(*words.utf8(pa.array([t])))[0] for _, t in rows]
+    for i, s in enumerate(entries):
+        sets.setdefault(jaccard._set_id(s), (i, s))
+
+    class Rarity:
+        value = np.zeros(1 << jaccard.COUNTER_BITS, np.uint16)
+
+    monkeypatch.setattr(jaccard, "shingle_sets", narrow)
+    packed = list(jaccard._short_lists(Rarity, 5, 80, 64)(iter([pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})])))
+    listed = {}
+    for batch in packed:
+        for bucket in set(batch.column("bucket").to_pylist()):
+            part = batch.filter(pa.compute.equal(batch.column("bucket"), bucket))
+            for found in jaccard._homes(80)(iter([part])):
+                for home, member, least, lists in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                    listed.setdefault(member, []).append((least, lists, home))
+    names = list(sets)
+    for a, b in itertools.combinations(names, 2):
+        x, y = sets[a][1], sets[b][1]
+        if 100 * len(np.intersect1d(x, y)) < 80 * len(np.union1d(x, y)):
+            continue
+        for one in (a, b):
+            asked = sorted(listed[one])
+            assert any(sum(n for other, n, _ in asked if other <= least) >= least for least, _, _ in asked)
+        assert {h for _, _, h in listed[a]} & {h for _, _, h in listed[b]}
