@@ -8,10 +8,12 @@ is the start of the host or of one of its labels, ``^`` a character that is no l
 A word of letters and digits that stands whole in a pattern is one of its literal tokens: every URL that the
 pattern matches holds it as a token. Counting those tokens in the URLs tells the rarest of each pattern. Each
 distinct URL fetches, by an equality join on its tokens, the patterns filed under them, and only those run
-their regular expressions. Patterns without a token are run on every URL.
+their regular expressions. Patterns without a token are run on every URL, all in one pass. A list of patterns may
+come from a table (``read_patterns``).
 
 Null URLs and URLs without ``://`` have empty host and path and no rule; pattern rules still see their text.
-Repeated rows get the same verdict each; an empty table gives no rows.
+Repeated rows get the same verdict each; an empty table gives no rows. URLs of any length are read whole. Columns
+beside page_id and url are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ BLOCK, ALLOW = "block", "allow"
 
 #: Bytes of pattern text up to which the index goes to every task; a larger one meets the tokens in a shuffle.
 INDEX_BYTES = 8 << 20
+#: Bytes of a table of patterns, at most; it passes through the driver.
+RULE_BYTES = 64 << 20
 
 
 class HostRule(NamedTuple):
@@ -97,6 +101,23 @@ def tokens_of(pattern: str) -> list[str]:
     return sorted(set(out))
 
 
+def read_patterns(rules: DataFrame) -> tuple[Pattern, ...]:
+    """Patterns from a table of (verdict, pattern), sorted. Verdicts are ``block`` or ``allow``, in any case.
+
+    Null and blank patterns and comments, which begin with ``!``, are left out; repeated ones count once. Raises
+    ValueError for another verdict and for a table of more than ``RULE_BYTES``.
+    """
+    text = F.trim("pattern")
+    listed = rules.select(F.lower(F.trim("verdict")).alias("verdict"), text.alias("pattern")).where((F.length(text) > 0) & ~text.startswith("!"))
+    wrong = ~F.coalesce(F.col("verdict").isin(BLOCK, ALLOW), F.lit(False))
+    size, unknown = listed.agg(F.sum(F.octet_length("pattern")), F.count_if(wrong)).first()
+    if unknown:
+        raise ValueError(f"{unknown} patterns with a verdict other than {BLOCK} and {ALLOW}")
+    if (size or 0) > RULE_BYTES:
+        raise ValueError(f"{size} bytes of patterns, more than {RULE_BYTES}")
+    return tuple(sorted(Pattern(r.verdict, r.pattern) for r in listed.distinct().collect()))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     shape = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,7 +145,12 @@ def index_patterns(urls: DataFrame, patterns: tuple[Pattern, ...]) -> DataFrame:
     of = {p.text: tokens_of(p.text) for p in patterns}
     words = sorted({w for ws in of.values() for w in ws})
     listed = spark.createDataFrame([(w,) for w in words], "token string")
-    seen = urls.select(F.explode(_tokens(F.col("url"))).alias("token")).join(listed, "token", "left_semi").groupBy("token").count()
+    tokens = urls.select(F.explode(_tokens(F.col("url"))).alias("token"))
+    # Either way a token that most URLs hold leaves each task as one count.
+    if sum(map(len, words)) <= INDEX_BYTES:
+        seen = tokens.join(F.broadcast(listed), "token", "left_semi").groupBy("token").count()
+    else:
+        seen = tokens.groupBy("token").count().join(listed, "token", "left_semi")
     often = {r[0]: r[1] for r in seen.collect()}  # at most one row per token of the rules
     rows = [(min(of[p.text], key=lambda w: (often.get(w, 0), w)) if of[p.text] else None, p.verdict, p.text, regex(p.text)) for p in patterns]
     return spark.createDataFrame(rows, "token string, pattern_verdict string, pattern string, regex string")
@@ -142,10 +168,11 @@ def match_patterns(urls: DataFrame, patterns: tuple[Pattern, ...]) -> DataFrame:
         filed = F.broadcast(filed)
     by_token = distinct.withColumn("token", F.explode(_tokens(F.col("url")))).join(filed, "token").drop("token")
     found = by_token.where(F.rlike(F.lower("url"), F.col("regex"))).select("url", "pattern_verdict", "pattern")
-    for p in patterns:
-        if not tokens_of(p.text):
-            hit = distinct.where(F.lower("url").rlike(regex(p.text)))
-            found = found.unionByName(hit.select("url", F.lit(p.verdict).alias("pattern_verdict"), F.lit(p.text).alias("pattern")))
+    if bare := [p for p in patterns if not tokens_of(p.text)]:
+        named = lambda p: F.struct(F.lit(p.verdict).alias("pattern_verdict"), F.lit(p.text).alias("pattern"))
+        hits = F.array(*[F.when(F.lower("url").rlike(regex(p.text)), named(p)) for p in bare])
+        hit = distinct.select("url", F.explode(F.array_compact(hits)).alias("hit"))
+        found = found.unionByName(hit.select("url", "hit.pattern_verdict", "hit.pattern"))
     best = F.min(F.struct("pattern_verdict", "pattern")).alias("best")  # "allow" comes before "block"
     return found.groupBy("url").agg(best).select("url", "best.pattern_verdict", "best.pattern")
 

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 import compare
 from lectern.llm import urls
 from lectern.llm.queries import HOST_RULES
@@ -65,3 +67,36 @@ def test_a_large_index_meets_tokens_in_a_shuffle(spark, monkeypatch):
     small = sorted(map(str, urls.judge(pages, HOST_RULES).collect()))
     monkeypatch.setattr(urls, "INDEX_BYTES", 0)
     assert sorted(map(str, urls.judge(pages, HOST_RULES).collect())) == small
+
+
+def test_many_patterns_without_tokens_in_one_pass(spark):
+    urls_ = ["http://a.org/qqbad1", "http://a.org/xxgoodbad", "http://a.org/ok", "http://a.org/okworsex", None]
+    pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls_)], "page_id long, url string, host string, verdict string")
+    patterns = (urls.Pattern("block", "bad"), urls.Pattern("allow", "good"), urls.Pattern("block", "worse"), urls.Pattern("block", "*qqb*"))
+    found = {r.page_id: (r.verdict, r.pattern) for r in urls.judge(pages, (), patterns).collect()}
+    assert found == {0: ("block", "*qqb*"), 1: ("allow", "good"), 2: ("allow", None), 3: ("block", "worse"), 4: ("allow", None)}
+
+
+def test_tokens_are_counted_before_they_move(spark, monkeypatch):
+    pages = spark.createDataFrame([("https://www.a.com/ads/x",)] * 50 + [("https://b.com/",)], "url string").distinct()
+    patterns = (urls.Pattern("block", "/com/ads/"), urls.Pattern("block", "||www.ads."))
+    filed = {r.pattern: r.token for r in urls.index_patterns(pages, patterns).collect()}
+    assert filed == {"/com/ads/": "ads", "||www.ads.": "ads"}
+    monkeypatch.setattr(urls, "INDEX_BYTES", 0)
+    assert {r.pattern: r.token for r in urls.index_patterns(pages, patterns).collect()} == filed
+
+
+def test_patterns_come_from_a_table(spark, monkeypatch):
+    rows = [("Block", " ||ads. "), ("block", "||ads."), ("ALLOW", "/ok/"), ("block", ""), ("block", None), ("x", "! a comment")]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "verdict string, pattern string, url int")
+    patterns = urls.read_patterns(table)
+    assert patterns == (urls.Pattern("allow", "/ok/"), urls.Pattern("block", "||ads."))
+    pages = spark.createDataFrame([(1, "http://ads.x.org/"), (2, "http://ads.x.org/ok/")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.judge(pages, (), patterns).collect()} == {1: "block", 2: "allow"}
+    assert urls.read_patterns(table.where("false")) == ()
+    assert {r.verdict for r in urls.judge(pages, (), ()).collect()} == {"allow"}
+    with pytest.raises(ValueError, match="verdict"):
+        urls.read_patterns(spark.createDataFrame([(None, "a")], "verdict string, pattern string"))
+    monkeypatch.setattr(urls, "RULE_BYTES", 3)
+    with pytest.raises(ValueError, match="bytes"):
+        urls.read_patterns(table)
