@@ -14,6 +14,7 @@ about one machine instruction per 64 code bits and pair.
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Vectors of
 different dimensions do not link. Rows with the same vec_id and vector count as two. Classes are named by a
 64-bit hash of the vector.
+An empty table gives no rows. Columns beside vec_id and embedding are not read, whatever their names.
 """
 
 from __future__ import annotations

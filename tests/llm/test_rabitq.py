@@ -80,3 +80,10 @@ def test_bits_bound():
     tail = lambda k: sum(math.comb(bits, i) * p**i * (1 - p) ** (bits - i) for i in range(k + 1, bits + 1))
     most = rabitq.most_unequal(bits, 0.95)
     assert tail(most) <= rabitq.MISS < tail(most - 1)
+
+
+def test_other_columns_are_not_read(spark):
+    rows = [(i, [1.0, float(i // 2)], "x", 5, False) for i in range(4)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, name string, count int, kept boolean")
+    found = sorted(tuple(r) for r in rabitq.near_duplicates(vectors).collect())
+    assert found == [(0, 1, 0, True), (1, 1, 0, False), (2, 1, 2, True), (3, 1, 2, False)]
