@@ -42,6 +42,42 @@ def test_equals_comparing_all(spark, block_rows):
     assert sorted(tuple(r) for r in found.collect()) == plain(vectors)
 
 
+def test_blocks_that_pivots_hold_apart_do_not_meet(spark, monkeypatch):
+    vectors = near_vectors(2, 12, 40)[: 12 * 40]
+    kept = []
+    meetings = rabitq._meetings
+    monkeypatch.setattr(rabitq, "_meetings", lambda blocks, t: kept.append(meetings(blocks, t)) or kept[-1])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    found = rabitq.near_duplicates(spark.createDataFrame(rows, SCHEMA), block_rows=20)
+    assert sorted(tuple(r) for r in found.collect()) == plain(vectors)
+    assert sum(len(others) for _, _, others in kept[0]) < len(kept[0]) ** 2 / 2
+
+
+def test_angles_hold_no_link_apart():
+    vectors = near_vectors(4, 6, 50).astype(np.float64)
+    seen = rabitq.angles(vectors, vectors[::7])
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    for row, cosine in zip(seen, unit @ unit.T, strict=True):
+        assert not (rabitq.apart(row, row, seen, seen, 0.95) & (cosine >= 0.95)).any()
+
+
+def test_layout_shares_and_splits():
+    plan = rabitq.layout([(4, 0, 10), (4, 1, 95), (4, 2, 25), (4, 3, 8), (4, 4, 30), (7, 0, 1)], 30)
+    assert plan == [(4, 0, 0, 1), (4, 1, 1, 4), (4, 2, 5, 1), (4, 3, 6, 1), (4, 4, 7, 1), (7, 0, 0, 1)]
+
+
+def test_screen_equals_comparing_all_codes():
+    rng = np.random.default_rng(5)
+    a, b = (rabitq.encode(x)[1] for x in np.split(rng.permutation(near_vectors(3, 40, 35)[: 40 * 35]).astype(np.float64), 2))
+    most = rabitq.most_unequal(128, 0.95)
+    full = lambda x, y: np.array([[sum(int(p ^ q).bit_count() for p, q in zip(r, s, strict=True)) for s in y] for r in x]) <= most
+    near = full(a, b)
+    rows, others = rabitq.screen(a, b, 0.95, False)
+    assert rows.tolist() == np.flatnonzero(near.any(axis=1)).tolist() and others.tolist() == np.flatnonzero(near.any(axis=0)).tolist()
+    near = full(a, a) & ~np.eye(len(a), dtype=bool)
+    assert rabitq.screen(a, a, 0.95, True)[0].tolist() == np.flatnonzero(near.any(axis=1)).tolist()
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [
