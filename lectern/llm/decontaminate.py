@@ -3,20 +3,25 @@
 Words are runs of letters, digits and non-ASCII characters, in lower case. A passage is aligned with the item by
 Smith-Waterman, and the score as a share of a perfect copy's decides. Of an item of more than ``LONG_ITEM`` words an excerpt
 is enough that scores as much as an item of ``LONG_ITEM`` words needs: at a threshold of a half, 25 words in
-a row, or more words with edits (50 with every third replaced). Its score is still a share of the whole item. What is aligned is chosen so that no passage is
+a row, or more words with edits (50 with every third replaced). Its score is still a share of the whole item. An item of fewer
+than ``SHORT_ITEM`` words needs as much as one of that many: 5 words in a row, or all of it where it has no more.
+Items of fewer than ``LEAST_ITEM`` words match nothing, as common words would. What is aligned is chosen so that no passage is
 missed: a seed is two words of the item that are neighbours or one word apart, found in a document as neighbours or one
 word apart. An alignment with M matches and a score of S has at most 2 M - S errors between its matches, so at
 most half as many of the M - 1 steps from match to match hold two errors, and at least S / 2 - 1 steps are seeds
 at different words of the item. An item's d most common seeds need not be looked up if a passage must
 hold d fewer; word counts of the corpus choose d for the least work, and decide nothing else. Where a document holds enough
-seeds of an item within the length that a passage may have, the alignment is made. Of an item of two words both must be there.
+seeds of an item within the length that a passage may have, the alignment is made. The best passage of a document and item is
+found first, then the best ones to its left and right, until none is left: passages of one item do not overlap.
 
 The benchmark goes to all tasks in blocks of at most ``BLOCK_BYTES`` of text; a larger one takes one pass per
 block. Documents are never shuffled. A passage that a third of the documents hold costs one alignment
 for each of them, and a perfect copy none.
 
 Null and empty documents hold no passage; null, empty and wordless items match nothing. Repeated documents
-are found each; equal items are found under each of their ids. Of equally good passages the first is named.
+are found each; equal items are found under each of their ids. Other columns are not read by ``contaminated`` and pass through
+``without_contaminated``, whatever their names. Without documents or items there are no passages. A long text is worked
+on whole; its cost is linear in its words but for the alignments.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ from lectern.llm.words import PUNCTUATION, find_words, hash_slices, pieces, utf8
 
 THRESHOLD = 0.5
 LONG_ITEM = 50
+SHORT_ITEM = 10
+LEAST_ITEM = 3
 BLOCK_BYTES = 32 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -71,8 +78,8 @@ def pairs(words: np.ndarray, gap: int) -> np.ndarray:
 
 
 def needed(m: int, threshold: float) -> int:
-    """Least alignment score of a passage of an item of ``m`` words; a long item needs no more than one of ``LONG_ITEM``."""
-    return max(math.ceil(threshold * MATCH * min(m, LONG_ITEM) - 1e-9), 1)
+    """Least alignment score of a passage of an item of ``m`` words: that of one of ``SHORT_ITEM`` to ``LONG_ITEM`` words, or of a whole copy."""
+    return min(max(math.ceil(threshold * MATCH * min(max(m, SHORT_ITEM), LONG_ITEM) - 1e-9), 1), MATCH * m)
 
 
 class Seeds:
@@ -84,18 +91,12 @@ class Seeds:
         self.least = np.zeros(len(items.words), np.int64)
         self.reach = np.zeros(len(items.words), np.int64)
         self.need = np.zeros(len(items.words), np.int64)
-        single, owner = [], []
         for k, words in enumerate(items.words):
             m = len(words)
-            if not m:
+            if m < LEAST_ITEM:
                 continue
             need = self.need[k] = needed(m, threshold)
             self.reach[k] = max(3 * m - need, m) + 2
-            if m == 1:
-                self.least[k] = 1
-                single.append(words)
-                owner.append(k)
-                continue
             rates = share[np.searchsorted(items.vocabulary, words)]
             rate = 2 * rates[:-1] * (rates[1:] + np.r_[rates[2:], 0.0])
             order = np.argsort(rate, kind="stable")
@@ -104,7 +105,6 @@ class Seeds:
             own = np.concatenate([pairs(words, 1)[first], pairs(words, 2)[first[first < m - 2]]])
             keys.append(np.unique(own))
             where.append(np.full(len(keys[-1]), k, np.int64))
-        self.singles = self._table(single, [np.array([k], np.int64) for k in owner])
         self.pairs = self._table(keys, where)
 
     @staticmethod
@@ -120,10 +120,9 @@ class Seeds:
     def hits(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """(row, item, place in ``words``), in order, of every seed that lies within one row; each place counts once."""
         out = []
-        for gap, (keys, where, some) in ((0, self.singles), (1, self.pairs), (2, self.pairs)):
-            if not len(keys):
-                continue
-            grams = pairs(words, gap) if gap else words
+        keys, where, some = self.pairs
+        for gap in (1, 2) if len(keys) else ():
+            grams = pairs(words, gap)
             at = np.flatnonzero(some[(grams & np.uint64(len(some) - 1)).astype(np.int64)])
             low = np.searchsorted(keys, grams[at], side="left")
             high = np.searchsorted(keys, grams[at], side="right")
@@ -202,7 +201,7 @@ def _copy(item: np.ndarray, words: np.ndarray) -> int:
 
 
 def passages(items: Items, seeds: Seeds, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
-    """(row, item, score, first word, end word) of the best passage of each row and item that reach the threshold."""
+    """(row, item, score, first word, end word) of the passages that reach the threshold; those of one row and item do not overlap."""
     hits = seeds.hits(words, rows)
     if not len(hits):
         return
@@ -216,17 +215,22 @@ def passages(items: Items, seeds: Seeds, words: np.ndarray, rows: np.ndarray) ->
     for a, b in zip(heads[open_].tolist(), ends[open_].tolist(), strict=True):
         row, k = int(hits[a, 0]), int(hits[a, 1])
         item = items.words[k]
-        m, best = len(item), None
-        for low, high in _stretches(hits[a:b, 2], int(seeds.least[k]), int(seeds.reach[k]), int(rows[row]), int(rows[row + 1])):
-            at = _copy(item, words[low:high])
-            if at >= 0:
-                best = MATCH * m, low + at, low + at + m
-                break
-            score, start, end = locate(item, words[low:high])
-            if score >= seeds.need[k] and (best is None or score > best[0]):
-                best = score, low + start, low + end
-        if best:
-            yield row, k, best[0] / (MATCH * m), best[1], best[2]
+        for score, start, end in _every(item, words, hits[a:b, 2], int(seeds.least[k]), int(seeds.reach[k]), int(seeds.need[k]), int(rows[row]), int(rows[row + 1])):
+            yield row, k, score / (MATCH * len(item)), start, end
+
+
+def _every(item: np.ndarray, words: np.ndarray, places: np.ndarray, least: int, reach: int, need: int, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+    """Score, start and end of the best passage from ``low`` to ``high``, and of the best ones on both sides of it, and so on."""
+    parts = [(low, high)]
+    while parts:
+        low, high = parts.pop()
+        inside = places[np.searchsorted(places, low) : np.searchsorted(places, high)]
+        for a, b in _stretches(inside, least, reach, low, high):
+            at = _copy(item, words[a:b])
+            score, start, end = (MATCH * len(item), at, at + len(item)) if at >= 0 else locate(item, words[a:b])
+            if score >= need:
+                yield score, a + start, a + end
+                parts += [(a, a + start), (a + end, b)]
 
 
 def _count(vocabulary):
@@ -295,8 +299,8 @@ def _shared(rows: DataFrame, benchmark: DataFrame, threshold: float, block_bytes
         vocabulary = context.broadcast(items.vocabulary)
         counted = rows.mapInArrow(_count(vocabulary), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
         counts = np.zeros(len(items.vocabulary) + 1, np.int64)
-        for r in counted.collect():  # as many rows as the block has words
-            counts[r.word] = r.n
+        found = counted.toArrow()  # as many rows as the block has words, 16 bytes each
+        counts[found.column("word").to_numpy()] = found.column("n").to_numpy()
         yield context.broadcast(items), context.broadcast(Seeds(items, counts[:-1], int(counts[-1]), threshold))
 
 
