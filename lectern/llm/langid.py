@@ -3,8 +3,9 @@
 A text is cut into windows of bytes. In each window one gated recurrent layer reads forwards and one backwards;
 both states of a byte give its label probabilities, and the mean over all bytes of a document is the document's.
 Every byte of every text is labelled. The network is trained here, in numpy, by backpropagation through time on
-a sample of labelled documents that is bounded per language (``DOCS_PER_LANGUAGE`` documents, chosen by a hash of
-doc_id, ``SAMPLE_CHARS`` code points of each from a place given by the hash).
+a bounded sample of windows of labelled documents: ``DOCS_PER_LANGUAGE`` documents of each language, chosen by a hash of
+doc_id, are cut into windows from end to end, and each gives one window after the other, in an order given by the hash, until there are
+``WINDOWS_PER_LANGUAGE``. Any byte of their texts may be in the sample.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything when nothing can be learned.
 Repeated rows get the same answer each; an empty table gives no rows.
@@ -27,7 +28,7 @@ UNKNOWN = "und"
 WINDOW = 128
 HIDDEN = 8
 DOCS_PER_LANGUAGE = 300
-SAMPLE_CHARS = 360
+WINDOWS_PER_LANGUAGE = 900
 STEPS = 140
 BATCH = 192
 RATE = 0.03
@@ -187,19 +188,44 @@ def pooled(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return total / np.maximum(np.diff(offsets), 1)[:, None]
 
 
-def learn(labelled: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network | None:
+def _draw(limit: int):
+    """Windows of each text in an order given by its chance, with the turn of each: the first ``limit``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                data, offsets = utf8(part.column("text"))
+                for i, chance in enumerate(part.column("chance").to_pylist()):
+                    text = data[offsets[i] : offsets[i + 1]]
+                    many = -(-len(text) // WINDOW)
+                    order = np.random.default_rng(chance & 0xFFFFFFFFFFFFFFFF).permutation(many)[:limit].tolist()
+                    drawn = [text[k * WINDOW : (k + 1) * WINDOW].tobytes() for k in order]
+                    columns = [
+                        pa.array([part.column("lang")[i].as_py()] * len(drawn), pa.string()),
+                        pa.array(range(len(drawn)), pa.int32()),
+                        pa.array([chance] * len(drawn), pa.int64()),
+                        pa.array(drawn, pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "turn", "chance", "bytes"])
+
+    return work
+
+
+def learn(labelled: DataFrame, per_language: int = DOCS_PER_LANGUAGE, windows: int = WINDOWS_PER_LANGUAGE) -> Network | None:
     """A network trained on a bounded sample of (doc_id, text, lang); None when there is nothing to learn from."""
     chance = F.xxhash64("doc_id", F.lit("sample"))
-    length = F.length("text")
-    at = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.lit(1), length - SAMPLE_CHARS + 1)) + 1
-    rows = labelled.where("lang is not null and text is not null").select("lang", "doc_id", chance.alias("chance"), F.substring("text", at.cast("int"), SAMPLE_CHARS).alias("part"))
-    sample = first_per_key(rows, "lang", ["chance", "doc_id", "part"], per_language).collect()
-    sample = sorted((r for r in sample if r.part), key=lambda r: (r.lang, r.chance, r.part))
+    rows = labelled.where("lang is not null and text <> ''").select("lang", chance.alias("chance"), "doc_id", "text")
+    first = first_per_key(rows.select("lang", "chance", "doc_id"), "lang", ["chance", "doc_id"], per_language)
+    last = first.groupBy("lang").agg(F.max(F.struct("chance", "doc_id")).alias("last"))  # a row for each output of the network
+    taken = rows.join(F.broadcast(last), "lang").where(F.struct("chance", "doc_id") <= F.col("last")).select("lang", "chance", "text")
+    drawn = taken.mapInArrow(_draw(windows), "lang string, turn int, chance long, bytes binary")
+    sample = first_per_key(drawn, "lang", ["turn", "chance", "bytes"], windows).collect()
+    sample.sort(key=lambda r: (r.lang, r.turn, r.chance, r.bytes))
     if not sample:
         return None
     labels = sorted({r.lang for r in sample})
-    data, offsets = utf8(pa.array([r.part for r in sample], pa.string()))
-    codes, owner = windows_of(data, offsets)
+    offsets = np.cumsum([0, *(len(r.bytes) for r in sample)])
+    codes, owner = windows_of(np.frombuffer(b"".join(r.bytes for r in sample), np.uint8), offsets)
     index = {name: i for i, name in enumerate(labels)}
     network = Network(labels)
     network.train(codes, np.array([index[r.lang] for r in sample])[owner])

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lectern.llm import langid
@@ -42,6 +43,23 @@ def test_held_out_accuracy(found):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_windows_are_drawn_from_whole_texts(spark):
+    """Windows of a long text come from all of it, and it does not keep other documents out."""
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "b"], "chance": pa.array([-5, 9], pa.int64()), "text": ["é" * 64_000, "short"]})
+    drawn = [r for b in langid._draw(10_000)(iter([batch])) for r in b.to_pylist()]
+    assert b"".join(r["bytes"] for r in drawn if r["lang"] == "a") == "é".encode() * 64_000
+    assert [r["turn"] for r in drawn if r["lang"] == "a"] == list(range(1000))
+    assert [r["bytes"] for r in drawn if r["lang"] == "b"] == [b"short"]
+    assert len([r for b in langid._draw(7)(iter([batch])) for r in b.to_pylist()]) == 8
+
+
+def test_marks_at_the_end_of_long_texts_teach(spark):
+    rows = [(i, "0123456789 " * 40 + ("xyxy " * 200 if i % 2 else "abba " * 200), "x" if i % 2 else "a") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    told = langid.predict(docs, langid.learn(docs)).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in told)
+
+
 def test_only_the_text_is_read(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     network = langid.learn(docs.select("doc_id", "text", "lang"))
