@@ -2,10 +2,11 @@
 
 A text is cut into windows of bytes. In each window one gated recurrent layer reads forwards and one backwards;
 both states of a byte give its label probabilities, and the mean over all bytes of a document is the document's.
-Every byte of every text is labelled. The network is trained here, in numpy, by backpropagation through time on
-a bounded sample of windows of labelled documents: ``DOCS_PER_LANGUAGE`` documents of each language, chosen by a hash of
-doc_id, are cut into windows from end to end, and each gives one window after the other, in an order given by the hash, until there are
-``WINDOWS_PER_LANGUAGE``. Any byte of their texts may be in the sample.
+Every byte of every text is labelled. The network is trained by backpropagation through time on every window of every labelled
+document, languages weighing the same: a first lesson (windows of documents chosen by a hash of doc_id, about ``LESSON``, in one
+task) brings it off its random start, then all windows are dealt to slices by a hash, each slice teaches a copy of the network in
+a task of its own, window by window, and the copies are averaged by the windows that they saw. When the first lesson
+holds all windows, it is the only one.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything when nothing can be learned.
 Repeated rows get the same answer each; an empty table gives no rows.
@@ -13,7 +14,8 @@ Repeated rows get the same answer each; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import copy
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,36 +23,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.sampling import first_per_key
 from lectern.llm.words import pieces, utf8
 
 UNKNOWN = "und"
 WINDOW = 128
 HIDDEN = 8
-DOCS_PER_LANGUAGE = 300
-WINDOWS_PER_LANGUAGE = 900
-STEPS = 140
-BATCH = 192
-RATE = 0.03
+#: Windows of the first lesson, about; of one document at most ``LESSON // LESSON_DOCS``.
+LESSON, LESSON_DOCS = 27_000, 32
+STEPS, BATCH, RATE = 140, 192, 0.03
+#: Each slice teaches at least ``SLICE`` windows, ``SLICE_BATCH`` at a time; there are no more than ``SLICES``.
+SLICE, SLICES, SLICE_BATCH, SLICE_RATE = 16_384, 256, 1024, 0.002
 #: Windows that run side by side: their state stays in the processor's cache.
 SIDE_BY_SIDE = 1024
 PAD = 256
+#: Steps whose gradients are summed by byte at once.
+TOGETHER = 16
+
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place. A large negative number makes the exponential infinite and the result 0, as it should be."""
-    np.negative(x, out=x)
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 class Layer:
-    """A gated recurrent layer: update gate z, reset gate r, candidate c; h = (1 - z) h + z c."""
+    """A gated recurrent layer: update gate z, reset gate r, candidate c; h = (1 - z) h + z c.
+
+    Gates are (1 + x / (1 + |x|)) / 2 and c is x / (1 + |x|), which cost a fraction of exponentials. Rows lie side by side in
+    memory: arrays are (units, rows), one for each step.
+    """
 
     def __init__(self, hidden: int, rng: np.random.Generator):
         self.hidden = hidden
@@ -58,47 +57,85 @@ class Layer:
         self.table[:, :hidden] -= 1.0  # begin by remembering
         self.inner = (rng.standard_normal((hidden, 3 * hidden)) / np.sqrt(hidden)).astype(np.float32)
 
-    def run(self, steps: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
-        """States after each step for byte codes of shape (time, rows); padding leaves the state at zero."""
+    def run(self, steps: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """States after each step for byte codes of shape (time, rows); padding leaves the state at zero.
+
+        With ``keep`` also z, r, c and the inner part of c at each step.
+        """
         n, k = steps.shape[1], self.hidden
-        h = np.zeros((n, k), np.float32)
-        states = np.empty((len(steps), n, k), np.float32)
-        saved = []
+        table, inner = np.ascontiguousarray(self.table.T), np.ascontiguousarray(self.inner.T)
+        h = np.zeros((k, n), np.float32)
+        states = np.empty((len(steps), k, n), np.float32)
+        saved = np.empty((len(steps), 4 * k, n), np.float32) if keep else None
+        x, u, scale = (np.empty((3 * k, n), np.float32) for _ in range(3))
+        gates, z, r, c = x[: 2 * k], x[:k], x[k : 2 * k], u[2 * k :]
         padded = (steps == PAD).any(axis=1)
         for t, codes in enumerate(steps):
-            x = self.table[codes]
-            u = h @ self.inner
-            gates = _sigmoid(x[:, : 2 * k] + u[:, : 2 * k])
-            z, r = gates[:, :k], gates[:, k:]
-            c = np.tanh(x[:, 2 * k :] + r * u[:, 2 * k :])
+            np.take(table, codes, axis=1, out=x, mode="clip")
+            np.matmul(inner, h, out=u)
+            gates += u[: 2 * k]
+            np.abs(gates, out=scale[: 2 * k])
+            scale[: 2 * k] += 1
+            gates /= scale[: 2 * k]
+            gates *= 0.5
+            gates += 0.5
+            if keep:
+                saved[t, 3 * k :] = c
+            c *= r
+            c += x[2 * k :]
+            np.abs(c, out=scale[2 * k :])
+            scale[2 * k :] += 1
+            c /= scale[2 * k :]
             if keep:
-                saved.append((h, z, r, c, u[:, 2 * k :]))
-            h = h + z * (c - h)
+                saved[t, : 2 * k] = gates
+                saved[t, 2 * k : 3 * k] = c
+            after = states[t]
+            np.subtract(c, h, out=after)
+            after *= z
+            after += h
             if padded[t]:
-                h[codes == PAD] = 0
-            states[t] = h
+                after[:, codes == PAD] = 0
+            h = after
         return states, saved
 
-    def back(self, steps: np.ndarray, saved: list, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def back(self, steps: np.ndarray, states: np.ndarray, saved: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of the table and the inner weights from the gradients of the states."""
-        k = self.hidden
-        table, inner = np.zeros_like(self.table), np.zeros_like(self.inner)
-        carried = np.zeros_like(grad[0])
+        k, n = self.hidden, steps.shape[1]
+        inner = np.zeros_like(self.inner)
+        d, table = np.empty((TOGETHER, 3 * k, n), np.float32), np.zeros((3 * k, 257))
+        carried, start = np.zeros((k, n), np.float32), np.zeros((k, n), np.float32)
+        padded = (steps == PAD).any(axis=1)
         for t in range(len(steps) - 1, -1, -1):
-            codes = steps[t]
-            h, z, r, c, u = saved[t]
-            g = grad[t] + carried
-            g[codes == PAD] = 0
-            d = np.empty((len(codes), 3 * k), np.float32)
-            da = g * z * (1 - c * c)
-            d[:, :k] = g * (c - h) * z * (1 - z)
-            d[:, k : 2 * k] = da * u * r * (1 - r)
-            d[:, 2 * k :] = da
-            np.add.at(table, codes, d)
-            d[:, 2 * k :] *= r
-            inner += h.T @ d
-            carried = g * (1 - z) + d @ self.inner.T
-        return table, inner
+            z, r, c, u = saved[t].reshape(4, k, n)
+            h = states[t - 1] if t else start
+            g = carried
+            g += grad[t]
+            if padded[t]:
+                g[:, steps[t] == PAD] = 0
+            gz = g * z
+            da, own = np.abs(c), d[t % TOGETHER]
+            np.subtract(1, da, out=da)
+            da *= da
+            da *= gz
+            slopes = np.subtract(1, saved[t, : 2 * k])
+            np.minimum(slopes, saved[t, : 2 * k], out=slopes)
+            slopes *= slopes
+            slopes *= 2
+            np.subtract(c, h, out=own[:k])
+            own[:k] *= g
+            np.multiply(da, u, out=own[k : 2 * k])
+            own[: 2 * k] *= slopes
+            np.multiply(da, r, out=own[2 * k :])
+            inner += h @ own.T
+            carried = self.inner @ own
+            carried += g
+            carried -= gz
+            own[2 * k :] = da
+            if t % TOGETHER == 0:
+                codes = steps[t : t + TOGETHER].reshape(-1)
+                for j in range(3 * k):
+                    table[j] += np.bincount(codes, d[: min(TOGETHER, len(steps) - t), j].reshape(-1), 257)
+        return table.T.astype(np.float32), inner
 
 
 class Network:
@@ -109,56 +146,73 @@ class Network:
         self.out = (rng.standard_normal((2 * hidden, len(labels))) * 0.3).astype(np.float32)
         self.bias = np.zeros(len(labels), np.float32)
 
+    def _told(self, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
+        """Of each label at each byte from the states of both layers: (time, labels, rows)."""
+        k = self.forward.hidden
+        x = np.matmul(np.ascontiguousarray(self.out[:k].T), ahead)
+        x += np.matmul(np.ascontiguousarray(self.out[k:].T), behind)
+        x += self.bias[:, None]
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        x /= x.sum(axis=1, keepdims=True)
+        return x
+
     def probabilities(self, steps: np.ndarray) -> np.ndarray:
-        """Of each label at each byte: (time, rows, labels)."""
-        states = np.concatenate([self.forward.run(steps)[0], self.backward.run(steps[::-1])[0][::-1]], axis=2)
-        return _softmax(states @ self.out + self.bias)
+        """Of each label at each byte: (time, labels, rows)."""
+        return self._told(self.forward.run(steps)[0], self.backward.run(steps[::-1])[0][::-1])
 
-    def gradients(self, steps: np.ndarray, labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Mean loss of the bytes that are no padding, and the gradient of each parameter."""
+    def gradients(self, steps: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, list[np.ndarray]]:
+        """Mean loss of the bytes that are no padding, and the gradient of each parameter. ``weights`` are of rows."""
         ahead, saved = self.forward.run(steps, keep=True)
         behind, saved_back = self.backward.run(steps[::-1], keep=True)
-        states = np.concatenate([ahead, behind[::-1]], axis=2)
-        p = _softmax(states @ self.out + self.bias)
-        real = (steps != PAD)[:, :, None]
-        count = max(int(real.sum()), 1)
-        picked = p[:, np.arange(len(labels)), labels]
-        loss = float(-(np.log(picked + 1e-9) * real[:, :, 0]).sum() / count)
-        d = p.copy()
-        d[:, np.arange(len(labels)), labels] -= 1
-        d *= real / np.float32(count)
-        back = d @ self.out.T
+        p = self._told(ahead, behind[::-1])
+        real = (steps != PAD).astype(np.float32)
+        real /= max(float(real.sum()), 1.0)
+        if weights is not None:
+            real *= weights.astype(np.float32)
+        rows = np.arange(len(labels))
+        loss = float(-(np.log(p[:, labels, rows] + 1e-9) * real).sum())
+        p[:, labels, rows] -= 1
+        p *= real[:, None, :]
         k = self.forward.hidden
-        t1, i1 = self.forward.back(steps, saved, back[:, :, :k])
-        t2, i2 = self.backward.back(steps[::-1], saved_back, back[::-1, :, k:])
-        flat = states.reshape(-1, 2 * k)
-        return loss, [t1, i1, t2, i2, flat.T @ d.reshape(-1, d.shape[2]), d.sum(axis=(0, 1))]
+        t1, i1 = self.forward.back(steps, ahead, saved, np.matmul(self.out[:k], p))
+        t2, i2 = self.backward.back(steps[::-1], behind, saved_back, np.matmul(self.out[k:], p)[::-1])
+        turned = p.transpose(0, 2, 1)
+        out = np.concatenate([np.matmul(ahead, turned).sum(axis=0), np.matmul(behind[::-1], turned).sum(axis=0)])
+        return loss, [t1, i1, t2, i2, out, p.sum(axis=(0, 2))]
 
     def parameters(self) -> list[np.ndarray]:
         return [self.forward.table, self.forward.inner, self.backward.table, self.backward.inner, self.out, self.bias]
 
-    def train(self, windows: np.ndarray, labels: np.ndarray, steps: int = STEPS, rate: float = RATE, seed: int = 11) -> None:
-        """Adam on random batches. ``windows`` are rows of byte codes."""
-        rng = np.random.default_rng(seed)
-        first = [np.zeros_like(p) for p in self.parameters()]
-        second = [np.zeros_like(p) for p in self.parameters()]
-        for step in range(1, steps + 1):
-            pick = rng.integers(0, len(windows), min(BATCH, len(windows)))
-            _, grads = self.gradients(np.ascontiguousarray(windows[pick].T), labels[pick])
-            norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads)))
-            pace = rate * (1 - 0.9 * step / steps)
-            for p, g, m, v in zip(self.parameters(), grads, first, second, strict=True):
-                g = g * min(1.0, 1.0 / (norm + 1e-9))
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                p -= (pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
+    def flat(self) -> np.ndarray:
+        return np.concatenate([p.reshape(-1) for p in self.parameters()])
+
+    def put(self, flat: np.ndarray) -> None:
+        at = 0
+        for p in self.parameters():
+            p[...] = flat[at : at + p.size].reshape(p.shape)
+            at += p.size
+
+
+class Lessons:
+    """Adam on one copy of a network, a batch of windows after the other."""
+
+    def __init__(self, network: Network, weights: np.ndarray):
+        self.network, self.weights = copy.deepcopy(network), weights
+        self.first = [np.zeros_like(p) for p in network.parameters()]
+        self.second = [np.zeros_like(p) for p in network.parameters()]
+        self.steps = self.seen = 0
+
+    def teach(self, windows: np.ndarray, labels: np.ndarray, pace: float) -> None:
+        """``windows`` are rows of byte codes."""
+        self.steps += 1
+        _, grads = self.network.gradients(np.ascontiguousarray(windows.T), labels, self.weights[labels])
+        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads)))
+        for p, g, m, v in zip(self.network.parameters(), grads, self.first, self.second, strict=True):
+            g = g * min(1.0, 1.0 / (norm + 1e-9))
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= (pace * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-7)).astype(np.float32)
 
 
 def windows_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -183,52 +237,127 @@ def pooled(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
         steps = np.ascontiguousarray(codes[a : a + SIDE_BY_SIDE].T)
         p = network.probabilities(steps)
         if (steps == PAD).any():
-            p *= (steps != PAD)[:, :, None]
-        np.add.at(total, owner[a : a + SIDE_BY_SIDE], p.sum(axis=0))
+            p *= (steps != PAD)[:, None, :]
+        np.add.at(total, owner[a : a + SIDE_BY_SIDE], p.sum(axis=0).T)
     return total / np.maximum(np.diff(offsets), 1)[:, None]
 
 
-def _draw(limit: int):
-    """Windows of each text in an order given by its chance, with the turn of each: the first ``limit``."""
+def _draw(limit: int | None = None):
+    """Windows of each text in an order given by its chance, with the turn of each: all, or the first ``limit``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 data, offsets = utf8(part.column("text"))
-                for i, chance in enumerate(part.column("chance").to_pylist()):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    many = -(-len(text) // WINDOW)
-                    order = np.random.default_rng(chance & 0xFFFFFFFFFFFFFFFF).permutation(many)[:limit].tolist()
-                    drawn = [text[k * WINDOW : (k + 1) * WINDOW].tobytes() for k in order]
-                    columns = [
-                        pa.array([part.column("lang")[i].as_py()] * len(drawn), pa.string()),
-                        pa.array(range(len(drawn)), pa.int32()),
-                        pa.array([chance] * len(drawn), pa.int64()),
-                        pa.array(drawn, pa.binary()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "turn", "chance", "bytes"])
+                many = -(-np.diff(offsets) // WINDOW)
+                turns = [np.random.default_rng(c & 0xFFFFFFFFFFFFFFFF).permutation(n)[:limit] for c, n in zip(part.column("chance").to_pylist(), many.tolist(), strict=True)]
+                count = [len(t) for t in turns]
+                owner = np.repeat(np.arange(len(many)), count)
+                low = offsets[owner] + np.concatenate([*turns, np.zeros(0, np.int64)]) * WINDOW
+                size = np.minimum(low + WINDOW, offsets[owner + 1]) - low
+                ends = np.zeros(len(size) + 1, np.int64)
+                np.cumsum(size, out=ends[1:])
+                drawn = data[np.repeat(low - ends[:-1], size) + np.arange(ends[-1])]
+                columns = [
+                    part.column("lang").take(pa.array(owner)),
+                    pa.array(np.arange(len(owner)) - np.repeat(np.cumsum(count, dtype=np.int64) - count, count), pa.int32()),
+                    part.column("chance").take(pa.array(owner)),
+                    pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(drawn)]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "turn", "chance", "bytes"])
+
+    return work
+
+
+def _lesson(shared, size: int, least: int, rate: Callable[[int], float]):
+    """What each slice makes of the network: its windows in order, ``size`` at a time, and again until there were ``least`` steps."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, weights = shared.value
+        index = {name: i for i, name in enumerate(network.labels)}
+        at, lessons, held, waiting, kept = None, None, 0, [], []
+
+        def teach() -> None:
+            nonlocal held, waiting
+            windows, labels = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            full = len(windows) if at is None else len(windows) // size * size
+            for a in range(0, full, size):
+                lessons.teach(windows[a : a + size], labels[a : a + size], rate(lessons.steps))
+                if lessons.steps < least:
+                    kept.append((windows[a : a + size], labels[a : a + size]))
+            waiting, held = ([(windows[full:], labels[full:])] if full < len(windows) else []), len(windows) - full
+
+        def result(number: int) -> pa.RecordBatch:
+            nonlocal at
+            at = None  # the slice is over: its last windows are a batch too
+            if held:
+                teach()
+            if lessons.steps < least and kept:
+                windows, labels = (np.concatenate(x) for x in zip(*kept, strict=True))
+                rng = np.random.default_rng(11)
+                while lessons.steps < least:
+                    order = rng.permutation(len(windows))
+                    for a in range(0, len(order), size):
+                        pick = order[a : a + size]
+                        lessons.teach(windows[pick], labels[pick], rate(lessons.steps))
+            return pa.RecordBatch.from_pydict(
+                {"slice": pa.array([number], pa.int32()), "seen": pa.array([lessons.seen], pa.int64()), "flat": pa.array([lessons.network.flat().tobytes()], pa.binary())}
+            )
+
+        for batch in batches:
+            slices = batch.column("slice").to_numpy()
+            cuts = np.r_[0, np.flatnonzero(slices[1:] != slices[:-1]) + 1, len(slices)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if a == b:
+                    continue
+                if slices[a] != at:
+                    if lessons is not None:
+                        yield result(at)
+                    at, lessons, held, waiting, kept = int(slices[a]), Lessons(network, weights), 0, [], []
+                some = batch.slice(a, b - a)
+                codes, _ = windows_of(*utf8(some.column("bytes")))
+                waiting.append((codes, np.array([index[x] for x in some.column("lang").to_pylist()])))
+                held += b - a
+                lessons.seen += b - a
+                if held >= size:
+                    teach()
+        if lessons is not None:
+            yield result(at)
 
     return work
 
 
-def learn(labelled: DataFrame, per_language: int = DOCS_PER_LANGUAGE, windows: int = WINDOWS_PER_LANGUAGE) -> Network | None:
-    """A network trained on a bounded sample of (doc_id, text, lang); None when there is nothing to learn from."""
-    chance = F.xxhash64("doc_id", F.lit("sample"))
-    rows = labelled.where("lang is not null and text <> ''").select("lang", chance.alias("chance"), "doc_id", "text")
-    first = first_per_key(rows.select("lang", "chance", "doc_id"), "lang", ["chance", "doc_id"], per_language)
-    last = first.groupBy("lang").agg(F.max(F.struct("chance", "doc_id")).alias("last"))  # a row for each output of the network
-    taken = rows.join(F.broadcast(last), "lang").where(F.struct("chance", "doc_id") <= F.col("last")).select("lang", "chance", "text")
-    drawn = taken.mapInArrow(_draw(windows), "lang string, turn int, chance long, bytes binary")
-    sample = first_per_key(drawn, "lang", ["turn", "chance", "bytes"], windows).collect()
-    sample.sort(key=lambda r: (r.lang, r.turn, r.chance, r.bytes))
-    if not sample:
+def _taught(network: Network, weights: np.ndarray, windows: DataFrame, slices: int, *how: object) -> int:
+    """Teach the network all ``windows``, each slice a copy of it, and put the average in its place; how many they were."""
+    shared = windows.sparkSession.sparkContext.broadcast((network, weights))
+    dealt = windows.withColumn("hash", F.xxhash64("lang", "chance", "turn", "bytes")).withColumn("slice", F.pmod("hash", F.lit(slices)).cast("int"))
+    ordered = dealt.repartition(slices, "slice").sortWithinPartitions("slice", "hash", "bytes").select("slice", "lang", "bytes")
+    done = sorted(ordered.mapInArrow(_lesson(shared, *how), "slice int, seen long, flat binary").collect())  # at most SLICES rows
+    seen = sum(r["seen"] for r in done)
+    if seen:
+        network.put(sum(np.frombuffer(r["flat"], np.float32).astype(np.float64) * (r["seen"] / seen) for r in done))
+    return seen
+
+
+def learn(labelled: DataFrame) -> Network | None:
+    """A network trained on all windows of (doc_id, text, lang); None when there is nothing to learn from."""
+    rows = labelled.where("lang is not null and text <> ''").select("lang", F.xxhash64("doc_id", F.lit("sample")).alias("chance"), "text")
+    many = F.ceil(F.octet_length("text") / WINDOW)
+    counts = {r["lang"]: r for r in rows.groupBy("lang").agg(F.sum(many).alias("windows"), F.count("*").alias("docs")).collect()}  # a row per output
+    if not counts:
         return None
-    labels = sorted({r.lang for r in sample})
-    offsets = np.cumsum([0, *(len(r.bytes) for r in sample)])
-    codes, owner = windows_of(np.frombuffer(b"".join(r.bytes for r in sample), np.uint8), offsets)
-    index = {name: i for i, name in enumerate(labels)}
+    labels = sorted(counts)
+    windows = np.array([counts[x]["windows"] for x in labels])
+    weights = windows.sum() / (len(labels) * windows)
     network = Network(labels)
-    network.train(codes, np.array([index[r.lang] for r in sample])[owner])
+    stride = [max(1, min(counts[x]["windows"] * len(labels) // LESSON, counts[x]["docs"] // LESSON_DOCS)) for x in labels]
+    every = F.create_map(*[F.lit(v) for pair in zip(labels, stride, strict=True) for v in pair])
+    schema = "lang string, turn int, chance long, bytes binary"
+    first = rows.where(F.pmod("chance", every[F.col("lang")]) == 0).mapInArrow(_draw(LESSON // LESSON_DOCS), schema)
+    seen = _taught(network, weights, first, 1, BATCH, STEPS, lambda step: RATE * (1 - 0.9 * min(step / STEPS, 1)))
+    if seen < windows.sum():
+        slices = int(min(max(windows.sum() // SLICE, 1), SLICES))
+        _taught(network, weights, rows.mapInArrow(_draw(), schema), slices, SLICE_BATCH, 0, lambda _: SLICE_RATE)
     return network
 
 

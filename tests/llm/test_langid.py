@@ -84,3 +84,19 @@ def test_signs_that_are_no_letters_have_no_language(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, network).collect()}
     assert {d for d, lang in got.items() if lang == langid.UNKNOWN} == {1, 3, 4}
+
+
+def test_every_window_teaches(spark, monkeypatch):
+    """The lessons after the first one see all windows, of long texts too, in slices that do not depend on how rows lie."""
+    monkeypatch.setattr(langid, "LESSON", 64)
+    monkeypatch.setattr(langid, "SLICE", 300)
+    monkeypatch.setattr(langid, "STEPS", 3)
+    taught, plain = [], langid._taught
+    monkeypatch.setattr(langid, "_taught", lambda *a: taught.append((plain(*a), a[3])) or taught[-1][0])
+    rows = [(i, "ab cd " * (5 + 40 * (i % 7)), "xy"[i % 2]) for i in range(400)]
+    rows[5] = (5, "ab cd " * 20_000, "y")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first = langid.learn(docs.repartition(2)).flat()
+    every = sum(-(-len(t) // langid.WINDOW) for _, t, _ in rows)
+    assert taught[1] == (every, every // 300) and taught[0][0] < every
+    assert np.abs(first - langid.learn(docs.repartition(5)).flat()).max() < 1e-6

@@ -157,3 +157,17 @@ def test_threshold_keeps_the_recall():
     assert net.recall >= secrets.RECALL and net.threshold < secrets.LEAST
     net.calibrate(found, labels, missed=50)  # half of the secrets are no candidates
     assert net.recall == 0.5
+
+
+def test_every_finding_teaches_and_calibrates(spark, monkeypatch):
+    """More findings than any sample held: each is taught or held back, and those held back count in the threshold."""
+    monkeypatch.setattr(secrets, "SAMPLE", 10**9)
+    monkeypatch.setattr(secrets, "SLICE", 2000)
+    docs = spark.range(6000).selectExpr("concat('some quiet words here token = ', sha2(cast(id as string), 256), ' and others later') text")
+    seen, plain = [], secrets.Network.fit
+    monkeypatch.setattr(secrets.Network, "fit", lambda self, s, y, w, missed=0, recall=secrets.RECALL: seen.append((len(s), w.sum() + missed)) or plain(self, s, y, w, missed, recall))
+    found = docs.mapInArrow(secrets._findings, "text string, low int, high int, label int, chance long").distinct()
+    held = found.where("pmod(xxhash64(text, low, high, label), 10) < 3 and label = 1").count()
+    network = secrets.learn(docs)
+    assert seen[0][1] >= held > 0.25 * 6000
+    assert network.recall >= 0.95
