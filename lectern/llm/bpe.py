@@ -14,10 +14,11 @@ import base64
 import hashlib
 import sys
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,9 @@ WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
 #: Slices kept with their ids by one task; the cache is emptied when it is full.
-CACHE_SLICES = 100_000
+CACHE_SLICES = 300_000
 #: Bytes of text encoded at once: the more, the more often a slice is met again.
-ENCODE_BYTES = 1 << 20
+ENCODE_BYTES = 1 << 21
 #: Slices up to this many bytes are merged together as arrays, longer ones with a heap.
 SHORT_SLICE = 48
 
@@ -47,8 +48,9 @@ PLAIN, ONE_LEFT, TWO_LEFT, JUST_ENDED = range(4)
 @cache
 def classes() -> np.ndarray:
     """Class of every code point."""
-    kinds = {"L": LETTER, "N": NUMBER}
-    table = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)], np.uint8)
+    kinds = defaultdict(lambda: OTHER, dict.fromkeys(("Lu", "Ll", "Lt", "Lm", "Lo"), LETTER) | dict.fromkeys(("Nd", "Nl", "No"), NUMBER))
+    count = sys.maxunicode + 1
+    table = np.fromiter(map(kinds.__getitem__, map(unicodedata.category, map(chr, range(count)))), np.uint8, count)
     table[list(WHITE_SPACE)] = SPACE
     table[0x20] = BLANK
     table[ord("'")] = QUOTE
@@ -138,6 +140,25 @@ def boundaries(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+class Strings:
+    """One string of bytes for each id, laid end to end: what any ids make is gathered from them at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(s) for s in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def join(self, ids: np.ndarray, rows: np.ndarray) -> tuple[memoryview, list[int]]:
+        """The strings of all ``ids`` one after the other, and where each of ``rows``, places in ``ids``, begins."""
+        sizes = self.sizes[ids]
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        at = np.repeat((self.starts[ids] - ends[:-1]).astype(kind), sizes)
+        at += np.arange(ends[-1], dtype=kind)
+        return memoryview(self.data[at]), ends[rows].tolist()
+
+
 class Vocabulary:
     """A rank file: tokens by id, and the rank of every two tokens that are one token when joined."""
 
@@ -155,7 +176,8 @@ class Vocabulary:
             for k in range(1, len(token))
             if token[:k] in self.ids and token[k:] in self.ids
         }
-        self.written = [str(i) for i in range(len(self.tokens))]
+        self.strings = Strings(self.tokens)
+        self.decimal = Strings([f"{i},".encode() for i in range(len(self.tokens))])
         self.keys = np.array(sorted(ranks), np.int64)
         self.values = np.array([ranks[k] for k in self.keys.tolist()], np.int64)
         self.none = len(self.tokens)
@@ -168,7 +190,7 @@ class Vocabulary:
         rest = np.setdiff1d(np.arange(len(self.keys)), firsts)
         self.crowded = np.zeros(self.slots, bool)
         self.crowded[order[rest]] = True
-        self.cache: dict[bytes, tuple[tuple[int, ...], str]] = {}
+        self.cache: dict[bytes, tuple[int, ...]] = {}
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys >> 32) * 40503 + (keys & 0xFFFFFFFF) * 2654435761) & (self.slots - 1)
@@ -253,25 +275,22 @@ class Vocabulary:
                 heappush(heap, (r, h, ids[h], ids[i]))
         return tuple(x for x in ids if x >= 0)
 
-    def encode_slices(self, slices: list[bytes]) -> list[tuple[tuple[int, ...], str]]:
-        """Ids of each slice, and the same in decimal joined by commas."""
+    def encode_slices(self, slices: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each slice."""
         if len(self.cache) > CACHE_SLICES:
             self.cache.clear()
         known, ids, short = self.cache, self.ids, []
-        written = self.written.__getitem__
         for s in slices:
             if s not in known:
                 if s in ids:
-                    known[s] = (ids[s],), str(ids[s])
+                    known[s] = (ids[s],)
                 elif len(s) <= SHORT_SLICE:
                     short.append(s)
                 else:
-                    long = self.merge_long(s)
-                    known[s] = long, ",".join(map(str, long))
+                    known[s] = self.merge_long(s)
         if short:
-            for s, merged in zip(short, self.merge_short(short), strict=True):
-                known[s] = merged, ",".join(map(written, merged))
-        return [known[s] for s in slices]
+            known.update(zip(short, self.merge_short(short), strict=True))
+        return list(map(known.__getitem__, slices))
 
     def done(self) -> None:
         """A task is over: what it held goes back, as the worker may serve other work next."""
@@ -305,9 +324,8 @@ class Encoded:
         _, firsts, self.which = np.unique(names, return_index=True, return_inverse=True)
         spans = zip(cuts[firsts].tolist(), ends[firsts].tolist(), strict=True)
         unique = vocab.encode_slices([text[a:b] for a, b in spans])
-        self.written = [u[1] for u in unique]
-        self.counts = np.fromiter((len(u[0]) for u in unique), np.int64, len(unique))
-        flat = np.fromiter(chain.from_iterable([u[0] for u in unique]), np.int64, int(self.counts.sum()))
+        self.counts = np.fromiter(map(len, unique), np.int64, len(unique))
+        flat = np.fromiter(chain.from_iterable(unique), np.int64, int(self.counts.sum()))
         heads = np.cumsum(self.counts) - self.counts
         per = self.counts[self.which]
         total = np.zeros(len(per) + 1, np.int64)
@@ -324,16 +342,14 @@ def _digests(path: str):
         for batch in batches:
             for part in pieces(batch, "text", ENCODE_BYTES):
                 done = Encoded(part.column("text"), vocab)
-                written = done.written
-                which, ids = done.which.tolist(), done.ids.tolist()
-                cuts, ends = done.slice_rows.tolist(), done.row_ids.tolist()
-                rows = range(part.num_rows)
+                decimal, begins = vocab.decimal.join(done.ids, done.row_ids)
+                decoded, at = vocab.strings.join(done.ids, done.row_ids)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(np.diff(done.row_ids)),
-                        pa.array([sha(",".join(map(written.__getitem__, which[cuts[r] : cuts[r + 1]])).encode()).hexdigest() for r in rows], pa.string()),
-                        pa.array([sha(vocab.decode(ids[ends[r] : ends[r + 1]])).hexdigest() for r in rows], pa.string()),
+                        pa.array([sha(decimal[a : max(b - 1, a)]).hexdigest() for a, b in pairwise(begins)], pa.string()),  # no last comma
+                        pa.array([sha(decoded[a:b]).hexdigest() for a, b in pairwise(at)], pa.string()),
                     ],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
@@ -379,9 +395,10 @@ def encode(
                     base = np.repeat(first[np.minimum(done.row_ids[:-1], max(len(first) - 1, 0))], n) if len(first) else first
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(first - base, pa.int64())))
                 if exact:
-                    ends = done.row_ids.tolist()
-                    rows = zip(ends[:-1], ends[1:], part.column(text).to_pylist(), strict=True)
-                    columns.append(pa.array([vocab.decode(done.ids[a:b].tolist()) == (t or "").encode() for a, b, t in rows], pa.bool_()))
+                    data, offsets = utf8(part.column(text))
+                    decoded, at = vocab.strings.join(done.ids, done.row_ids)
+                    rows = zip(pairwise(at), pairwise(offsets.tolist()), strict=True)
+                    columns.append(pa.array([decoded[a:b] == memoryview(data[x:y]) for (a, b), (x, y) in rows], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
         vocab.done()
 

@@ -69,3 +69,14 @@ def test_digests(reference, odd, empty):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     assert bpe.digests(empty, PATH).count() == 0
+
+
+def test_strings_of_ids_are_laid_out_at_once():
+    strings = bpe.Strings([b"a", b"", b"bcd", b"\xff\x00"])
+    ids = np.array([2, 0, 1, 3, 3, 2])
+    joined, at = strings.join(ids, np.array([0, 2, 2, 3, 6, 6]))
+    assert bytes(joined) == b"bcda\xff\x00\xff\x00bcd" and at == [0, 4, 4, 4, 11, 11]
+    assert bytes(strings.join(ids[:0], np.array([0, 0]))[0]) == b""
+    vocab = bpe.vocabulary(PATH)
+    some = vocab.encode_slices([b"a", b"xqzv", b"a"])
+    assert some[0] == some[2] and vocab.decode(list(some[1])) == b"xqzv"
