@@ -10,14 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+
+from lectern.operators.sizing import small_batches as small_batches
 
 #: Bytes of text that are worked on at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
 SHINGLE = 5
-#: Rows of one Arrow batch.
-BATCH_ROWS = 1024
-BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -59,13 +57,6 @@ def _power(name: str, n: int) -> np.ndarray:
     return _powers[name][:n]
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
-    """Let tasks send whole texts to Python in batches of at most ``rows`` rows: a row may be a long text."""
-    if int(spark.conf.get(BATCH_SETTING)) > rows:
-        spark.conf.set(BATCH_SETTING, str(rows))
-    return spark
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each row starts (one more entry than rows). Null is empty."""
     if column.null_count:

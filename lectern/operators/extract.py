@@ -13,11 +13,13 @@ from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions import derive
+from lectern.operators.sizing import small_batches
 from lectern.schemas import ARTICLE_COLUMNS
 
 # White space removed from both ends of a text.
@@ -252,14 +254,34 @@ def page_parts(html: str | None) -> dict[str, object]:
         return {**empty, "error": f"{type(e).__name__}: {e}"}
 
 
+#: Pages that go to Python together, and characters of HTML whose fields come back together.
+BATCH_PAGES, BACK_CHARS = 128, 1 << 20
+
+
+def _stretches(html: Sequence[str | None], limit: int = BACK_CHARS) -> Iterator[tuple[int, int]]:
+    """Stretches of pages in order, each of about ``limit`` characters or one page."""
+    at = size = 0
+    for i, h in enumerate(html):
+        size += len(h or "")
+        if size >= limit:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(html):
+        yield at, len(html)
+
+
 @F.pandas_udf(PARTS)
 def _parse_pages(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for html in batches:
-        yield pd.DataFrame([page_parts(h) for h in html], columns=PARTS.fieldNames())
+        pages = html.tolist()
+        for a, b in _stretches(pages):
+            yield pd.DataFrame([page_parts(h) for h in pages[a:b]], columns=PARTS.fieldNames())
+    pa.default_memory_pool().release_unused()
 
 
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` with the HTML replaced by a ``parts`` struct."""
+    """``pages`` with the HTML replaced by a ``parts`` struct. A Python worker holds few pages at once, however many there are."""
+    small_batches(pages.sparkSession, BATCH_PAGES)
     return pages.withColumn("parts", _parse_pages(F.col(html))).drop(html)
 
 
