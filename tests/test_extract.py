@@ -7,7 +7,8 @@ import time
 import pytest
 from pyspark import cloudpickle
 
-from lectern.operators import extract, sizing
+from lectern.operators import extract as extracting
+from lectern.operators import sizing
 from lectern.operators.extract import extract_articles, page_parts, split_errors
 
 STAMP = dt.datetime(2026, 1, 2, 3, 4, 5)
@@ -129,13 +130,13 @@ def test_unclosed_tags_cost_linear_time():
 
 
 def test_python_holds_few_pages_at_once(spark):
-    assert [list(range(a, b)) for a, b in extract._stretches(["x" * 60, None, "y" * 50, "z" * 300, "", "q"], 100)] == [[0, 1, 2], [3], [4, 5]]
+    assert [list(range(a, b)) for a, b in extracting._stretches(["x" * 60, None, "y" * 50, "z" * 300, "", "q"], 100)] == [[0, 1, 2], [3], [4, 5]]
     before = spark.conf.get(sizing.BATCH_SETTING)
     spark.conf.set(sizing.BATCH_SETTING, "10000")
     try:
         pages = spark.range(3000).selectExpr("concat('u', id) url", "'t' topic", "concat('<article><p>', repeat(id, 600)) html").coalesce(1)
         found = {r["article_url"]: r["page_content"] for r in extract_articles(pages, STAMP).collect()}
-        assert int(spark.conf.get(sizing.BATCH_SETTING)) <= extract.BATCH_PAGES
+        assert int(spark.conf.get(sizing.BATCH_SETTING)) <= extracting.BATCH_PAGES
         assert found == {f"u{i}": str(i) * 600 for i in range(3000)}
     finally:
         spark.conf.set(sizing.BATCH_SETTING, before)

@@ -101,3 +101,31 @@ def test_skip_landed(spark):
     landed = spark.createDataFrame([("t", "d", "b", 0)], schema)
     todo = upsert.skip_landed(upsert.first_landing(rows, "pos"), landed)
     assert sorted((r["topic"], r["slug"], r["pos"]) for r in todo.collect()) == [("t", "a", 1), ("u", "b", 4)]
+
+
+def test_settled_moves_rows_only_of_keys_that_repeat(spark):
+    from lectern.operators.upsert import latest_per_key, settled
+    from lectern.scratch import Scratch
+
+    rows = [(f"k{i}", f"d{i}") for i in range(50)] + [("k3", "c"), ("k3", "e"), (None, "n"), (None, "m")]
+    with Scratch(spark) as scratch:
+        stored = scratch.write(spark.createDataFrame(rows, "k string, d string"))
+        plain = sorted(map(str, latest_per_key(stored, ["k"], [stored["d"]]).collect()))
+        for most in (1 << 20, 0):
+            found = settled(stored.where("k is not null"), "k", [stored["d"]], scratch, most)
+            assert sorted(map(str, found.collect())) == [p for p in plain if "None" not in p]
+        single = settled(stored.where("k = 'k7'"), "k", [stored["d"]], scratch, 0)
+        assert single.count() == 1 and "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_collection_is_filled_without_moving_its_documents(spark, tmp_path):
+    """What one load shuffles grows with its keys, not with its documents."""
+    from lectern.functions.embedding import HashingEmbedder
+    from lectern.plans import tables
+
+    chunks = spark.range(300).selectExpr("concat('c', id % 290) chunk_id", "repeat(cast(id as string), 20) document", "named_struct('source', 's', 'title', 't', 'author', 'a') metadata")
+    path = str(tmp_path / "collection")
+    for _ in range(2):
+        tables.upsert_collection(spark, path, chunks, HashingEmbedder(8))
+    held = {r["chunk_id"]: r["document"] for r in tables.collection_at(spark, path).read().collect()}
+    assert held == {f"c{i}": min(str(j) * 20 for j in range(i, 300, 290)) for i in range(290)}
