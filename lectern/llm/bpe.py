@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.words import hash_slices, pieces, utf8
+from lectern.llm.words import give_back, hash_slices, pieces, utf8
 
 OTHER, LETTER, NUMBER, SPACE, BLANK, QUOTE = range(6)
 
@@ -35,9 +35,9 @@ WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
 #: Slices kept with their ids by one task; the cache is emptied when it is full.
-CACHE_SLICES = 300_000
-#: Bytes of text encoded at once: the more, the more often a slice is met again.
-ENCODE_BYTES = 1 << 21
+CACHE_SLICES = 150_000
+#: Bytes of text encoded at once: the more, the more often a slice is met again, at some 70 bytes of memory each.
+ENCODE_BYTES = 1 << 19
 #: Slices up to this many bytes are merged together as arrays, longer ones with a heap.
 SHORT_SLICE = 48
 
@@ -295,7 +295,7 @@ class Vocabulary:
     def done(self) -> None:
         """A task is over: what it held goes back, as the worker may serve other work next."""
         self.cache.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))

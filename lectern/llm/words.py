@@ -6,6 +6,8 @@ return; A-Z count as a-z. Words and shingles are named by 64-bit hashes that dep
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +59,13 @@ def _power(name: str, n: int) -> np.ndarray:
     return _powers[name][:n]
 
 
+def give_back() -> None:
+    """A task is over: memory that it freed leaves the worker, which may wait or serve other work next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only the C library of GNU keeps so much
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each row starts (one more entry than rows). Null is empty."""
     if column.null_count:

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -80,3 +81,17 @@ def test_strings_of_ids_are_laid_out_at_once():
     vocab = bpe.vocabulary(PATH)
     some = vocab.encode_slices([b"a", b"xqzv", b"a"])
     assert some[0] == some[2] and vocab.decode(list(some[1])) == b"xqzv"
+
+
+def test_a_worker_works_on_little_at_once():
+    """What a task needs beside its rows follows the piece it works on; what it held goes back when it is over."""
+    vocab, rng = bpe.vocabulary(PATH), np.random.default_rng(5)
+    words = np.array(["".join(w) for w in rng.choice(list("abcdefgh"), (30_000, 7))])
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": [" ".join(rng.choice(words, 1000)) for _ in range(600)]})
+    work = bpe._digests(PATH)
+    list(work(iter([batch.slice(0, 2)])))
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in work(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 600 and peak < 50 << 20 and not vocab.cache
