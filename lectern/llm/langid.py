@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.words import pieces, utf8
+from lectern.llm.words import give_back, pieces, utf8
 
 UNKNOWN = "und"
 WINDOW = 128
@@ -44,6 +44,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1
 
 
+class Room(dict):
+    """Arrays that are used again: fresh memory for every batch would cost more than what is done in it."""
+
+    def of(self, name: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self or self[name].size < size:
+            self[name] = np.empty(size, np.float32)
+        return self[name][:size].reshape(shape)
+
+
 class Layer:
     """A gated recurrent layer: update gate z, reset gate r, candidate c; h = (1 - z) h + z c.
 
@@ -57,38 +67,38 @@ class Layer:
         self.table[:, :hidden] -= 1.0  # begin by remembering
         self.inner = (rng.standard_normal((hidden, 3 * hidden)) / np.sqrt(hidden)).astype(np.float32)
 
-    def run(self, steps: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    def run(self, steps: np.ndarray, keep: bool = False, room: Room | None = None, name: str = "") -> tuple[np.ndarray, np.ndarray | None]:
         """States after each step for byte codes of shape (time, rows); padding leaves the state at zero.
 
-        With ``keep`` also z, r, c and the inner part of c at each step.
+        With ``keep`` also z, r, c and the inner part of c at each step. What ``room`` holds under ``name`` is written over.
         """
         n, k = steps.shape[1], self.hidden
         table, inner = np.ascontiguousarray(self.table.T), np.ascontiguousarray(self.inner.T)
+        ours, own = inner[: 2 * k], inner[2 * k :]
         h = np.zeros((k, n), np.float32)
-        states = np.empty((len(steps), k, n), np.float32)
-        saved = np.empty((len(steps), 4 * k, n), np.float32) if keep else None
-        x, u, scale = (np.empty((3 * k, n), np.float32) for _ in range(3))
-        gates, z, r, c = x[: 2 * k], x[:k], x[k : 2 * k], u[2 * k :]
+        room = Room() if room is None else room
+        states = room.of(f"{name} states", len(steps), k, n)
+        saved = room.of(f"{name} saved", len(steps), 4 * k, n) if keep else None
+        work, u, scale, part = (np.empty((rows * k, n), np.float32) for rows in (4, 2, 2, 1))
+        size = scale[:k]
         padded = (steps == PAD).any(axis=1)
-        for t, codes in enumerate(steps):
-            np.take(table, codes, axis=1, out=x, mode="clip")
-            np.matmul(inner, h, out=u)
-            gates += u[: 2 * k]
-            np.abs(gates, out=scale[: 2 * k])
-            scale[: 2 * k] += 1
-            gates /= scale[: 2 * k]
+        for t, codes in enumerate(steps.astype(np.intp)):
+            at = saved[t] if keep else work  # what is to be kept is worked out where it stays
+            gates, z, r, c, inside = at[: 2 * k], at[:k], at[k : 2 * k], at[2 * k : 3 * k], at[3 * k :]
+            np.take(table, codes, axis=1, out=at[: 3 * k], mode="clip")
+            np.matmul(ours, h, out=u)
+            np.matmul(own, h, out=inside)
+            gates += u
+            np.abs(gates, out=scale)
+            scale += 1
+            gates /= scale
             gates *= 0.5
             gates += 0.5
-            if keep:
-                saved[t, 3 * k :] = c
-            c *= r
-            c += x[2 * k :]
-            np.abs(c, out=scale[2 * k :])
-            scale[2 * k :] += 1
-            c /= scale[2 * k :]
-            if keep:
-                saved[t, : 2 * k] = gates
-                saved[t, 2 * k : 3 * k] = c
+            np.multiply(inside, r, out=part)
+            c += part
+            np.abs(c, out=size)
+            size += 1
+            c /= size
             after = states[t]
             np.subtract(c, h, out=after)
             after *= z
@@ -101,8 +111,10 @@ class Layer:
     def back(self, steps: np.ndarray, states: np.ndarray, saved: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of the table and the inner weights from the gradients of the states."""
         k, n = self.hidden, steps.shape[1]
-        inner = np.zeros_like(self.inner)
+        inner, back = np.zeros_like(self.inner), self.inner.copy()
+        back[:, : 2 * k] *= 2  # slopes of gates are left halved until they are summed: doubling is exact
         d, table = np.empty((TOGETHER, 3 * k, n), np.float32), np.zeros((3 * k, 257))
+        da, gz, slopes = (np.empty((rows * k, n), np.float32) for rows in (1, 1, 2))
         carried, start = np.zeros((k, n), np.float32), np.zeros((k, n), np.float32)
         padded = (steps == PAD).any(axis=1)
         for t in range(len(steps) - 1, -1, -1):
@@ -112,29 +124,31 @@ class Layer:
             g += grad[t]
             if padded[t]:
                 g[:, steps[t] == PAD] = 0
-            gz = g * z
-            da, own = np.abs(c), d[t % TOGETHER]
+            np.multiply(g, z, out=gz)
+            own = d[t % TOGETHER]
+            np.abs(c, out=da)
             np.subtract(1, da, out=da)
             da *= da
             da *= gz
-            slopes = np.subtract(1, saved[t, : 2 * k])
+            np.subtract(1, saved[t, : 2 * k], out=slopes)
             np.minimum(slopes, saved[t, : 2 * k], out=slopes)
             slopes *= slopes
-            slopes *= 2
             np.subtract(c, h, out=own[:k])
             own[:k] *= g
             np.multiply(da, u, out=own[k : 2 * k])
             own[: 2 * k] *= slopes
             np.multiply(da, r, out=own[2 * k :])
             inner += h @ own.T
-            carried = self.inner @ own
+            carried = back @ own
             carried += g
             carried -= gz
             own[2 * k :] = da
             if t % TOGETHER == 0:
-                codes = steps[t : t + TOGETHER].reshape(-1)
+                codes = steps[t : t + TOGETHER].reshape(-1).astype(np.intp)
                 for j in range(3 * k):
                     table[j] += np.bincount(codes, d[: min(TOGETHER, len(steps) - t), j].reshape(-1), 257)
+        table[: 2 * k] *= 2
+        inner[:, : 2 * k] *= 2
         return table.T.astype(np.float32), inner
 
 
@@ -146,37 +160,42 @@ class Network:
         self.out = (rng.standard_normal((2 * hidden, len(labels))) * 0.3).astype(np.float32)
         self.bias = np.zeros(len(labels), np.float32)
 
-    def _told(self, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    def _told(self, ahead: np.ndarray, behind: np.ndarray, room: Room) -> np.ndarray:
         """Of each label at each byte from the states of both layers: (time, labels, rows)."""
         k = self.forward.hidden
-        x = np.matmul(np.ascontiguousarray(self.out[:k].T), ahead)
-        x += np.matmul(np.ascontiguousarray(self.out[k:].T), behind)
+        x, more = (room.of(name, len(ahead), len(self.labels), ahead.shape[2]) for name in ("told", "more"))
+        np.matmul(np.ascontiguousarray(self.out[:k].T), ahead, out=x)
+        x += np.matmul(np.ascontiguousarray(self.out[k:].T), behind, out=more)
         x += self.bias[:, None]
         x -= x.max(axis=1, keepdims=True)
         np.exp(x, out=x)
         x /= x.sum(axis=1, keepdims=True)
         return x
 
-    def probabilities(self, steps: np.ndarray) -> np.ndarray:
-        """Of each label at each byte: (time, labels, rows)."""
-        return self._told(self.forward.run(steps)[0], self.backward.run(steps[::-1])[0][::-1])
-
-    def gradients(self, steps: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, list[np.ndarray]]:
-        """Mean loss of the bytes that are no padding, and the gradient of each parameter. ``weights`` are of rows."""
-        ahead, saved = self.forward.run(steps, keep=True)
-        behind, saved_back = self.backward.run(steps[::-1], keep=True)
-        p = self._told(ahead, behind[::-1])
+    def probabilities(self, steps: np.ndarray, room: Room | None = None) -> np.ndarray:
+        """Of each label at each byte: (time, labels, rows); in ``room``, if given, until it is used again."""
+        room = Room() if room is None else room
+        ahead, behind = self.forward.run(steps, room=room, name="ahead")[0], self.backward.run(steps[::-1], room=room, name="behind")[0]
+        return self._told(ahead, behind[::-1], room)
+
+    def gradients(self, steps: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, tell: bool = True, room: Room | None = None) -> tuple[float, list[np.ndarray]]:
+        """Mean loss of the bytes that are no padding (0 unless ``tell``), and the gradient of each parameter. ``weights`` are of rows."""
+        room = Room() if room is None else room
+        ahead, saved = self.forward.run(steps, True, room, "ahead")
+        behind, saved_back = self.backward.run(steps[::-1], True, room, "behind")
+        p = self._told(ahead, behind[::-1], room)
         real = (steps != PAD).astype(np.float32)
         real /= max(float(real.sum()), 1.0)
         if weights is not None:
             real *= weights.astype(np.float32)
-        rows = np.arange(len(labels))
-        loss = float(-(np.log(p[:, labels, rows] + 1e-9) * real).sum())
-        p[:, labels, rows] -= 1
+        right = (np.arange(len(self.labels))[:, None] == labels).astype(np.float32)
+        loss = float(-(np.log((p * right).sum(axis=1) + 1e-9) * real).sum()) if tell else 0.0
+        p -= right
         p *= real[:, None, :]
         k = self.forward.hidden
-        t1, i1 = self.forward.back(steps, ahead, saved, np.matmul(self.out[:k], p))
-        t2, i2 = self.backward.back(steps[::-1], behind, saved_back, np.matmul(self.out[k:], p)[::-1])
+        grad = room.of("grad", *ahead.shape)
+        t1, i1 = self.forward.back(steps, ahead, saved, np.matmul(self.out[:k], p, out=grad))
+        t2, i2 = self.backward.back(steps[::-1], behind, saved_back, np.matmul(self.out[k:], p, out=grad)[::-1])
         turned = p.transpose(0, 2, 1)
         out = np.concatenate([np.matmul(ahead, turned).sum(axis=0), np.matmul(behind[::-1], turned).sum(axis=0)])
         return loss, [t1, i1, t2, i2, out, p.sum(axis=(0, 2))]
@@ -202,11 +221,12 @@ class Lessons:
         self.first = [np.zeros_like(p) for p in network.parameters()]
         self.second = [np.zeros_like(p) for p in network.parameters()]
         self.steps = self.seen = 0
+        self.room = Room()
 
     def teach(self, windows: np.ndarray, labels: np.ndarray, pace: float) -> None:
         """``windows`` are rows of byte codes."""
         self.steps += 1
-        _, grads = self.network.gradients(np.ascontiguousarray(windows.T), labels, self.weights[labels])
+        _, grads = self.network.gradients(np.ascontiguousarray(windows.T), labels, self.weights[labels], tell=False, room=self.room)
         norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads)))
         for p, g, m, v in zip(self.network.parameters(), grads, self.first, self.second, strict=True):
             g = g * min(1.0, 1.0 / (norm + 1e-9))
@@ -229,13 +249,13 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> t
     return codes, owner
 
 
-def pooled(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def pooled(network: Network, data: np.ndarray, offsets: np.ndarray, room: Room | None = None) -> np.ndarray:
     """Mean label probabilities of the bytes of each text; zeros for empty ones."""
     codes, owner = windows_of(data, offsets)
-    total = np.zeros((len(offsets) - 1, len(network.labels)))
+    total, room = np.zeros((len(offsets) - 1, len(network.labels))), Room() if room is None else room
     for a in range(0, len(codes), SIDE_BY_SIDE):
         steps = np.ascontiguousarray(codes[a : a + SIDE_BY_SIDE].T)
-        p = network.probabilities(steps)
+        p = network.probabilities(steps, room)
         if (steps == PAD).any():
             p *= (steps != PAD)[:, None, :]
         np.add.at(total, owner[a : a + SIDE_BY_SIDE], p.sum(axis=0).T)
@@ -323,6 +343,8 @@ def _lesson(shared, size: int, least: int, rate: Callable[[int], float]):
                     teach()
         if lessons is not None:
             yield result(at)
+        lessons = None
+        give_back()
 
     return work
 
@@ -363,7 +385,7 @@ def learn(labelled: DataFrame) -> Network | None:
 
 def _predict(shared, text: str, keep: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = shared.value
+        network, room = shared.value, Room()
         for batch in batches:
             for part in pieces(batch, text):
                 texts = part.column(text)
@@ -372,12 +394,14 @@ def _predict(shared, text: str, keep: bool):
                 if network is None:
                     found, score = [UNKNOWN] * len(letters), [0.0] * len(letters)
                 else:
-                    p = pooled(network, *utf8(texts))
+                    p = pooled(network, *utf8(texts), room)
                     best = p.argmax(axis=1)
                     found = [network.labels[i] if ok else UNKNOWN for i, ok in zip(best.tolist(), letters, strict=True)]
                     score = [min(float(s), 1.0) if ok else 0.0 for s, ok in zip(p.max(axis=1).tolist(), letters, strict=True)]
                 told = [pa.array(found, pa.string()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *told], [*names, "lang_pred", "score"])
+        room.clear()
+        give_back()
 
     return work
 

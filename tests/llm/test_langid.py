@@ -100,3 +100,17 @@ def test_every_window_teaches(spark, monkeypatch):
     every = sum(-(-len(t) // langid.WINDOW) for _, t, _ in rows)
     assert taught[1] == (every, every // 300) and taught[0][0] < every
     assert np.abs(first - langid.learn(docs.repartition(5)).flat()).max() < 1e-6
+
+
+def test_batches_share_their_arrays():
+    """A batch works in the memory of the one before, whatever its size, and gets what it would get in its own."""
+    net, room, rng = langid.Network(["a", "b"]), langid.Room(), np.random.default_rng(3)
+    held = None
+    for rows in (40, 40, 7, 40):
+        steps = rng.integers(0, 257, (16, rows)).astype(np.int16)
+        labels = rng.integers(0, 2, rows)
+        for mine, own in zip(net.gradients(steps, labels, room=room)[1], net.gradients(steps, labels)[1], strict=True):
+            assert np.array_equal(mine, own)
+        assert np.array_equal(net.probabilities(steps, room), net.probabilities(steps))
+        held = held or dict(room)
+        assert all(room[name] is held[name] for name in room)
