@@ -129,3 +129,17 @@ def test_a_collection_is_filled_without_moving_its_documents(spark, tmp_path):
         tables.upsert_collection(spark, path, chunks, HashingEmbedder(8))
     held = {r["chunk_id"]: r["document"] for r in tables.collection_at(spark, path).read().collect()}
     assert held == {f"c{i}": min(str(j) * 20 for j in range(i, 300, 290)) for i in range(290)}
+
+
+@pytest.mark.parametrize("update", [UPDATE_PARTIAL, UPDATE_ALL])
+def test_matched_rows_are_compared_by_what_they_keep(spark, update):
+    """Where every key of the target is in the source, the result is that of the upsert, without the target's texts."""
+    same = article("b", "old")
+    gone = tuple(None if c == "author_name" else v for c, v in zip(ARTICLE_COLUMNS, article("d", "old"), strict=True))
+    target = frame(spark, article("a", "old"), same, gone)
+    source = frame(spark, article("a", "new"), same, article("c", "new"), article("d", "old"))
+    kept = upsert.kept_columns(update)
+    apart = upsert.kept_apart(target, source, "article_url", kept)
+    assert {r[0] for r in apart.collect()} == ({"a", "d"} if kept else set())
+    assert "page_content" not in apart.columns and "article_url" in apart.columns
+    assert by_url(upsert.upsert_kept(source, apart, "article_url", kept)) == by_url(upsert.upsert(target, source, update_cols=update))
