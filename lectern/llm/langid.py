@@ -33,8 +33,8 @@ LESSON, LESSON_DOCS = 27_000, 32
 STEPS, BATCH, RATE = 140, 192, 0.03
 #: Each slice teaches at least ``SLICE`` windows, ``SLICE_BATCH`` at a time; there are no more than ``SLICES``.
 SLICE, SLICES, SLICE_BATCH, SLICE_RATE = 16_384, 256, 1024, 0.002
-#: Windows that run side by side: their state stays in the processor's cache.
-SIDE_BY_SIDE = 1024
+#: Windows that run side by side in a prediction: enough to outweigh the calls, few enough for their state to stay in the processor's cache.
+SIDE_BY_SIDE = 2048
 PAD = 256
 #: Steps whose gradients are summed by byte at once.
 TOGETHER = 16
@@ -54,6 +54,14 @@ class Room(dict):
         return self[name][:size].reshape(shape)
 
 
+def padding(steps: np.ndarray, units: int) -> list[np.ndarray]:
+    """At each step, where padding lies in an array of (units, rows)."""
+    at, rows = np.divmod(np.flatnonzero(steps == PAD), steps.shape[1])
+    places = rows[:, None] + np.arange(units) * steps.shape[1]
+    ends = np.searchsorted(at, np.arange(len(steps) + 1)).tolist()
+    return [places[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 class Layer:
     """A gated recurrent layer: update gate z, reset gate r, candidate c; h = (1 - z) h + z c.
 
@@ -67,34 +75,30 @@ class Layer:
         self.table[:, :hidden] -= 1.0  # begin by remembering
         self.inner = (rng.standard_normal((hidden, 3 * hidden)) / np.sqrt(hidden)).astype(np.float32)
 
-    def run(self, steps: np.ndarray, keep: bool = False, room: Room | None = None, name: str = "") -> tuple[np.ndarray, np.ndarray | None]:
+    def run(self, steps: np.ndarray, pads: list[np.ndarray], room: Room, name: str, keep: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """States after each step for byte codes of shape (time, rows); padding leaves the state at zero.
 
-        With ``keep`` also z, r, c and the inner part of c at each step. What ``room`` holds under ``name`` is written over.
+        With ``keep`` also z, r and c at each step. What ``room`` holds under ``name`` is written over.
         """
         n, k = steps.shape[1], self.hidden
         table, inner = np.ascontiguousarray(self.table.T), np.ascontiguousarray(self.inner.T)
-        ours, own = inner[: 2 * k], inner[2 * k :]
         h = np.zeros((k, n), np.float32)
-        room = Room() if room is None else room
         states = room.of(f"{name} states", len(steps), k, n)
-        saved = room.of(f"{name} saved", len(steps), 4 * k, n) if keep else None
-        work, u, scale, part = (np.empty((rows * k, n), np.float32) for rows in (4, 2, 2, 1))
-        size = scale[:k]
-        padded = (steps == PAD).any(axis=1)
+        saved = room.of(f"{name} saved", len(steps), 3 * k, n) if keep else None
+        work, u, scale = room.of("work", 3 * k, n), room.of("u", 3 * k, n), room.of("scale", 2 * k, n)
+        more, part, size = u[: 2 * k], u[2 * k :], scale[:k]
         for t, codes in enumerate(steps.astype(np.intp)):
             at = saved[t] if keep else work  # what is to be kept is worked out where it stays
-            gates, z, r, c, inside = at[: 2 * k], at[:k], at[k : 2 * k], at[2 * k : 3 * k], at[3 * k :]
-            np.take(table, codes, axis=1, out=at[: 3 * k], mode="clip")
-            np.matmul(ours, h, out=u)
-            np.matmul(own, h, out=inside)
-            gates += u
+            gates, z, r, c = at[: 2 * k], at[:k], at[k : 2 * k], at[2 * k :]
+            np.take(table, codes, axis=1, out=at, mode="clip")
+            np.matmul(inner, h, out=u)
+            gates += more
             np.abs(gates, out=scale)
             scale += 1
             gates /= scale
             gates *= 0.5
             gates += 0.5
-            np.multiply(inside, r, out=part)
+            part *= r
             c += part
             np.abs(c, out=size)
             size += 1
@@ -103,29 +107,31 @@ class Layer:
             np.subtract(c, h, out=after)
             after *= z
             after += h
-            if padded[t]:
-                after[:, codes == PAD] = 0
+            if len(pads[t]):
+                after.reshape(-1)[pads[t]] = 0
             h = after
         return states, saved
 
-    def back(self, steps: np.ndarray, states: np.ndarray, saved: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Gradients of the table and the inner weights from the gradients of the states."""
+    def back(self, steps: np.ndarray, pads: list[np.ndarray], states: np.ndarray, saved: np.ndarray, out: np.ndarray, errors: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the table and the inner weights; those of the states are ``out`` times ``errors`` at each step."""
         k, n = self.hidden, steps.shape[1]
-        inner, back = np.zeros_like(self.inner), self.inner.copy()
+        inner, back, again = np.zeros_like(self.inner), self.inner.copy(), np.ascontiguousarray(self.inner.T[2 * k :])
         back[:, : 2 * k] *= 2  # slopes of gates are left halved until they are summed: doubling is exact
-        d, table = np.empty((TOGETHER, 3 * k, n), np.float32), np.zeros((3 * k, 257))
-        da, gz, slopes = (np.empty((rows * k, n), np.float32) for rows in (1, 1, 2))
-        carried, start = np.zeros((k, n), np.float32), np.zeros((k, n), np.float32)
-        padded = (steps == PAD).any(axis=1)
+        half = -(-3 * k // 2)
+        table, sums = np.zeros((2 * half, 257)), np.empty(257, np.complex128)
+        d, pair = room.of("gradients", TOGETHER, 2 * half, n), np.empty((TOGETHER, n), np.complex128)
+        d[:, 3 * k :] = 0
+        u, da, gz, slopes = room.of("u", k, n), *room.of("back", 2, k, n), room.of("scale", 2 * k, n)
+        g, carried, start = room.of("carried", 3, k, n)
+        carried[...] = start[...] = 0
         for t in range(len(steps) - 1, -1, -1):
-            z, r, c, u = saved[t].reshape(4, k, n)
+            z, r, c = saved[t].reshape(3, k, n)
             h = states[t - 1] if t else start
-            g = carried
-            g += grad[t]
-            if padded[t]:
-                g[:, steps[t] == PAD] = 0
+            np.matmul(out, errors[t], out=g)
+            g += carried
+            if len(pads[t]):
+                g.reshape(-1)[pads[t]] = 0
             np.multiply(g, z, out=gz)
-            own = d[t % TOGETHER]
             np.abs(c, out=da)
             np.subtract(1, da, out=da)
             da *= da
@@ -133,23 +139,30 @@ class Layer:
             np.subtract(1, saved[t, : 2 * k], out=slopes)
             np.minimum(slopes, saved[t, : 2 * k], out=slopes)
             slopes *= slopes
+            own = d[t % TOGETHER, : 3 * k]
             np.subtract(c, h, out=own[:k])
             own[:k] *= g
+            np.matmul(again, h, out=u)
             np.multiply(da, u, out=own[k : 2 * k])
             own[: 2 * k] *= slopes
             np.multiply(da, r, out=own[2 * k :])
             inner += h @ own.T
-            carried = back @ own
+            np.matmul(back, own, out=carried)
             carried += g
             carried -= gz
             own[2 * k :] = da
             if t % TOGETHER == 0:
-                codes = steps[t : t + TOGETHER].reshape(-1).astype(np.intp)
-                for j in range(3 * k):
-                    table[j] += np.bincount(codes, d[: min(TOGETHER, len(steps) - t), j].reshape(-1), 257)
+                codes = steps[t : t + TOGETHER].astype(np.intp)
+                some, both = d[: len(codes)], pair[: len(codes)]
+                for j in range(half):  # two sums at once, as parts of complex numbers: both have the same places
+                    both.real, both.imag = some[:, j], some[:, half + j]
+                    sums[...] = 0
+                    np.add.at(sums, codes.reshape(-1), both.reshape(-1))
+                    table[j] += sums.real
+                    table[half + j] += sums.imag
         table[: 2 * k] *= 2
         inner[:, : 2 * k] *= 2
-        return table.T.astype(np.float32), inner
+        return table[: 3 * k].T.astype(np.float32), inner
 
 
 class Network:
@@ -163,39 +176,41 @@ class Network:
     def _told(self, ahead: np.ndarray, behind: np.ndarray, room: Room) -> np.ndarray:
         """Of each label at each byte from the states of both layers: (time, labels, rows)."""
         k = self.forward.hidden
-        x, more = (room.of(name, len(ahead), len(self.labels), ahead.shape[2]) for name in ("told", "more"))
-        np.matmul(np.ascontiguousarray(self.out[:k].T), ahead, out=x)
-        x += np.matmul(np.ascontiguousarray(self.out[k:].T), behind, out=more)
-        x += self.bias[:, None]
-        x -= x.max(axis=1, keepdims=True)
-        np.exp(x, out=x)
-        x /= x.sum(axis=1, keepdims=True)
+        ours, others = self.out[:k].T.copy(), self.out[k:].T.copy()
+        x, more = (room.of(name, steps, len(self.labels), ahead.shape[2]) for name, steps in (("told", len(ahead)), ("more", TOGETHER)))
+        for t in range(0, len(ahead), TOGETHER):
+            some = x[t : t + TOGETHER]
+            np.matmul(ours, ahead[t : t + TOGETHER], out=some)
+            some += np.matmul(others, behind[t : t + TOGETHER], out=more[: len(some)])
+            some += self.bias[:, None]
+            some -= some.max(axis=1, keepdims=True)
+            np.exp(some, out=some)
+            some /= some.sum(axis=1, keepdims=True)
         return x
 
     def probabilities(self, steps: np.ndarray, room: Room | None = None) -> np.ndarray:
         """Of each label at each byte: (time, labels, rows); in ``room``, if given, until it is used again."""
-        room = Room() if room is None else room
-        ahead, behind = self.forward.run(steps, room=room, name="ahead")[0], self.backward.run(steps[::-1], room=room, name="behind")[0]
+        room, pads = Room() if room is None else room, padding(steps, self.forward.hidden)
+        ahead, behind = self.forward.run(steps, pads, room, "ahead")[0], self.backward.run(steps[::-1], pads[::-1], room, "behind")[0]
         return self._told(ahead, behind[::-1], room)
 
     def gradients(self, steps: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, tell: bool = True, room: Room | None = None) -> tuple[float, list[np.ndarray]]:
         """Mean loss of the bytes that are no padding (0 unless ``tell``), and the gradient of each parameter. ``weights`` are of rows."""
-        room = Room() if room is None else room
-        ahead, saved = self.forward.run(steps, True, room, "ahead")
-        behind, saved_back = self.backward.run(steps[::-1], True, room, "behind")
+        room, pads = Room() if room is None else room, padding(steps, self.forward.hidden)
+        ahead, saved = self.forward.run(steps, pads, room, "ahead", True)
+        behind, saved_back = self.backward.run(steps[::-1], pads[::-1], room, "behind", True)
         p = self._told(ahead, behind[::-1], room)
-        real = (steps != PAD).astype(np.float32)
-        real /= max(float(real.sum()), 1.0)
+        share = (steps != PAD).astype(np.float32)
+        share /= max(float(share.sum()), 1.0)
         if weights is not None:
-            real *= weights.astype(np.float32)
+            share *= weights.astype(np.float32)
         right = (np.arange(len(self.labels))[:, None] == labels).astype(np.float32)
-        loss = float(-(np.log((p * right).sum(axis=1) + 1e-9) * real).sum()) if tell else 0.0
+        loss = float(-(np.log((p * right).sum(axis=1) + 1e-9) * share).sum()) if tell else 0.0
         p -= right
-        p *= real[:, None, :]
+        p *= share[:, None, :]
         k = self.forward.hidden
-        grad = room.of("grad", *ahead.shape)
-        t1, i1 = self.forward.back(steps, ahead, saved, np.matmul(self.out[:k], p, out=grad))
-        t2, i2 = self.backward.back(steps[::-1], behind, saved_back, np.matmul(self.out[k:], p, out=grad)[::-1])
+        t1, i1 = self.forward.back(steps, pads, ahead, saved, self.out[:k], p, room)
+        t2, i2 = self.backward.back(steps[::-1], pads[::-1], behind, saved_back, self.out[k:], p[::-1], room)
         turned = p.transpose(0, 2, 1)
         out = np.concatenate([np.matmul(ahead, turned).sum(axis=0), np.matmul(behind[::-1], turned).sum(axis=0)])
         return loss, [t1, i1, t2, i2, out, p.sum(axis=(0, 2))]
@@ -277,7 +292,8 @@ def _draw(limit: int | None = None):
                 size = np.minimum(low + WINDOW, offsets[owner + 1]) - low
                 ends = np.zeros(len(size) + 1, np.int64)
                 np.cumsum(size, out=ends[1:])
-                drawn = data[np.repeat(low - ends[:-1], size) + np.arange(ends[-1])]
+                whole = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(WINDOW, np.uint8)]), WINDOW)[low]
+                drawn = whole[np.arange(WINDOW) < size[:, None]]
                 columns = [
                     part.column("lang").take(pa.array(owner)),
                     pa.array(np.arange(len(owner)) - np.repeat(np.cumsum(count, dtype=np.int64) - count, count), pa.int32()),

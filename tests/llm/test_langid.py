@@ -114,3 +114,22 @@ def test_batches_share_their_arrays():
         assert np.array_equal(net.probabilities(steps, room), net.probabilities(steps))
         held = held or dict(room)
         assert all(room[name] is held[name] for name in room)
+
+
+def test_a_batch_writes_little():
+    """What a batch writes and reads again is most of its time: of each byte both layers keep 3 gates and a state, not more."""
+    net, room, rng = langid.Network(list("abcd")), langid.Room(), np.random.default_rng(5)
+    steps = rng.integers(0, 256, (langid.WINDOW, 64)).astype(np.int16)
+    net.gradients(steps, rng.integers(0, 4, 64), tell=False, room=room)
+    assert sum(array.nbytes for array in room.values()) / steps.size < 4 * (2 * 4 * langid.HIDDEN + len(net.labels)) * 1.15
+
+
+def test_rows_add_up():
+    """The gradient of a batch is that of its rows, with padding, an odd number of units and steps that fill no whole stretch."""
+    net, rng = langid.Network(["a", "b"], hidden=3), np.random.default_rng(4)
+    steps = rng.integers(0, 9, (langid.TOGETHER * 2 + 5, 6)).astype(np.int16)
+    steps[7:, 2], steps[30:, 5] = langid.PAD, langid.PAD
+    labels, real = rng.integers(0, 2, 6), (steps != langid.PAD).sum(axis=0)
+    rows = [net.gradients(steps[:, i : i + 1], labels[i : i + 1])[1] for i in range(6)]
+    for whole, *parts in zip(net.gradients(steps, labels)[1], *rows, strict=True):
+        assert np.allclose(whole, sum(g * share for g, share in zip(parts, real / real.sum(), strict=True)), atol=1e-6)
